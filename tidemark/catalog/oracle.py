@@ -13,6 +13,7 @@ from tidemark.catalog.queries import (
     MARK,
     PRICE_CUT,
 )
+from tidemark.settings import WATERMARK_DELAY
 from tidemark.streaming.windowed import EARLY, LATE
 
 # The shop's tables and change log; money in whole cents ---------------------------
@@ -141,12 +142,16 @@ FROM {{items}} AS i JOIN {{orders}} AS o ON i.order_id = o.order_id
 WHERE o.status = 'Completed'
 GROUP BY i.kafka_ts"""
 
-# Orders in the append stream carry the time they were last updated; days whose end
-# the slower stream's watermark has not passed are still open.
+# The append stream emits a day once the slower of its inputs, less the watermark delay
+# and the reach of the join, has passed the day's end; later days are still open.
 _APPEND = _daily(
     "shop_items", "shop_orders", last="",
     where=f"""AND i.kafka_ts >= o.updated_at - INTERVAL '{EARLY}'
-  AND i.kafka_ts <= o.updated_at + INTERVAL '{LATE}'""",
+  AND i.kafka_ts <= o.updated_at + INTERVAL '{LATE}'
+  AND CAST(i.kafka_ts AS DATE) + INTERVAL '1 day' <= (
+      SELECT least((SELECT MAX(kafka_ts) FROM shop_items),
+                   (SELECT MAX(updated_at) FROM shop_orders WHERE status = 'Completed'))
+  ) - INTERVAL '{WATERMARK_DELAY}' - INTERVAL '{LATE}'""",
 )
 
 # Upserts --------------------------------------------------------------------------

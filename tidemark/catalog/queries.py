@@ -31,7 +31,7 @@ MARK = "1998-01-01 00:00:00"
 BEFORE_ALL = "1990-01-01 00:00:00"
 INGEST_DAY = "1998-06-15"
 KEEP_FROM = "1999-07-15"
-PRICE_CUT = "1400"
+PRICE_CUT = "910"
 LOAD_DAYS = ("1998-06-14", "1998-06-15", "1998-06-16")
 
 
@@ -167,6 +167,11 @@ def ingest_day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_of_day(text, INGEST_DAY)
 
 
+def _buckets(spark: SparkSession) -> int:
+    """As many hash buckets as the session has shuffle partitions: both follow the data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _inserted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as first inserted, those created before the mark."""
     first = shop.order_changes(spark, sf_dir).where("op = 'c'")
@@ -215,11 +220,14 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
             *(F.col(f.name).cast("string").alias(f.name) for f in table.schema)
         )
         extract.write.option("header", True).csv(f"{root}/{table.name}.csv")
-    ingest.create_table(_inserted_orders(spark, sf_dir), root, ORDERS)
+    buckets = _buckets(spark)
+    ingest.create_table(_inserted_orders(spark, sf_dir), root, ORDERS, buckets)
     first_items = items.where((F.col("op") == "c") & (F.col("created_at") < MARK))
-    ingest.create_table(first_items, root, ORDER_ITEMS)
+    ingest.create_table(first_items, root, ORDER_ITEMS, buckets)
     for day in LOAD_DAYS:
-        ingest.ingest_day(spark, root, day, f"{root}/orders.csv", f"{root}/order_items.csv")
+        ingest.ingest_day(
+            spark, root, day, f"{root}/orders.csv", f"{root}/order_items.csv", buckets
+        )
     return root
 
 
@@ -340,7 +348,7 @@ def _streamed_sales(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
     """Land the feed in two parts and run the job after each, from its checkpoint."""
     root = work_dir(spark, f"stream-{grain}")
     feed = shop.order_feed(spark, sf_dir).unionByName(shop.order_item_feed(spark, sf_dir))
-    job = RevisingSales(f"{root}/state", grain)
+    job = RevisingSales(f"{root}/state", grain, _buckets(spark))
     for part in (F.col("timestamp") < MARK, F.col("timestamp") >= MARK):
         feed.where(part).write.mode("append").parquet(f"{root}/feed")
         job.start(feeds.file_feed(spark, f"{root}/feed"), run_once=True).awaitTermination()

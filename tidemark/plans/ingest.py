@@ -66,9 +66,9 @@ def ingest_day(
     A load that got ready before but was interrupted while publishing is finished
     from its staged copy first; running a finished day again changes nothing.
     """
-    names = (ORDERS.name, ORDER_ITEMS.name)
     load_id = f"day={day}"
-    roll_forward(spark, root, load_id, names)
+    schemas = {t.name: _stored_schema(t) for t in (ORDERS, ORDER_ITEMS)}
+    roll_forward(spark, root, load_id, schemas)
     outcome = {}
     for table, path in ((ORDERS, orders_csv), (ORDER_ITEMS, items_csv)):
         incoming = typed(rows_of_day(read_extract(spark, path, table), day), table)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,19 +171,18 @@ def publish_together(
     staged = f"{root}/_loads/{load_id}"
     for name, rows in tables.items():
         overwrite(spread(rows, BUCKET), f"{staged}/{name}", BUCKET)
-    names = spark.createDataFrame([(n,) for n in tables], "name string")
-    overwrite(names, f"{staged}/ready")
-    roll_forward(spark, root, load_id, tuple(tables))
+    overwrite(spark.createDataFrame([(n,) for n in tables], "name string"), f"{staged}/ready")
+    roll_forward(spark, root, load_id, {n: rows.schema for n, rows in tables.items()})
 
 
-def roll_forward(spark: SparkSession, root: str, load_id: str, names: Sequence[str]) -> bool:
+def roll_forward(
+    spark: SparkSession, root: str, load_id: str, tables: Mapping[str, T.StructType]
+) -> bool:
     """Copy a load that is ready into the tables; False if it never got ready."""
     staged = f"{root}/_loads/{load_id}"
     if not is_complete(spark, f"{staged}/ready"):
         return False
-    for name in names:
-        if is_complete(spark, f"{staged}/{name}"):
-            overwrite_partitions(
-                spread(spark.read.parquet(f"{staged}/{name}"), BUCKET), f"{root}/{name}", BUCKET
-            )
+    for name, schema in tables.items():
+        rows = spark.read.schema(schema).parquet(f"{staged}/{name}")
+        overwrite_partitions(spread(rows, BUCKET), f"{root}/{name}", BUCKET)
     return True

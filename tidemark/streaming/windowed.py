@@ -15,7 +15,7 @@ from tidemark.operators.sales import completed, finish
 from tidemark.settings import WATERMARK_DELAY
 
 EARLY = "7 days"
-LATE = "180 days"
+LATE = "120 days"
 
 
 def windowed_daily_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
