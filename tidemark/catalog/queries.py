@@ -36,17 +36,16 @@ LOAD_DAYS = ("1998-06-14", "1998-06-15", "1998-06-16")
 
 
 def portable(rows: DataFrame) -> DataFrame:
-    def column(field: T.StructField):
-        value = F.col(field.name)
+    def column(field: T.StructField) -> str:
         if isinstance(field.dataType, T.DateType):
-            value = F.date_format(value, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(field.dataType, T.DecimalType):
-            value = value.cast("double")
-        return value.alias(field.name)
-
-    return rows.select(*map(column, rows.schema))
+            return f"date_format({field.name}, 'yyyy-MM-dd') AS {field.name}"
+        if isinstance(field.dataType, T.TimestampType):
+            return f"date_format({field.name}, 'yyyy-MM-dd HH:mm:ss') AS {field.name}"
+        if isinstance(field.dataType, T.DecimalType):
+            return f"CAST({field.name} AS DOUBLE) AS {field.name}"
+        return field.name
+
+    return rows.selectExpr(*map(column, rows.schema))
 
 
 # Metrics in batch -----------------------------------------------------------------

@@ -1,0 +1,20 @@
+"""Plan-time sizes, for choosing between two ways to the same result."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def planned_bytes(rows: DataFrame) -> int:
+    """Spark's own estimate of the size of ``rows``, from file sizes; nothing runs."""
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes()))
+
+
+def can_broadcast(rows: DataFrame) -> bool:
+    """Whether Spark would broadcast ``rows`` by itself, under the session's threshold."""
+    limit = rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
+    sizes = rows.sparkSession._jvm.org.apache.spark.network.util.JavaUtils
+    return planned_bytes(rows) <= sizes.byteStringAsBytes(limit)

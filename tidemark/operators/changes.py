@@ -23,11 +23,9 @@ def flatten(changes: DataFrame, table: ShopTable) -> DataFrame:
     """
 
     def column(field: T.StructField):
-        value = F.col(f"after.{field.name}")
+        value = F.col("row_key" if field.name == table.key else f"after.{field.name}")
         if isinstance(field.dataType, T.TimestampType):
             value = from_iso(value)
-        if field.name == table.key:
-            value = F.coalesce(value, F.col(f"row_key.{field.name}"))
         return value.alias(field.name)
 
     return changes.select("op", *map(column, table.schema), "event_ts", "offset")
@@ -40,8 +38,7 @@ def readable(rows: DataFrame, table: ShopTable) -> DataFrame:
 
 def unreadable(changes: DataFrame, table: ShopTable) -> DataFrame:
     """Change rows to set aside: no op, no key, or timestamp text that is no timestamp."""
-    key = F.coalesce(F.col(f"after.{table.key}"), F.col(f"row_key.{table.key}"))
-    bad = F.col("op").isNull() | key.isNull()
+    bad = F.col("op").isNull() | F.col("row_key").isNull()
     for field in table.schema:
         if isinstance(field.dataType, T.TimestampType):
             text = F.col(f"after.{field.name}")

@@ -1,9 +1,13 @@
 """The sales metrics, defined once for the batch, incremental and streaming jobs.
 
-An item counts when its order is Completed. Items are first summed per order and
-day (or timestamp), before any join: an order with a third of all items leaves
-every map task as one row per day. The order join is then a semi join on rows that
-are unique per group, and counting distinct orders becomes counting rows.
+An item counts when its order is Completed. Items are summed per order and day (or
+timestamp), so that counting distinct orders becomes counting rows.
+
+The Completed orders are joined in by a semi join, on one side of that sum or the
+other. Where they are small enough for Spark to broadcast, they thin out the items
+before the sum, without a shuffle. Otherwise the items are summed before they are
+shuffled to the orders: an order with a third of all items then leaves every map
+task as one row per day.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import as_total, average_cents, cents
+from tidemark.functions.sizing import can_broadcast
 from tidemark.settings import COMPLETED
 
 DAY = "day"
@@ -41,39 +46,37 @@ def order_sums(
     With a ``weight`` column of +1 and -1 the items are a ledger of added and
     withdrawn contributions, and groups whose items are all withdrawn vanish.
     """
-    sign = F.col(weight) if weight else F.lit(1)
-    pieces = F.col("quantity") * sign
+    sign = weight or "1"
     sums = items.groupBy("order_id", sale_key(grain, ts_column)).agg(
-        F.sum(sign).alias("n_items"),
-        F.sum(pieces).alias("pieces"),
-        F.sum(cents(F.col("price")) * pieces).alias("revenue_c"),
-        F.sum(cents(F.col("cost_price")) * pieces).alias("cost_c"),
+        F.expr(f"sum({sign}) AS n_items"),
+        F.expr(f"sum(quantity * {sign}) AS pieces"),
+        F.expr(f"sum({cents('price')} * quantity * {sign}) AS revenue_c"),
+        F.expr(f"sum({cents('cost_price')} * quantity * {sign}) AS cost_c"),
         F.max(ts_column).alias("last_ts"),
     )
-    return sums.where(F.col("n_items") > 0) if weight else sums
+    return sums.where("n_items > 0") if weight else sums
 
 
-def roll_up(sold: DataFrame, key: str, copies: str | None = None) -> DataFrame:
+def roll_up(sold: DataFrame, key: str, copies: str = "1") -> DataFrame:
     """Per-order sums to one row of metrics per sale key."""
-    times = F.col(copies) if copies else F.lit(1)
     totals = sold.groupBy(key).agg(
-        F.max("last_ts").alias("last_processed_ts"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum(F.col("pieces") * times).alias("total_items_sold"),
-        F.sum(F.col("revenue_c") * times).alias("revenue_c"),
-        F.sum(F.col("cost_c") * times).alias("cost_c"),
+        F.expr("max(last_ts) AS last_processed_ts"),
+        F.expr("count(1) AS total_orders"),
+        F.expr(f"sum(pieces * {copies}) AS total_items_sold"),
+        F.expr(f"sum(revenue_c * {copies}) AS revenue_c"),
+        F.expr(f"sum(cost_c * {copies}) AS cost_c"),
     )
     return finish(totals, key, "last_processed_ts")
 
 
 def finish(totals: DataFrame, *leading: str) -> DataFrame:
     """Cents to money columns, with the derived measures."""
-    return totals.select(
+    return totals.selectExpr(
         *leading, "total_orders", "total_items_sold",
-        as_total(F.col("revenue_c")).alias("total_revenue"),
-        as_total(F.col("cost_c")).alias("total_cost"),
-        as_total(F.col("revenue_c") - F.col("cost_c")).alias("total_profit"),
-        as_total(average_cents("revenue_c", "total_orders")).alias("average_order_value"),
+        f"{as_total('revenue_c')} AS total_revenue",
+        f"{as_total('cost_c')} AS total_cost",
+        f"{as_total('revenue_c - cost_c')} AS total_profit",
+        f"{as_total(average_cents('revenue_c', 'total_orders'))} AS average_order_value",
     )
 
 
@@ -85,9 +88,13 @@ def sales_metrics(
     weight: str | None = None,
 ) -> DataFrame:
     """Sales per day or per timestamp over the current items and orders."""
-    sold = order_sums(items, grain, ts_column, weight).join(
-        completed(orders).select("order_id"), "order_id", "left_semi"
-    )
+    counted = completed(orders).select("order_id")
+    if can_broadcast(counted):
+        sold = order_sums(
+            items.join(counted, "order_id", "left_semi"), grain, ts_column, weight
+        )
+    else:
+        sold = order_sums(items, grain, ts_column, weight).join(counted, "order_id", "left_semi")
     return roll_up(sold, KEY_NAME[grain])
 
 
@@ -112,8 +119,8 @@ def days_from_timestamps(by_ts: DataFrame, items: DataFrame, orders: DataFrame)
     """
     money = by_ts.groupBy(F.to_date("ts").alias("sale_date")).agg(
         F.sum("total_items_sold").alias("total_items_sold"),
-        F.sum((F.col("total_revenue") * 100).cast("bigint")).alias("revenue_c"),
-        F.sum((F.col("total_cost") * 100).cast("bigint")).alias("cost_c"),
+        F.expr(f"sum({cents('total_revenue')}) AS revenue_c"),
+        F.expr(f"sum({cents('total_cost')}) AS cost_c"),
     )
     pairs = items.select("order_id", sale_key(DAY, "kafka_ts")).distinct()
     counts = (

@@ -4,7 +4,7 @@ A broker subscription and a folder of files give the same columns, so everything
 after the read is shared. ``decode_*`` turns records into change rows:
 
     op          c (insert), u (update), r (snapshot read) or d (delete)
-    row_key     struct with the table's key, present for deletes too
+    row_key     the row's key, present for deletes too
     after       struct with the row's new image, NULL for deletes
     event_ts    record timestamp
     partition, offset   position in the feed, orders changes of one key
@@ -91,7 +91,7 @@ def envelope_schema(table: ShopTable) -> T.StructType:
 
 def _change_rows(records: DataFrame, table: ShopTable, value: Column, key: Column) -> DataFrame:
     parsed = records.where(F.col("topic") == topic_of(table.name)).select(
-        value.alias("envelope"), key.alias("row_key"),
+        value.alias("envelope"), F.col("key"),
         F.col("value").isNull().alias("tombstone"),
         F.col("timestamp").alias("event_ts"), "partition", "offset",
     )
@@ -99,9 +99,11 @@ def _change_rows(records: DataFrame, table: ShopTable, value: Column, key: Colum
     op = F.when(F.col("tombstone"), "d").otherwise(
         F.coalesce(F.col("envelope.op"), F.when(F.col("envelope.after").isNotNull(), "u"))
     )
+    # The record key is parsed only where there is no image to take the key from.
+    row_key = F.coalesce(F.col(f"envelope.after.{table.key}"), key.getField(table.key))
     return parsed.select(
-        op.alias("op"),
-        "row_key", F.col("envelope.after").alias("after"), "event_ts", "partition", "offset",
+        op.alias("op"), row_key.alias("row_key"), F.col("envelope.after").alias("after"),
+        "event_ts", "partition", "offset",
     )
 
 

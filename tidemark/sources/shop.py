@@ -12,9 +12,7 @@ only decide which rows have more versions; every row is in the log.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import as_money
@@ -22,64 +20,59 @@ from tidemark.functions.temporal import to_iso
 from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS, ShopTable
 from tidemark.sources.feeds import topic_of
 
+# The columns the shop is derived from; declared, so that no file is opened for them.
+_COLUMNS = {
+    "part": "p_partkey bigint, p_name string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_shipdate timestamp_ntz"
+    ),
+}
 _STATUS_CODE = {"Completed": "F", "Pending": "O", "Cancelled": "P"}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    stored = spark.read.parquet(path)
     if not stream:
-        return stored
+        return spark.read.schema(_COLUMNS[name]).parquet(path)
     # A file stream wants a pattern or a folder, even for a single file.
-    return spark.readStream.schema(stored.schema).parquet(f"{path[:-1]}[{path[-1]}]")
-
-
-def _round_cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
-
-
-def _days(count: Column) -> Column:
-    return F.make_dt_interval(count)
+    return spark.readStream.schema(_COLUMNS[name]).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def _product_id(partkey: str) -> Column:
-    return F.concat(F.lit("PROD-"), F.col(partkey).cast("string"))
+def _round_cents(amount: str) -> str:
+    return f"CAST(round({amount} * 100) AS BIGINT)"
 
 
 def _priced_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _table(spark, sf_dir, "part").withColumn("price_c", _round_cents(F.col("p_retailprice")))
-    return part.select(
+    part = _table(spark, sf_dir, "part")
+    return part.selectExpr("*", f"{_round_cents('p_retailprice')} AS price_c").selectExpr(
         "p_partkey", "p_name", "p_size",
-        as_money(F.col("price_c")).alias("price"),
-        as_money(F.expr("(price_c * 7 + 5) DIV 10")).alias("cost_price"),
+        f"{as_money('price_c')} AS price",
+        f"{as_money('(price_c * 7 + 5) DIV 10')} AS cost_price",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = F.lit("1995-01-01").cast("timestamp") + _days(F.col("p_size"))
-    return _priced_parts(spark, sf_dir).select(
-        _product_id("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        "price", "cost_price",
-        listed.alias("created_at"), listed.alias("updated_at"),
+    listed = "TIMESTAMP '1995-01-01' + make_dt_interval(p_size)"
+    return _priced_parts(spark, sf_dir).selectExpr(
+        "concat('PROD-', p_partkey) AS product_id", "p_name AS product_name",
+        "price", "cost_price", f"{listed} AS created_at", f"{listed} AS updated_at",
     )
 
 
-def _status() -> Column:
-    code = F.col("o_orderstatus")
-    names = list(_STATUS_CODE.items())
-    first = F.when(code == names[0][1], names[0][0])
-    return reduce(lambda c, n: c.when(code == n[1], n[0]), names[1:], first)
-
-
 def _order_rows(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    return _table(spark, sf_dir, "orders", stream).select(
+    names = " ".join(f"WHEN '{code}' THEN '{name}'" for name, code in _STATUS_CODE.items())
+    return _table(spark, sf_dir, "orders", stream).selectExpr(
         "o_orderkey", "o_orderstatus",
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        _status().alias("status"),
-        as_money(_round_cents(F.col("o_totalprice"))).alias("total_amount"),
-        F.col("o_orderdate").cast("timestamp").alias("created_at"),
+        "CAST(o_orderkey AS STRING) AS order_id",
+        "CAST(o_custkey AS STRING) AS customer_id",
+        f"CASE o_orderstatus {names} END AS status",
+        f"{as_money(_round_cents('o_totalprice'))} AS total_amount",
+        "CAST(o_orderdate AS TIMESTAMP) AS created_at",
     )
 
 
@@ -93,39 +86,31 @@ def orders(
     rows = _order_rows(spark, sf_dir, stream)
     if status:
         rows = rows.where(F.col("o_orderstatus") == _STATUS_CODE[status])
-    updated = F.col("created_at") + _days(F.lit(1))
-    return rows.withColumn("updated_at", updated).select(*ORDERS.columns)
+    return rows.selectExpr(*ORDERS.columns[:-1], "created_at + INTERVAL 1 DAY AS updated_at")
 
 
 def _item_rows(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    items = _table(spark, sf_dir, "lineitem", stream).select(
+    items = _table(spark, sf_dir, "lineitem", stream).selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_shipdate").cast("timestamp").alias("created_at"),
+        "CAST(l_quantity AS BIGINT) AS quantity",
+        "CAST(l_shipdate AS TIMESTAMP) AS created_at",
     )
     prices = _priced_parts(spark, sf_dir).select("p_partkey", "price", "cost_price")
-    return items.join(prices, F.col("l_partkey") == F.col("p_partkey")).select(
+    return items.join(prices, F.expr("l_partkey = p_partkey")).selectExpr(
         "l_orderkey",
-        F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            F.date_format("created_at", "yyyyMMdd"),
-        ).alias("order_item_id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        _product_id("l_partkey").alias("product_id"),
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "date_format(created_at, 'yyyyMMdd')) AS order_item_id",
+        "CAST(l_orderkey AS STRING) AS order_id",
+        "concat('PROD-', l_partkey) AS product_id",
         "quantity", "price", "cost_price", "created_at",
-        (F.col("created_at") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))).alias("kafka_ts"),
+        "created_at + make_dt_interval(0, l_linenumber) AS kafka_ts",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Items as the shop has them now, with their arrival time in the warehouse."""
-    rows = _item_rows(spark, sf_dir, stream).withColumn("updated_at", F.col("created_at"))
-    return rows.select(*ORDER_ITEMS.columns, "kafka_ts")
-
-
-def _versions(rows: DataFrame, rule: str) -> DataFrame:
-    """One row per version number that ``rule`` grants to the row."""
-    return rows.withColumn("version", F.explode(F.expr(rule)))
+    rows = _item_rows(spark, sf_dir, stream)
+    return rows.selectExpr(*ORDER_ITEMS.columns[:-1], "created_at AS updated_at", "kafka_ts")
 
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,48 +118,38 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A delete keeps only the key.
     """
-    log = _versions(
-        _order_rows(spark, sf_dir),
-        "filter(array(1, 2, 3, 4), v -> v <= 2 OR (v = 3 AND o_orderkey % 10 = 0)"
-        " OR (v = 4 AND o_orderkey % 97 = 0))",
+    versions = (
+        "explode(filter(array(1, 2, 3, 4), v -> v <= 2 OR (v = 3 AND o_orderkey % 10 = 0)"
+        " OR (v = 4 AND o_orderkey % 97 = 0))) AS version"
     )
-    at = F.col("created_at") + _days(F.col("version") - 1)
-    log = (
-        log.withColumn("op", F.element_at(F.array(*map(F.lit, "cuud")), F.col("version")))
-        .withColumn("status", F.when(F.col("version") == 1, "Pending").otherwise(F.col("status")))
-        .withColumn("event_ts", at)
-        .withColumn("updated_at", at)
+    log = _order_rows(spark, sf_dir).selectExpr("*", versions).selectExpr(
+        "version", "o_orderkey", "order_id", "customer_id", "total_amount", "created_at",
+        "CASE version WHEN 1 THEN 'c' WHEN 4 THEN 'd' ELSE 'u' END AS op",
+        "IF(version = 1, 'Pending', status) AS status",
+        "created_at + make_dt_interval(version - 1) AS updated_at",
     )
-    live = F.col("op") != "d"
-    kept = [F.when(live, F.col(c)).alias(c) for c in ORDERS.columns if c != "order_id"]
-    return log.select(
-        "op", "order_id", *kept, "event_ts",
-        (F.col("o_orderkey") * 4 + F.col("version")).alias("offset"),
+    image = [f"IF(op <> 'd', {c}, NULL) AS {c}" for c in ORDERS.columns if c != "order_id"]
+    return log.selectExpr(
+        "op", "order_id", *image, "updated_at AS event_ts", "o_orderkey * 4 + version AS offset"
     )
 
 
 def order_item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change rows of order items, as ``order_changes``."""
-    log = _versions(
-        _item_rows(spark, sf_dir),
-        "IF(l_orderkey % 13 = 0, array(1, 2), array(1))",
-    )
-    later = F.col("version") - 1
-    return log.select(
-        F.when(later == 0, "c").otherwise("u").alias("op"),
-        "order_item_id", "order_id", "product_id",
-        (F.col("quantity") + later).alias("quantity"),
+    versions = "explode(IF(l_orderkey % 13 = 0, array(1, 2), array(1))) AS version"
+    return _item_rows(spark, sf_dir).selectExpr("*", versions).selectExpr(
+        "IF(version = 1, 'c', 'u') AS op",
+        "order_item_id", "order_id", "product_id", "quantity + version - 1 AS quantity",
         "price", "cost_price", "created_at",
-        (F.col("created_at") + _days(later)).alias("updated_at"),
-        (F.col("kafka_ts") + _days(later)).alias("event_ts"),
-        (F.col("l_orderkey") * 4 + F.col("version")).alias("offset"),
+        "created_at + make_dt_interval(version - 1) AS updated_at",
+        "kafka_ts + make_dt_interval(version - 1) AS event_ts",
+        "l_orderkey * 4 + version AS offset",
     )
 
 
 def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products(spark, sf_dir).select(
-        F.lit("c").alias("op"), "*",
-        F.col("created_at").alias("event_ts"), F.lit(1).cast("bigint").alias("offset"),
+    return products(spark, sf_dir).selectExpr(
+        "'c' AS op", "*", "created_at AS event_ts", "1L AS offset"
     )
 
 

@@ -36,8 +36,8 @@ def windowed_daily_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
     per_order = left.join(right, in_reach).groupBy(F.window("ts", "1 day"), "order_id").agg(
         F.sum("quantity").alias("pieces"),
-        F.sum(cents(F.col("price")) * F.col("quantity")).alias("revenue_c"),
-        F.sum(cents(F.col("cost_price")) * F.col("quantity")).alias("cost_c"),
+        F.expr(f"sum({cents('price')} * quantity) AS revenue_c"),
+        F.expr(f"sum({cents('cost_price')} * quantity) AS cost_c"),
     )
     per_day = per_order.groupBy(F.window(F.window_time("window"), "1 day")).agg(
         F.count(F.lit(1)).alias("total_orders"),
