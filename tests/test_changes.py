@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+from tests.rows import at, feed, item_record, order_record, record
+from tidemark.operators.changes import current_rows, flatten, readable, unreadable
+from tidemark.schemas import ORDER_ITEMS, ORDERS
+from tidemark.sources.feeds import decode_json, select_tables
+
+
+def flat(spark, records, table=ORDERS):
+    return flatten(decode_json(feed(spark, records), table), table)
+
+
+def test_image_becomes_typed_columns(spark):
+    row = flat(spark, [item_record(7, "2024-01-02 03:04:05", "c", "I1", "O1", 3, "45.7", "31.91")], ORDER_ITEMS).first()
+    assert (row.op, row.order_item_id, row.order_id, row.quantity) == ("c", "I1", "O1", 3)
+    assert (str(row.price), str(row.cost_price)) == ("45.70", "31.91")
+    assert row.updated_at == at("2024-01-02 03:04:05") and row.offset == 7
+
+
+def test_delete_and_tombstone_keep_the_key(spark):
+    rows = flat(spark, [
+        order_record(1, "2024-01-01 00:00:00", "d", "A"),
+        record("orders", "order_id", "B", 2, "2024-01-01 00:00:00", None),
+    ]).collect()
+    assert [(r.op, r.order_id, r.status) for r in rows] == [("d", "A", None), ("d", "B", None)]
+
+
+def test_image_without_op_replaces_the_row(spark):
+    image = {"after": {"order_id": "A", "status": "Pending"}}
+    row = flat(spark, [record("orders", "order_id", "A", 1, "2024-01-01 00:00:00", image)]).first()
+    assert (row.op, row.status) == ("u", "Pending")
+
+
+def test_latest_version_wins_and_deletes_remove(spark):
+    got = current_rows(flat(spark, [
+        order_record(1, "2024-01-01 00:00:00", "c", "A", "Pending"),
+        order_record(3, "2024-01-02 00:00:00", "u", "A", "Completed"),
+        order_record(2, "2024-01-02 00:00:00", "u", "A", "Cancelled"),
+        order_record(4, "2024-01-01 00:00:00", "c", "B", "Completed"),
+        order_record(5, "2024-01-03 00:00:00", "d", "B"),
+        record("orders", "order_id", "B", 6, "2024-01-03 00:00:00", None),
+    ]), ORDERS)
+    assert [(r.order_id, r.status) for r in got.collect()] == [("A", "Completed")]
+
+
+def test_unreadable_rows_are_set_aside(spark):
+    bad_time = order_record(1, "2024-01-01 00:00:00", "c", "A", "Pending")
+    bad_time = (*bad_time[:5], bad_time[5].replace("2024-01-01T00:00:00Z", "yesterday"))
+    no_key = record("orders", "order_id", None, 2, "2024-01-01 00:00:00", {"op": "d"})
+    garbage = (*order_record(3, "2024-01-01 00:00:00", "c", "C", "Pending")[:5], "{broken")
+    fine = order_record(4, "2024-01-01 00:00:00", "c", "D", "Pending")
+    changes = decode_json(feed(spark, [bad_time, no_key, garbage, fine]), ORDERS)
+    assert {r.offset for r in unreadable(changes, ORDERS).collect()} == {1, 2, 3}
+    usable = readable(flatten(changes, ORDERS), ORDERS).collect()
+    assert {(r.order_id, r.created_at is None) for r in usable} == {("A", True), ("D", False)}
+
+
+def test_feed_is_narrowed_to_the_listed_tables(spark):
+    records = [
+        order_record(1, "2024-01-01 00:00:00", "c", "A", "Pending"),
+        item_record(1, "2024-01-01 00:00:00", "c", "I1", "A"),
+        record("visitors", "id", "X", 1, "2024-01-01 00:00:00", {"op": "c"}),
+    ]
+    kept = select_tables(feed(spark, records), ["orders", "order_items", "products"])
+    assert kept.count() == 2

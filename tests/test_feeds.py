@@ -1,0 +1,51 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tests.rows import feed
+from tidemark.operators.sales import TIMESTAMP, sales_metrics
+from tidemark.schemas import ORDERS
+from tidemark.sources import feeds, shop
+from tidemark.streaming.views import metrics_days
+
+
+def test_topics_name_server_database_and_table():
+    assert feeds.topic_of("orders") == "demo_db_master.demo.orders"
+
+
+def test_subscription_starts_at_the_earliest_record():
+    options = feeds.broker_options("host:1", [feeds.topic_of("orders"), feeds.topic_of("products")])
+    assert options["startingOffsets"] == "earliest"
+    assert options["subscribe"] == "demo_db_master.demo.orders,demo_db_master.demo.products"
+
+
+def test_registry_header(spark):
+    message = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x01\x02payload"),)], "value binary")
+    row = message.select(
+        feeds.strip_header(F.col("value")).alias("body"), feeds.schema_id(F.col("value")).alias("id")
+    ).first()
+    assert (bytes(row.body), row.id) == (b"payload", 258)
+
+
+def test_missing_connectors_are_reported(spark):
+    with pytest.raises(AnalysisException):
+        feeds.broker_feed(spark, "host:1")
+    with pytest.raises(AnalysisException):
+        feeds.decode_avro(feed(spark, []), ORDERS, '"string"', '"string"').schema
+
+
+def test_metrics_records_round_trip(spark, sf_dir):
+    by_ts = sales_metrics(
+        shop.order_items(spark, sf_dir), shop.orders(spark, sf_dir), TIMESTAMP
+    ).drop("last_processed_ts")
+    back = feeds.decode_metrics(feeds.encode_metrics(by_ts))
+    assert back.exceptAll(by_ts).isEmpty() and by_ts.exceptAll(back).isEmpty()
+
+
+def test_metrics_timestamp_is_cut_to_the_date(spark):
+    row = metrics_days(spark.sql("SELECT TIMESTAMP '2024-01-02 03:04:05.006' AS ts, 1 AS n")).first()
+    assert (row.ts, row.n) == (datetime(2024, 1, 2).date(), 1)

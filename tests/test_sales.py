@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import pytest
+
+from tests.rows import items, metrics, orders
+from tidemark.operators.sales import (
+    TIMESTAMP,
+    days_from_timestamps,
+    sales_metrics,
+    sales_metrics_all_versions,
+)
+from tidemark.sources import shop
+
+
+def test_only_items_of_completed_orders_count(spark):
+    got = metrics(sales_metrics(
+        items(
+            spark,
+            ("A", 2, "31.91", "22.34", "2024-01-01 10:00:00"),
+            ("A", 1, "45.70", "30.00", "2024-01-01 11:00:00"),
+            ("B", 5, "1.00", "0.50", "2024-01-01 10:00:00"),
+            ("gone", 9, "1.00", "0.50", "2024-01-01 10:00:00"),
+            ("C", 1, "0.01", "0.02", "2024-01-02 00:00:00"),
+        ),
+        orders(spark, ("A", "Completed"), ("B", "Pending"), ("C", "Completed"), ("idle", "Completed")),
+    ))
+    assert got == {
+        "2024-01-01": (1, 3, "109.52", "74.68", "34.84", "109.52"),
+        "2024-01-02": (1, 1, "0.01", "0.02", "-0.01", "0.01"),
+    }
+
+
+def test_average_is_cut_to_the_cent(spark):
+    bought = [(o, 1, p, "0.00", "2024-01-01 00:00:00") for o, p in (("A", "1.00"), ("B", "1.00"), ("C", "0.99"))]
+    placed = orders(spark, *((o, "Completed") for o in "ABC"))
+    assert metrics(sales_metrics(items(spark, *bought), placed))["2024-01-01"][-1] == "0.99"
+
+
+def test_totals_beyond_eight_digits(spark):
+    bought = items(spark, *[("A", 1000, "99999999.99", "0.01", "2024-01-01 00:00:00")] * 3)
+    got = metrics(sales_metrics(bought, orders(spark, ("A", "Completed"))))
+    assert got["2024-01-01"][2] == "299999999970.00"
+
+
+def test_no_completed_order_gives_no_row(spark):
+    bought = items(spark, ("A", 1, "1.00", "1.00", "2024-01-01 00:00:00"))
+    assert metrics(sales_metrics(bought, orders(spark, ("A", "Pending")))) == {}
+
+
+def test_repeated_completed_versions(spark):
+    bought = items(spark, ("A", 2, "1.50", "1.00", "2024-01-01 00:00:00"))
+    twice = orders(spark, ("A", "Completed"), ("A", "Completed"), ("A", "Cancelled"))
+    assert metrics(sales_metrics(bought, twice))["2024-01-01"][:3] == (1, 2, "3.00")
+    every = metrics(sales_metrics_all_versions(bought, twice))
+    assert every["2024-01-01"] == (1, 4, "6.00", "4.00", "2.00", "6.00")
+
+
+def test_timestamp_grain_and_its_roll_up(spark):
+    bought = items(
+        spark,
+        ("A", 1, "1.00", "0.10", "2024-01-01 01:00:00"),
+        ("A", 1, "2.00", "0.10", "2024-01-01 02:00:00.001"),
+        ("B", 1, "4.00", "0.10", "2024-01-01 02:00:00.001"),
+    )
+    placed = orders(spark, ("A", "Completed"), ("B", "Completed"))
+    by_ts = sales_metrics(bought, placed, TIMESTAMP)
+    assert {k: v[0] for k, v in metrics(by_ts).items()} == {
+        "2024-01-01 01:00:00": 1, "2024-01-01 02:00:00.001000": 2,
+    }
+    assert metrics(days_from_timestamps(by_ts, bought, placed)) == {
+        "2024-01-01": (2, 3, "7.00", "0.30", "6.70", "3.50"),
+    }
+
+
+def test_withdrawn_contributions_leave_no_trace(spark):
+    ledger = spark.sql(
+        "SELECT 'A' AS order_id, 2L AS quantity, CAST(1 AS DECIMAL(10,2)) AS price, "
+        "CAST(1 AS DECIMAL(10,2)) AS cost_price, TIMESTAMP '2024-01-01' + make_dt_interval(day) AS kafka_ts, "
+        "weight FROM VALUES (0, 1), (0, -1), (1, 1) AS v(day, weight)"
+    )
+    got = metrics(sales_metrics(ledger, orders(spark, ("A", "Completed")), weight="weight"))
+    assert list(got) == ["2024-01-02"]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_large_orders_are_joined_after_the_sum(spark, sf_dir, no_broadcast, request):
+    def plan_and_rows():
+        df = sales_metrics(shop.order_items(spark, sf_dir), shop.orders(spark, sf_dir))
+        return df._jdf.queryExecution().optimizedPlan().toString(), sorted(df.collect())
+
+    shuffled_plan, shuffled = plan_and_rows()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    small_plan, small = plan_and_rows()
+    assert shuffled == small and len(small) > 100
+
+    def depth(plan, text):
+        return next(i for i, line in enumerate(plan.splitlines()) if text in line)
+
+    # Items are summed (second aggregate from the top) below the semi join ...
+    lines = shuffled_plan.splitlines()
+    semi = depth(shuffled_plan, "LeftSemi")
+    assert sum("Aggregate" in line for line in lines[semi:]) == 1
+    # ... but above it where the orders can be broadcast.
+    lines = small_plan.splitlines()
+    assert sum("Aggregate" in line for line in lines[depth(small_plan, "LeftSemi"):]) == 0
+
+
+def test_status_filter_reaches_the_scan(spark, sf_dir):
+    plan = shop.orders(spark, sf_dir, "Completed")._jdf.queryExecution().toString()
+    assert "EqualTo(o_orderstatus,F)" in plan
+
+
+def test_one_order_with_a_third_of_all_items(spark, no_broadcast):
+    n = 30_000
+    bought = spark.range(n).selectExpr(
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS order_id", "1L AS quantity",
+        "CAST(2 AS DECIMAL(10,2)) AS price", "CAST(1 AS DECIMAL(10,2)) AS cost_price",
+        "TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id % 2 AS INT)) AS kafka_ts",
+    )
+    placed = bought.selectExpr("order_id", "'Completed' AS status").distinct()
+    got = metrics(sales_metrics(bought, placed))
+    # Even ids fall on the first day; both days hold the hot order once.
+    assert {k: v[:3] for k, v in got.items()} == {
+        "2024-01-01": (10_001, 15_000, "30000.00"), "2024-01-02": (10_001, 15_000, "30000.00"),
+    }

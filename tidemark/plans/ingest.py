@@ -15,10 +15,10 @@ from tidemark.operators.upserts import keyed_upsert, one_row_per_key, with_defau
 from tidemark.schemas import ORDER_ITEMS, ORDERS, ShopTable
 from tidemark.sinks.tables import (
     BUCKET,
+    finish_loads,
     overwrite,
     publish_together,
     read_or_empty,
-    roll_forward,
     spread,
     values_of,
     with_bucket,
@@ -63,14 +63,12 @@ def ingest_day(
 ) -> None:
     """Upsert the extract rows last updated on ``day`` (``yyyy-MM-dd``).
 
-    A load that got ready before but was interrupted while publishing is finished
-    from its staged copy first; running a finished day again changes nothing.
+    An earlier load that was interrupted while publishing is finished first. Running
+    a day again changes nothing; errors are raised and leave the tables as they were.
     """
-    load_id = f"day={day}"
-    schemas = {t.name: _stored_schema(t) for t in (ORDERS, ORDER_ITEMS)}
-    roll_forward(spark, root, load_id, schemas)
+    finish_loads(spark, root, {t.name: _stored_schema(t) for t in (ORDERS, ORDER_ITEMS)})
     outcome = {}
     for table, path in ((ORDERS, orders_csv), (ORDER_ITEMS, items_csv)):
         incoming = typed(rows_of_day(read_extract(spark, path, table), day), table)
         outcome[table.name] = upserted_buckets(spark, root, incoming, table, buckets)
-    publish_together(spark, root, load_id, outcome)
+    publish_together(spark, root, f"day={day}", outcome)

@@ -13,6 +13,7 @@ from tidemark.schemas import ShopTable
 
 CODEC = "zstd"
 MONTH = "sale_month"
+CREATED_MONTH = "created_month"
 BUCKET = "bucket"
 
 
@@ -72,29 +73,41 @@ def overwrite_partitions(rows: DataFrame, path: str, *partitions: str) -> None:
     )
 
 
-def stored_form(rows: DataFrame, table: ShopTable) -> DataFrame:
-    """Storage columns and order of a table, with the arrival time filled in.
+def stored_columns(rows: DataFrame, table: ShopTable) -> DataFrame:
+    """The storage columns of a table, with the arrival time filled in.
 
-    Tables with a creation date get a month column to partition by; the sort is
-    within the write tasks, so an append needs no shuffle and readers skip row
-    groups by their statistics.
+    Tables with a creation date get a month column to partition by.
     """
     arrival = F.current_timestamp()
     if "kafka_ts" in rows.columns:
         arrival = F.coalesce(F.col("kafka_ts"), arrival)
     rows = rows.select(*table.columns, arrival.alias("kafka_ts"))
-    sort = [F.expr(s) for s in table.sort]
     if table.month_of:
-        rows = rows.withColumn("created_month", month_key(F.col(table.month_of)))
-        sort.insert(0, F.col("created_month"))
-    return rows.sortWithinPartitions(*sort)
+        rows = rows.withColumn(CREATED_MONTH, month_key(F.col(table.month_of)))
+    return rows
+
+
+def month_partitions(table: ShopTable) -> list[str]:
+    return [CREATED_MONTH] if table.month_of else []
+
+
+def in_storage_order(rows: DataFrame, table: ShopTable) -> DataFrame:
+    """Sort within the write tasks, so that readers skip row groups by their statistics."""
+    return rows.sortWithinPartitions(*month_partitions(table), *map(F.expr, table.sort))
 
 
 def append_sorted(rows: DataFrame, path: str, table: ShopTable) -> None:
-    """Append to a stored table in its sort order."""
-    partitions = ["created_month"] if table.month_of else []
+    """Append to a stored table in its sort order.
+
+    Rows of many months are first brought together by month; otherwise every task
+    would write a small file into each of them.
+    """
+    partitions = month_partitions(table)
+    rows = stored_columns(rows, table)
+    if partitions:
+        rows = spread(rows, *partitions)
     (
-        stored_form(rows, table).write.mode("append").option("compression", CODEC)
+        in_storage_order(rows, table).write.mode("append").option("compression", CODEC)
         .partitionBy(*partitions).parquet(path)
     )
 
@@ -165,24 +178,48 @@ def publish_together(
     """Write several bucketed tables, all or none.
 
     Everything is staged first; a failure there leaves the tables untouched. The
-    ``ready`` mark makes the load count, and ``roll_forward`` can finish it from
-    the staged copy as often as needed.
+    ``ready`` mark makes the load count: from then on ``finish_loads`` can complete
+    it from the staged copy, until the ``published`` mark closes it.
     """
     staged = f"{root}/_loads/{load_id}"
+    for mark in ("ready", "published"):
+        target, fs = _hadoop_path(spark, f"{staged}/{mark}")
+        fs.delete(target, True)
     for name, rows in tables.items():
         overwrite(spread(rows, BUCKET), f"{staged}/{name}", BUCKET)
-    overwrite(spark.createDataFrame([(n,) for n in tables], "name string"), f"{staged}/ready")
-    roll_forward(spark, root, load_id, {n: rows.schema for n, rows in tables.items()})
+    _mark(spark, f"{staged}/ready")
+    _publish(spark, root, load_id, {n: rows.schema for n, rows in tables.items()})
 
 
-def roll_forward(
+def finish_loads(spark: SparkSession, root: str, tables: Mapping[str, T.StructType]) -> list[str]:
+    """Complete loads that got ready but were interrupted while publishing; their ids.
+
+    To be called before a load reads the tables, so that it never sees half of an
+    earlier one.
+    """
+    target, fs = _hadoop_path(spark, f"{root}/_loads")
+    if not fs.exists(target):
+        return []
+    loads = sorted(s.getPath().getName() for s in fs.listStatus(target))
+    open_loads = [
+        load for load in loads
+        if is_complete(spark, f"{root}/_loads/{load}/ready")
+        and not is_complete(spark, f"{root}/_loads/{load}/published")
+    ]
+    for load in open_loads:
+        _publish(spark, root, load, tables)
+    return open_loads
+
+
+def _publish(
     spark: SparkSession, root: str, load_id: str, tables: Mapping[str, T.StructType]
-) -> bool:
-    """Copy a load that is ready into the tables; False if it never got ready."""
+) -> None:
     staged = f"{root}/_loads/{load_id}"
-    if not is_complete(spark, f"{staged}/ready"):
-        return False
     for name, schema in tables.items():
         rows = spark.read.schema(schema).parquet(f"{staged}/{name}")
         overwrite_partitions(spread(rows, BUCKET), f"{root}/{name}", BUCKET)
-    return True
+    _mark(spark, f"{staged}/published")
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    overwrite(spark.range(1), path)
