@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tests.rows import feed
 from tidemark.operators.sales import TIMESTAMP, sales_metrics
-from tidemark.schemas import ORDERS
+from tidemark.schemas import METRICS_RECORD, ORDERS
+from tidemark.sinks.broker import send_metrics
 from tidemark.sources import feeds, shop
 from tidemark.streaming.views import metrics_days
 
@@ -38,6 +39,12 @@ def test_missing_connectors_are_reported(spark):
         feeds.decode_avro(feed(spark, []), ORDERS, '"string"', '"string"').schema
 
 
+def test_sending_needs_the_connector(spark):
+    rows = spark.createDataFrame([], METRICS_RECORD)
+    with pytest.raises(AnalysisException):
+        send_metrics(rows, "host:1")
+
+
 def test_metrics_records_round_trip(spark, sf_dir):
     by_ts = sales_metrics(
         shop.order_items(spark, sf_dir), shop.orders(spark, sf_dir), TIMESTAMP

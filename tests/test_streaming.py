@@ -124,12 +124,14 @@ def test_unreadable_records_are_kept_aside(spark, job):
 
 def test_stream_resumes_from_its_progress(spark, job, tmp_path):
     landing = str(tmp_path / "feed")
-    seen = []
+    seen, sent = [], []
     for part in ([A1, I1, B1], [A2, I2], [A3, LATE]):
         seen += part
         feed(spark, part).write.mode("append").parquet(landing)
-        job.start(file_feed(spark, landing), run_once=True).awaitTermination()
+        stream = file_feed(spark, landing)
+        job.start(stream, run_once=True, on_revised=lambda df: sent.append(metrics(df))).awaitTermination()
         assert metrics(job.result(spark)) == batch_result(spark, seen)
+    assert [sorted(days) for days in sent] == [[], ["2024-01-01"], ["2023-12-31", "2024-01-01"]]
 
 
 def test_small_batches_give_the_same(spark, job, tmp_path):

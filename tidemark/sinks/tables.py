@@ -122,24 +122,20 @@ def replace_days(
     """Replace the rows of the given days by the fresh ones, month by month.
 
     ``days`` is a stored table with a ``sale_date`` column. Other days of a touched
-    month are carried over. A day without fresh rows gets an empty row (NULL
-    measures), because a partition that receives no row would keep its old
-    content; ``read_days`` hides such rows.
+    month are carried over. Every given day also gets an empty row (NULL measures):
+    a month that received no row at all would keep its old content. ``read_days``
+    hides these rows, and the next replacement of the day takes them away.
     """
     months = values_of(with_month(days, "sale_date"), MONTH)
-    day_of = F.to_date(key)
     carried = (
         read_or_empty(spark, path, schema).where(F.col(MONTH).isin(months))
-        .withColumn("sale_date_", day_of)
+        .withColumn("sale_date_", F.to_date(key))
         .join(days.select(F.col("sale_date").alias("sale_date_")), "sale_date_", "left_anti")
         .drop("sale_date_")
     )
-    key_type = schema[key].dataType
-    emptied = days.select("sale_date").join(
-        fresh.select(day_of.alias("sale_date")).distinct(), "sale_date", "left_anti"
-    ).select(F.col("sale_date").cast(key_type).alias(key))
+    empty = days.select(F.col("sale_date").cast(schema[key].dataType).alias(key))
     rows = with_month(fresh, key).unionByName(carried).unionByName(
-        with_month(emptied, key), allowMissingColumns=True
+        with_month(empty, key), allowMissingColumns=True
     )
     overwrite_partitions(
         spread(rows.select(*schema.fieldNames()), MONTH).sortWithinPartitions(MONTH, key), path, MONTH
