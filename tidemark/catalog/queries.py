@@ -17,7 +17,7 @@ from tidemark.operators import checks, sales, upserts
 from tidemark.operators.changes import current_rows, flatten
 from tidemark.plans import incremental, ingest
 from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS, ShopTable
-from tidemark.session import work_dir
+from tidemark.session import stateful_session, work_dir
 from tidemark.sinks import tables
 from tidemark.sources import feeds, shop
 from tidemark.streaming import views
@@ -167,8 +167,8 @@ def ingest_day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _buckets(spark: SparkSession) -> int:
-    """As many hash buckets as the session has shuffle partitions: both follow the data."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """As many hash buckets as the cluster has cores, so that all take part in a rewrite."""
+    return spark.sparkContext.defaultParallelism
 
 
 def _inserted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,8 +376,9 @@ def stream_cdc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sales_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermarked daily sales over the item and order tables read as streams."""
     root = work_dir(spark, "append")
-    items = shop.order_items(spark, sf_dir, stream=True).withColumnRenamed("kafka_ts", "ts")
-    orders = shop.orders(spark, sf_dir, settings.COMPLETED, stream=True)
+    streams = stateful_session(spark)
+    items = shop.order_items(streams, sf_dir, stream=True).withColumnRenamed("kafka_ts", "ts")
+    orders = shop.orders(streams, sf_dir, settings.COMPLETED, stream=True)
     orders = orders.withColumnRenamed("updated_at", "order_ts")
     query = (
         windowed_daily_sales(items, orders).writeStream.format("parquet").outputMode("append")

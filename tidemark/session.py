@@ -7,14 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKSDB,
     "spark.ui.enabled": "false",
 }
 
@@ -29,6 +30,20 @@ def build_session(name: str, master: str | None = None, **conf: str) -> SparkSes
     return builder.getOrCreate()
 
 
+def stateful_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for streams that keep state.
+
+    The number of state partitions is fixed when such a stream first starts and
+    cannot be coalesced later, so it follows the cluster's cores. State spills to
+    local disk through RocksDB instead of filling the heap.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set(STATE_STORE, ROCKSDB)
+    return session
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder for written intermediate tables, stream progress and results.
 
