@@ -126,7 +126,10 @@ def replace_days(
     a month that received no row at all would keep its old content. ``read_days``
     hides these rows, and the next replacement of the day takes them away.
     """
+    days = days.where(F.col("sale_date").isNotNull())
     months = values_of(with_month(days, "sale_date"), MONTH)
+    if not months:
+        return
     carried = (
         read_or_empty(spark, path, schema).where(F.col(MONTH).isin(months))
         .withColumn("sale_date_", F.to_date(key))

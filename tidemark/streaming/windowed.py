@@ -1,8 +1,12 @@
 """Low-latency daily sales: watermarked stream join, one-day windows, append output.
 
 Each day is emitted once, when the watermark has passed it. Late rows are dropped
-and results never revised; ``revising`` is the exact job. An item joins its order
-within ``EARLY`` before and ``LATE`` after it, which bounds the join state.
+and results never revised; ``revising`` is the exact job. Items are summed per day
+and order before they meet the orders: an order with a third of all items reaches the
+join as one row per day, and the join's state holds no single items. A day joins the
+orders within ``EARLY`` before and ``LATE`` after its end. That bounds the join state,
+and it also holds the result back: a day is final once the slower stream has passed
+it by ``LATE``.
 """
 
 from __future__ import annotations
@@ -21,25 +25,27 @@ LATE = "120 days"
 def windowed_daily_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Daily sales from two streams: items with ``ts``, orders with ``order_ts``.
 
-    The orders stream must carry each Completed order once. Items are summed per
-    day and order first; counting the orders of a day is then a second aggregation
-    over those rows, so that no state row holds a day's list of orders.
+    The orders stream must carry each Completed order once. After the join there is
+    one row per day and order, so counting a day's orders is counting rows.
     """
-    left = items.withWatermark("ts", WATERMARK_DELAY)
-    right = (
+    per_order = (
+        items.withWatermark("ts", WATERMARK_DELAY)
+        .groupBy(F.window("ts", "1 day"), "order_id").agg(
+            F.sum("quantity").alias("pieces"),
+            F.expr(f"sum({cents('price')} * quantity) AS revenue_c"),
+            F.expr(f"sum({cents('cost_price')} * quantity) AS cost_c"),
+        )
+        .withColumn("day_end", F.window_time("window")).drop("window")
+    )
+    placed = (
         completed(orders).select(F.col("order_id").alias("completed_id"), "order_ts")
         .withWatermark("order_ts", WATERMARK_DELAY)
     )
     in_reach = F.expr(
-        f"order_id = completed_id AND ts >= order_ts - INTERVAL {EARLY}"
-        f" AND ts <= order_ts + INTERVAL {LATE}"
-    )
-    per_order = left.join(right, in_reach).groupBy(F.window("ts", "1 day"), "order_id").agg(
-        F.sum("quantity").alias("pieces"),
-        F.expr(f"sum({cents('price')} * quantity) AS revenue_c"),
-        F.expr(f"sum({cents('cost_price')} * quantity) AS cost_c"),
+        f"order_id = completed_id AND day_end >= order_ts - INTERVAL {EARLY}"
+        f" AND day_end <= order_ts + INTERVAL {LATE}"
     )
-    per_day = per_order.groupBy(F.window(F.window_time("window"), "1 day")).agg(
+    per_day = per_order.join(placed, in_reach).groupBy(F.window("day_end", "1 day")).agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("pieces").alias("total_items_sold"),
         F.sum("revenue_c").alias("revenue_c"),
