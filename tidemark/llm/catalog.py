@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from tidemark.llm import chat_format, line_dedup
 from tidemark.llm.chat_format import op7_chat_format
+from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.line_dedup import op10_line_dedup
+from tidemark.llm.packing import op2_best_fit_packing
+from tidemark.llm.quality import op9_quality_classifier
 from tidemark.llm.secret_scan import op1_secret_scan
 
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_secret_scan, op7_chat_format, op10_line_dedup,
+        op1_secret_scan, op2_best_fit_packing, op7_chat_format, op8_fingerprints,
+        op9_quality_classifier, op10_line_dedup,
     )
 }
 
