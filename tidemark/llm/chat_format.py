@@ -87,12 +87,13 @@ def _leaps(messages: DataFrame, most: int) -> list[DataFrame]:
         "node", "parent AS up", "1L AS n", "score AS sum"), "leap")]
     for _ in range(most):
         last = leaps[-1]
-        if last.where("up IS NOT NULL").isEmpty():
+        open_ = last.where("up IS NOT NULL")
+        if open_.isEmpty():
             return leaps
         on = last.selectExpr("node AS up", "up AS up2", "n AS n2", "sum AS sum2")
-        leaps.append(stored(last.join(on, "up", "left").selectExpr(
-            "node", "up2 AS up", "n + coalesce(n2, 0) AS n", "sum + coalesce(sum2, 0) AS sum"),
-            "leap"))
+        further = open_.join(on, "up").selectExpr(
+            "node", "up2 AS up", "n + n2 AS n", "sum + sum2 AS sum")
+        leaps.append(stored(further.unionByName(last.where("up IS NULL")), "leap"))
     raise ValueError("messages answer one another in a circle")
 
 
