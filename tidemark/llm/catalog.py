@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm import chat_format, line_dedup
 from tidemark.llm.chat_format import op7_chat_format
+from tidemark.llm.decontamination import op5_decontamination
 from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.line_dedup import op10_line_dedup
 from tidemark.llm.packing import op2_best_fit_packing
@@ -13,7 +14,7 @@ from tidemark.llm.secret_scan import op1_secret_scan
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_secret_scan, op2_best_fit_packing, op7_chat_format, op8_fingerprints,
+        op1_secret_scan, op2_best_fit_packing, op5_decontamination, op7_chat_format, op8_fingerprints,
         op9_quality_classifier, op10_line_dedup,
     )
 }
