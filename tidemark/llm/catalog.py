@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat_format, line_dedup
+from tidemark.llm import chat_format, jaccard_join, line_dedup
 from tidemark.llm.chat_format import op7_chat_format
 from tidemark.llm.decontamination import op5_decontamination
 from tidemark.llm.fingerprints import op8_fingerprints
+from tidemark.llm.jaccard_join import op4_jaccard_join
 from tidemark.llm.line_dedup import op10_line_dedup
 from tidemark.llm.packing import op2_best_fit_packing
 from tidemark.llm.quality import op9_quality_classifier
@@ -14,12 +15,13 @@ from tidemark.llm.secret_scan import op1_secret_scan
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_secret_scan, op2_best_fit_packing, op5_decontamination, op7_chat_format, op8_fingerprints,
+        op1_secret_scan, op2_best_fit_packing, op4_jaccard_join, op5_decontamination, op7_chat_format, op8_fingerprints,
         op9_quality_classifier, op10_line_dedup,
     )
 }
 
 ORACLES = {
+    "op4_jaccard_join": jaccard_join.ORACLE_SQL,
     "op7_chat_format": chat_format.ORACLE_SQL,
     "op10_line_dedup": line_dedup.ORACLE_SQL,
 }
