@@ -17,8 +17,12 @@ regions is the pivot; the distance of every other class to it is computed from t
 What lies within the distance joins its component. A region whose members are all in one
 component is done. In the others the next class becomes the pivot, for those not yet in its
 component; after ``PIVOTS`` pivots, all pairs left in a region are compared that are in
-different components, of fitting size, and whose distances to the first pivot differ by no
-more than the distance asked for (triangle inequality). No pair is left out.
+different components, of fitting size, and whose distances to one pivot differ by no more
+than the distance asked for (triangle inequality). No pair is left out: whenever two classes
+are to be compared, only bounds spare the comparison, those above and one more. Parities of
+the shingles in 512 cells are a sketch of a set; two sketches differ in no more bits than the
+sets differ in shingles, so that pairs whose sketches lie too far apart are not within the
+distance.
 
 Equal sets never meet in pairs, and links within a component are not all made: the result
 is each document's component.
@@ -46,6 +50,9 @@ PIVOTS = 4
 #: Members compared with one copy of a pivot.
 FAN_OUT = 500
 
+#: A set's sketch: so many words of 64 parities.
+SKETCH = 8
+
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -88,6 +95,14 @@ def set_keys(found: np.ndarray, of: np.ndarray, texts: int) -> tuple[np.ndarray,
     return (_summed(mix(found ^ _FIRST), of, texts), _summed(mix(found ^ _SECOND), of, texts))
 
 
+def sketches(found: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
+    """For each set, of its shingles in each of 64 * SKETCH cells whether they are odd."""
+    cells = np.zeros(texts * 64 * SKETCH, np.uint8)
+    at = mix(found ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(40)
+    np.add.at(cells, of * 64 * SKETCH + (at % np.uint64(64 * SKETCH)).astype(np.int64), 1)
+    return np.packbits(cells & 1).view(np.int64).reshape(texts, SKETCH)
+
+
 class SizeClasses:
     """Ranges of set sizes; linked sets lie in one or in neighbouring ones."""
 
@@ -143,6 +158,10 @@ def regions(
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def _sketch(letter: str) -> list[str]:
+    return [f"{letter}{i}" for i in range(SKETCH)]
+
+
 def class_rows(batches, width):
     for batch, data, offsets in parts(batches):
         texts = batch.num_rows
@@ -150,8 +169,9 @@ def class_rows(batches, width):
         first, second = set_keys(found, of, texts)
         yield pa.RecordBatch.from_arrays(
             [batch["k"], batch["th"], pa.array(np.bincount(of, minlength=texts)),
-             pa.array(first.view(np.int64)), pa.array(second.view(np.int64))],
-            names=["k", "th", "n", "c1", "c2"])
+             pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
+             *map(pa.array, sketches(found, of, texts).T)],
+            names=["k", "th", "n", "c1", "c2", *_sketch("s")])
 
 
 def region_rows(batches, width, percent):
@@ -284,7 +304,12 @@ def _open(members: DataFrame, tied: DataFrame) -> DataFrame:
 
 
 def _fits(percent: int):
-    return F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    """What the sizes and sketches of two linked sets satisfy."""
+    apart = sum(
+        (F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+         for a, b in zip(_sketch("s"), _sketch("t"), strict=True)), F.lit(0))
+    return (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (
+        apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
 
 
 def jaccard_components(
@@ -301,9 +326,11 @@ def jaccard_components(
         id_key().alias("k"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sets = stored(mapped(
-        texts, class_rows, "k long, th long, n long, c1 long, c2 long", width=width), "sets")
+        texts, class_rows, "k long, th long, n long, c1 long, c2 long, "
+        + ", ".join(f"{c} long" for c in _sketch("s")), width=width), "sets")
     classes = stored(sets.where("n > 0").groupBy("c1", "c2").agg(
-        F.min(F.struct("k", "th")).alias("first"), F.first("n").alias("n"))
+        F.min(F.struct("k", "th")).alias("first"), F.first("n").alias("n"),
+        *[F.first(c).alias(c) for c in _sketch("s")])
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     shared = stored(mapped(
         mapped(texts.select("text"), region_rows, "region long, c1 long, c2 long",
@@ -314,18 +341,20 @@ def jaccard_components(
     nodes = stored(classes.join(ways, ["c1", "c2"]), "nodes")
     order = Window.partitionBy("region").orderBy(F.desc("ways"), "node")
     members = stored(
-        shared.join(nodes.select("c1", "c2", "node", "n", "ways"), ["c1", "c2"])
+        shared.join(nodes.drop("first"), ["c1", "c2"])
         .withColumn("rank", F.row_number().over(order) - 1)
-        .select("region", "rank", "node", "n", F.col("node").alias("component")), "members")
+        .select("region", "rank", "node", "n", F.col("node").alias("component"),
+                *_sketch("s")), "members")
     wanted = nodes.select("node", "first.k", "first.th")
     own = stored(texts.join(wanted, ["k", "th"]).dropDuplicates(["node"]).select(
         "node", "text"), "texts")
 
     links, known, tied, left = None, None, None, members
     for turn in range(pivots + 1):
-        near = left.select("region", "node", "n", "component", "rank")
+        near = left.select("region", "node", "n", "component", "rank", *_sketch("s"))
         far = left.select("region", F.col("node").alias("pivot"), F.col("n").alias("m"),
-                          F.col("component").alias("other"), F.col("rank").alias("at"))
+                          F.col("component").alias("other"), F.col("rank").alias("at"),
+                          *[F.col(a).alias(b) for a, b in zip(_sketch("s"), _sketch("t"))])
         last = turn == pivots
         met = near.join(far.where(f"at {'>=' if last else '='} {turn}"), "region").where(
             "rank > at AND component <> other").where(_fits(percent))
