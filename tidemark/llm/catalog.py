@@ -7,15 +7,18 @@ from tidemark.llm.chat_format import op7_chat_format
 from tidemark.llm.decontamination import op5_decontamination
 from tidemark.llm.fingerprints import op8_fingerprints
 from tidemark.llm.jaccard_join import op4_jaccard_join
+from tidemark.llm.language_model import op6_lm_scoring
 from tidemark.llm.line_dedup import op10_line_dedup
 from tidemark.llm.packing import op2_best_fit_packing
 from tidemark.llm.quality import op9_quality_classifier
 from tidemark.llm.secret_scan import op1_secret_scan
+from tidemark.llm.suffix_dedup import op3_suffix_dedup
 
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_secret_scan, op2_best_fit_packing, op4_jaccard_join, op5_decontamination, op7_chat_format, op8_fingerprints,
+        op1_secret_scan, op2_best_fit_packing, op3_suffix_dedup, op4_jaccard_join,
+        op5_decontamination, op6_lm_scoring, op7_chat_format, op8_fingerprints,
         op9_quality_classifier, op10_line_dedup,
     )
 }

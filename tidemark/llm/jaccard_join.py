@@ -45,7 +45,7 @@ WIDTH = 3
 PERCENT = 90
 
 #: Pivots tried in a region before what is left of it is compared pair by pair.
-PIVOTS = 4
+PIVOTS = 2
 
 #: Members compared with one copy of a pivot.
 FAN_OUT = 500
@@ -303,6 +303,13 @@ def _open(members: DataFrame, tied: DataFrame) -> DataFrame:
     return stored(placed.join(several.select("region"), "region", "left_semi"), "open")
 
 
+def _other(drawn: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` with the size and sketch of their pivot."""
+    return rows.join(drawn.select(
+        F.col("node").alias("pivot"), F.col("n").alias("m"),
+        *[F.col(a).alias(b) for a, b in zip(_sketch("s"), _sketch("t"), strict=True)]), "pivot")
+
+
 def _fits(percent: int):
     """What the sizes and sketches of two linked sets satisfy."""
     apart = sum(
@@ -341,24 +348,36 @@ def jaccard_components(
     nodes = stored(classes.join(ways, ["c1", "c2"]), "nodes")
     order = Window.partitionBy("region").orderBy(F.desc("ways"), "node")
     members = stored(
-        shared.join(nodes.drop("first"), ["c1", "c2"])
+        shared.join(nodes.select("c1", "c2", "node", "n", "ways"), ["c1", "c2"])
         .withColumn("rank", F.row_number().over(order) - 1)
-        .select("region", "rank", "node", "n", F.col("node").alias("component"),
-                *_sketch("s")), "members")
+        .withColumn("pivot", F.first("node").over(order))
+        .select("region", "rank", "node", "n", "pivot", F.col("node").alias("component")),
+        "members")
+    drawn = nodes.select("node", "n", *_sketch("s"))
     wanted = nodes.select("node", "first.k", "first.th")
     own = stored(texts.join(wanted, ["k", "th"]).dropDuplicates(["node"]).select(
         "node", "text"), "texts")
 
     links, known, tied, left = None, None, None, members
     for turn in range(pivots + 1):
-        near = left.select("region", "node", "n", "component", "rank", *_sketch("s"))
-        far = left.select("region", F.col("node").alias("pivot"), F.col("n").alias("m"),
-                          F.col("component").alias("other"), F.col("rank").alias("at"),
-                          *[F.col(a).alias(b) for a, b in zip(_sketch("s"), _sketch("t"))])
         last = turn == pivots
-        met = near.join(far.where(f"at {'>=' if last else '='} {turn}"), "region").where(
-            "rank > at AND component <> other").where(_fits(percent))
-        pairs = met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+        if turn == 0:
+            met = left.where("rank > 0").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+        else:
+            near = left.select("region", "node", "component", "rank")
+            far = left.select("region", F.col("node").alias("pivot"),
+                              F.col("component").alias("other"), F.col("rank").alias("at"))
+            if last:  # here sketches are looked at before pairs are made
+                near, far = near.join(drawn, "node"), _other(drawn, far)
+            met = near.join(far.where(f"at {'>=' if last else '='} {turn}"), "region").where(
+                "rank > at AND component <> other")
+            met = (met.where(_fits(percent)) if last else met).select(
+                F.col("node").alias("a"), F.col("pivot").alias("b"))
+        pairs = met.distinct()
+        if not last:
+            pairs = _other(drawn, pairs.withColumnRenamed("b", "pivot").join(
+                drawn.withColumnRenamed("node", "a"), "a")).where(_fits(percent)).select(
+                "a", F.col("pivot").alias("b"))
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
             if last:
@@ -370,11 +389,10 @@ def jaccard_components(
             more = _linked(found, percent).select("a", "b")
             links = more if links is None else links.unionByName(more)
             tied = components(links)
-        if tied is None or last:
-            break
-        left = _open(left, tied)
-        if left.isEmpty():
-            break
+        if tied is not None and not last:
+            left = _open(left, tied)
+            if left.isEmpty():
+                break
     firsts = nodes.select("c1", "c2", "node", F.col("first").alias("own"))
     if tied is None:
         firsts = firsts.select("c1", "c2", F.col("own").alias("best"))
