@@ -34,7 +34,7 @@ WINDOW = 100
 GRAM = 16
 
 #: Grams with more different surroundings than this are split by window.
-CROWD = 5_000
+CROWD = 50_000
 
 #: Surroundings worked on at once in the last pass.
 AT_ONCE = 4096
@@ -42,6 +42,9 @@ AT_ONCE = 4096
 #: Where a text's order among those that share its id ends and its bytes begin.
 _PLACE_BITS = 40
 
+#: A stretch to cut is one number: its start (which may lie before the text), then its size.
+_SIZE_BITS = 16
+
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of every ``width`` neighbours."""
@@ -154,8 +157,8 @@ def repeat_rows(batches):
 
 def _marked(rows: np.ndarray, whole: bool):
     yield pa.RecordBatch.from_arrays(
-        [pa.array(rows[0]), pa.array(rows[2]), pa.array(rows[3]),
-         pa.array(np.full(rows.shape[1], whole))], names=["gram", "k", "at", "whole"])
+        [pa.array(np.zeros_like(rows[0]) if whole else rows[0]), pa.array(rows[2]),
+         pa.array(rows[3]), pa.array(np.full(rows.shape[1], whole))], names=["gram", "k", "at", "whole"])
 
 
 def surrounding_rows(batches, window, gram):
@@ -189,9 +192,12 @@ def _cells(batch: pa.RecordBatch, width: int) -> np.ndarray:
 def _window_hashes(cells: np.ndarray, window: int, places: int) -> np.ndarray:
     """For each row the hash of the window that begins at each of its first ``places``."""
     count, width = cells.shape
-    sums = Sums(cells.ravel())
-    start = (np.arange(count) * width)[:, None] + np.arange(places)
-    return mix(sums.of(start, start + window))
+    out = np.zeros((count, places), np.uint64)
+    for i in range(0, count, AT_ONCE):
+        block = cells[i : i + AT_ONCE]
+        start = (np.arange(len(block)) * width)[:, None] + np.arange(places)
+        out[i : i + AT_ONCE] = mix(Sums(block.ravel()).of(start, start + window))
+    return out
 
 
 def covered_rows(batches, window, gram):
@@ -242,10 +248,11 @@ def _stretches(batch, repeated, window, places) -> pa.RecordBatch:
     _, end = np.nonzero(turns == -1)
     at = batch["at"].to_numpy()[row]
     place = at & ((1 << _PLACE_BITS) - 1)
+    start = place - (places - 1) + begin
+    size = place - places + end + window - start
     return pa.RecordBatch.from_arrays(
         [batch["k"].take(pa.array(row)), pa.array(at >> _PLACE_BITS),
-         pa.array(place - (places - 1) + begin), pa.array(place - places + end + window)],
-        names=["k", "salt", "start", "stop"])
+         pa.array((start << _SIZE_BITS) + size)], names=["k", "salt", "cut"])
 
 
 def window_rows(batches, window, gram):
@@ -279,8 +286,11 @@ def cut_rows(batches):
                 spans.append(0)
                 continue
             edges = np.zeros(len(data) + 1, np.int64)
-            np.add.at(edges, np.maximum([c["start"] for c in cuts], 0), 1)
-            np.add.at(edges, np.minimum([c["stop"] for c in cuts], len(data)), -1)
+            cuts = np.array(cuts, np.int64)
+            start = cuts >> _SIZE_BITS
+            stop = start + (cuts & ((1 << _SIZE_BITS) - 1))
+            np.add.at(edges, np.maximum(start, 0), 1)
+            np.add.at(edges, np.minimum(stop, len(data)), -1)
             gone = np.cumsum(edges[:-1]) > 0
             kept.append(data[~gone].tobytes())
             removed.append(int(gone.sum()))
@@ -317,11 +327,12 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     several = marks.where("NOT whole")
     crowded = several.groupBy("gram").count().where(F.col("count") > CROWD).select(
         "gram", F.lit(True).alias("crowded"))
-    wanted = several.groupBy("k", salted).agg(
-        F.collect_list(F.struct("gram", "at")).alias("marks"))
-    met = texts.select("k", "salt", "text").join(wanted, ["k", "salt"])
+    keys = ["k", "salt"] if shared_ids else ["k"]
+    wanted = several.select("k", salted, F.struct("gram", "at").alias("mark")).groupBy(*keys).agg(
+        F.collect_list("mark").alias("marks"))
+    met = texts.select(*keys, "text").join(wanted, keys)
     if shared_ids:
-        met = met.dropDuplicates(["k", "salt"])
+        met = met.dropDuplicates(keys)
     around = stored(mapped(
         met.select("k", "text", "marks"), surrounding_rows,
         "gram long, k long, at long, before int, after int, around binary",
@@ -330,7 +341,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     few = mapped(
         sized.where("crowded IS NULL").drop("crowded").repartition("gram")
         .sortWithinPartitions("gram", "k", "at"), covered_rows,
-        "k long, salt long, start long, stop long", window=window, gram=gram)
+        "k long, salt long, cut long", window=window, gram=gram)
     windows = mapped(
         sized.where("crowded").drop("crowded"), window_rows,
         "w1 long, w2 long, k long, at long", window=window, gram=gram)
@@ -339,13 +350,14 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
         F.min(F.struct("k", "at")).alias("first"), F.count("*").alias("n"))
         .where("n > 1").drop("n"), "firsts")
     many = windows.join(firsts, ["w1", "w2"]).where(
-        F.struct("k", "at") > F.col("first")).select("k", salted, place.alias("start")).distinct(
-    ).withColumn("stop", F.col("start") + window)
-    whole = marks.where("whole").select(
-        "k", salted, (place - (window - gram)).alias("start"), (place + window).alias("stop"))
-    cuts = whole.unionByName(few).unionByName(many).groupBy("k", "salt").agg(
-        F.collect_list(F.struct("start", "stop")).alias("cuts"))
-    rows = texts.join(cuts, ["k", "salt"], "left")
+        F.struct("k", "at") > F.col("first")).select(
+        "k", salted, (F.shiftleft(place, _SIZE_BITS) + window).alias("cut")).distinct()
+    before = window - gram
+    whole = marks.where("whole").select("k", salted, (
+        F.shiftleft(place - before, _SIZE_BITS) + before + window).alias("cut"))
+    cuts = whole.unionByName(few).unionByName(many).groupBy(*keys).agg(
+        F.collect_list("cut").alias("cuts"))
+    rows = (texts if shared_ids else texts.drop("salt")).join(cuts, keys, "left")
     return mapped(rows.select("row", "text", "cuts"), cut_rows, with_row(
         rows, "kept binary, n_bytes long, n_removed long, n_spans long"))
 
