@@ -251,7 +251,7 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     salted = stored(pairs.join(fans, "b").select(
         F.col("a").alias("node"), F.col("b").alias("pivot"),
         F.pmod(F.xxhash64("a"), F.col("fans")).alias("salt")), "pairs")
-    members = salted.join(texts, "node").select(
+    members = salted.hint("merge").join(texts, "node").select(
         "pivot", "salt", F.lit(1).alias("kind"), "node", "text")
     pivots = salted.select("pivot", "salt").distinct().join(
         texts.withColumnRenamed("node", "pivot"), "pivot").select(
@@ -348,14 +348,15 @@ def jaccard_components(
     nodes = stored(classes.join(ways, ["c1", "c2"]), "nodes")
     order = Window.partitionBy("region").orderBy(F.desc("ways"), "node")
     members = stored(
-        shared.join(nodes.select("c1", "c2", "node", "n", "ways"), ["c1", "c2"])
+        shared.join(nodes.select("c1", "c2", "node", "n", "ways").hint("merge"), ["c1", "c2"])
         .withColumn("rank", F.row_number().over(order) - 1)
         .withColumn("pivot", F.first("node").over(order))
         .select("region", "rank", "node", "n", "pivot", F.col("node").alias("component")),
         "members")
     drawn = nodes.select("node", "n", *_sketch("s"))
     wanted = nodes.select("node", "first.k", "first.th")
-    own = stored(texts.join(wanted, ["k", "th"]).dropDuplicates(["node"]).select(
+    # Shuffled at every size: what is wanted grows with the input.
+    own = stored(texts.join(wanted.hint("merge"), ["k", "th"]).dropDuplicates(["node"]).select(
         "node", "text"), "texts")
 
     links, known, tied, left = None, None, None, members
@@ -403,7 +404,7 @@ def jaccard_components(
         firsts = placed.join(best, "component").select("c1", "c2", "best")
     named = stored(classes.join(firsts, ["c1", "c2"], "left").select(
         "c1", "c2", F.coalesce("best", "first").alias("best")), "named")
-    return sets.where("n > 0").join(named, ["c1", "c2"]).select(
+    return sets.where("n > 0").join(named.hint("merge"), ["c1", "c2"]).select(
         "k", "th", F.col("n").alias("n_shingles"), F.col("best").alias("first"),
     ).unionByName(sets.where("n = 0").select(
         "k", "th", F.col("n").alias("n_shingles"), F.struct("k", "th").alias("first")))
@@ -429,7 +430,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.struct(*docs.columns).alias("row"), id_key().alias("k"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     again = Window.partitionBy("k", "th").orderBy(F.lit(1))
-    return rows.join(kept, ["k", "th"]).withColumn("again", F.row_number().over(again)).where(
+    return rows.join(kept.hint("merge"), ["k", "th"]).withColumn("again", F.row_number().over(again)).where(
         "again = 1 OR n = 0").select("row.*")
 
 
