@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_set, mapped, parts, table, with_row
+from tidemark.llm.common import byte_set, mapped, parts, table, with_row, words
 
 KINDS = ("assign", "access", "hex")
 
@@ -270,12 +270,8 @@ def _suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Texts with a long run of hexadecimal or base64 digits, or with an escape."""
     marked = np.zeros(len(offsets) - 1, bool)
     for digits, least in ((_HEX_BYTES, 24), (_BASE64_BYTES, 16)):
-        inside = np.concatenate([[False], digits[data], [False]]).view(np.int8)
-        turns = np.diff(inside)
-        starts, ends = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
-        long = ends - starts >= least  # a run over several texts may be none; it is looked at
-        for at in (starts[long], ends[long] - 1):
-            marked[np.searchsorted(offsets, at, side="right") - 1] = True
+        starts, ends, owner = words(data, offsets, ~digits)
+        marked[owner[ends - starts >= least]] = True
     return marked
 
 
