@@ -9,8 +9,9 @@ from tidemark.operators.changes import current_rows, flatten
 from tidemark.operators.sales import DAY, TIMESTAMP, sales_metrics
 from tidemark.schemas import ORDER_ITEMS, ORDERS
 from tidemark.settings import WATERMARK_DELAY
-from tidemark.sources.feeds import decode_json, file_feed
+from tidemark.sources.feeds import decode_json, encode_metrics, file_feed
 from tidemark.streaming import revising
+from tidemark.streaming.joined import joined_sales, start_joined_sales
 from tidemark.streaming.revising import RevisingSales
 from tidemark.streaming.views import maintain_table, trigger_options
 from tidemark.streaming.windowed import windowed_daily_sales
@@ -138,6 +139,58 @@ def test_view_appends_every_version_once(spark, tmp_path):
     assert rows.select("kafka_ts").distinct().count() == 2
 
 
+def test_withdrawn_days_are_sent_without_measures(spark, job):
+    run(spark, job, [A2, I1])
+    assert encode_metrics(job.revised(spark, 0)).first().value is not None
+    run(spark, job, [A3], first=1)
+    assert [(str(r.sale_date), r.total_orders) for r in job.revised(spark, 1).collect()] == [
+        ("2024-01-01", None)]
+    sent = encode_metrics(job.revised(spark, 1)).collect()
+    assert [(r.key[:17], r.value) for r in sent] == [('{"ts":"2024-01-01', None)]
+
+
+def test_another_number_of_buckets_is_refused(spark, job):
+    run(spark, job, [A2, I1])
+    with pytest.raises(ValueError, match="2 buckets"):
+        run(spark, RevisingSales(job.root, buckets=7), [I1_MORE], first=1)
+    again = RevisingSales(job.root)
+    assert run(spark, again, [I1_MORE], first=1) == batch_result(spark, [A2, I1, I1_MORE])
+
+
+def test_view_sets_unreadable_changes_aside(spark, tmp_path):
+    landing, table, progress = (str(tmp_path / n) for n in ("feed", "orders", "progress"))
+    feed(spark, [A1, (*A1[:5], "{broken")]).write.parquet(landing)
+    maintain_table(file_feed(spark, landing), ORDERS, table, progress, run_once=True).awaitTermination()
+    assert spark.read.parquet(table).count() == 1
+    assert spark.read.parquet(f"{table}_aside").count() == 1
+
+
+def test_joined_sales_know_no_distance_in_time(spark, tmp_path):
+    dirs = {n: str(tmp_path / n) for n in ("items", "orders")}
+    item = ("SELECT '{0}' AS order_id, {1}L AS quantity, CAST(10 AS DECIMAL(10,2)) AS price, "
+            "CAST(7 AS DECIMAL(10,2)) AS cost_price, TIMESTAMP '{2}' AS ts")
+
+    def step(items, orders):
+        made = {
+            "items": [item.format(*i) for i in items],
+            "orders": [f"SELECT '{o}' AS order_id, '{s}' AS status" for o, s in orders],
+        }
+        streams = []
+        for name, rows in made.items():
+            spark.sql(" UNION ALL ".join(rows)).write.mode("append").parquet(dirs[name])
+            schema = spark.read.parquet(dirs[name]).schema
+            streams.append(spark.readStream.schema(schema).parquet(dirs[name]))
+        start_joined_sales(spark, *streams, str(tmp_path / "job"), run_once=True).awaitTermination()
+        return {d: m[:2] for d, m in metrics(joined_sales(spark, str(tmp_path / "job"))).items()}
+
+    first = step(
+        [("A", 1, "2019-01-01 01:00:00"), ("A", 2, "2024-06-01 02:00:00"), ("B", 4, "2019-01-01 03:00:00")],
+        [("A", "Completed"), ("A", "Completed"), ("B", "Pending")])
+    assert first == {"2019-01-01": (1, 1), "2024-06-01": (1, 2)}
+    second = step([("C", 8, "2024-06-01 04:00:00")], [("B", "Completed"), ("A", "Completed")])
+    assert second == {"2019-01-01": (2, 5), "2024-06-01": (1, 2)}
+
+
 def test_triggers():
     assert trigger_options(False) == {"processingTime": "60 seconds"}
     assert trigger_options(True) == {"availableNow": True}
@@ -159,7 +212,7 @@ def test_windowed_job_drops_late_rows(spark, tmp_path):
             spark.readStream.schema(spark.read.parquet(p).schema).parquet(p) for p in (items_dir, orders_dir)
         ]
         (
-            windowed_daily_sales(*streams).writeStream.format("parquet").outputMode("append")
+            windowed_daily_sales(*streams, "7 days", "120 days").writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", progress).trigger(availableNow=True).start(out).awaitTermination()
         )
         return metrics(spark.read.parquet(out))

@@ -13,8 +13,6 @@ from tidemark.catalog.queries import (
     MARK,
     PRICE_CUT,
 )
-from tidemark.settings import WATERMARK_DELAY
-from tidemark.streaming.windowed import EARLY, LATE
 
 # The shop's tables and change log; money in whole cents ---------------------------
 
@@ -142,19 +140,7 @@ FROM {{items}} AS i JOIN {{orders}} AS o ON i.order_id = o.order_id
 WHERE o.status = 'Completed'
 GROUP BY i.kafka_ts"""
 
-# The append stream joins a day's end to the orders in reach. It emits a day once the
-# slower of its inputs, less the watermark delay and the reach of the join, has passed
-# the day's end; later days are still open.
-_DAY_END = "(CAST(i.kafka_ts AS DATE) + INTERVAL '1 day')"
-_APPEND = _daily(
-    "shop_items", "shop_orders", last="",
-    where=f"""AND {_DAY_END} - INTERVAL '1 microsecond' >= o.updated_at - INTERVAL '{EARLY}'
-  AND {_DAY_END} - INTERVAL '1 microsecond' <= o.updated_at + INTERVAL '{LATE}'
-  AND {_DAY_END} <= (
-      SELECT least((SELECT MAX(kafka_ts) FROM shop_items),
-                   (SELECT MAX(updated_at) FROM shop_orders WHERE status = 'Completed'))
-  ) - INTERVAL '{WATERMARK_DELAY}' - INTERVAL '{LATE}'""",
-)
+_APPEND = _daily("shop_items", "shop_orders", last="")
 
 # Upserts --------------------------------------------------------------------------
 

@@ -20,9 +20,8 @@ from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS, ShopTable
 from tidemark.session import stateful_session, work_dir
 from tidemark.sinks import tables
 from tidemark.sources import feeds, shop
-from tidemark.streaming import views
+from tidemark.streaming import joined, views
 from tidemark.streaming.revising import RevisingSales
-from tidemark.streaming.windowed import windowed_daily_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -374,19 +373,14 @@ def stream_cdc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sales_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Watermarked daily sales over the item and order tables read as streams."""
+    """Daily sales by a stream join without a time bound, the tables read as streams."""
     root = work_dir(spark, "append")
     streams = stateful_session(spark)
     items = shop.order_items(streams, sf_dir, stream=True).withColumnRenamed("kafka_ts", "ts")
     orders = shop.orders(streams, sf_dir, settings.COMPLETED, stream=True)
     orders = orders.withColumnRenamed("updated_at", "order_ts")
-    query = (
-        windowed_daily_sales(items, orders).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", f"{root}/progress")
-        .trigger(availableNow=True).start(f"{root}/sales")
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{root}/sales")
+    joined.start_joined_sales(spark, items, orders, root, run_once=True).awaitTermination()
+    return joined.joined_sales(spark, root)
 
 
 REGISTERED: dict[str, Query] = {

@@ -3,11 +3,10 @@
 An item counts when its order is Completed. Items are summed per order and day (or
 timestamp), so that counting distinct orders becomes counting rows.
 
-The Completed orders are joined in by a semi join, on one side of that sum or the
-other. Where they are small enough for Spark to broadcast, they thin out the items
-before the sum, without a shuffle. Otherwise the items are summed before they are
-shuffled to the orders: an order with a third of all items then leaves every map
-task as one row per day.
+The Completed orders are joined in by a semi join after that sum, at every size: an
+order with a third of all items leaves every map task as one row per day. How it is
+joined is left to Spark, whose optimizer moves the semi join below the sum where it can
+broadcast the orders.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import as_total, average_cents, cents
-from tidemark.functions.sizing import can_broadcast
 from tidemark.settings import COMPLETED
 
 DAY = "day"
@@ -89,12 +87,7 @@ def sales_metrics(
 ) -> DataFrame:
     """Sales per day or per timestamp over the current items and orders."""
     counted = completed(orders).select("order_id")
-    if can_broadcast(counted):
-        sold = order_sums(
-            items.join(counted, "order_id", "left_semi"), grain, ts_column, weight
-        )
-    else:
-        sold = order_sums(items, grain, ts_column, weight).join(counted, "order_id", "left_semi")
+    sold = order_sums(items, grain, ts_column, weight).join(counted, "order_id", "left_semi")
     return roll_up(sold, KEY_NAME[grain])
 
 

@@ -16,6 +16,7 @@ from tidemark.schemas import ORDER_ITEMS, ORDERS, ShopTable
 from tidemark.sinks.tables import (
     BUCKET,
     finish_loads,
+    fixed_buckets,
     overwrite,
     publish_together,
     read_or_empty,
@@ -37,15 +38,26 @@ def source_table(spark: SparkSession, root: str, table: ShopTable) -> DataFrame:
 
 
 def create_table(rows: DataFrame, root: str, table: ShopTable, buckets: int = BUCKETS) -> None:
-    """Drop and recreate a source table from rows with unique keys."""
+    """Drop and recreate a source table from rows with unique keys.
+
+    The number of buckets belongs to the table from then on.
+    """
+    count = rows.sparkSession.range(1).select(F.lit(buckets).alias("buckets"))
+    overwrite(count, _count_path(root, table))
     laid_out = with_bucket(rows.select(*table.columns), table.key, buckets)
     overwrite(spread(laid_out, BUCKET), f"{root}/{table.name}", BUCKET)
 
 
+def _count_path(root: str, table: ShopTable) -> str:
+    return f"{root}/_buckets/{table.name}"
+
+
 def upserted_buckets(
-    spark: SparkSession, root: str, incoming: DataFrame, table: ShopTable, buckets: int = BUCKETS
+    spark: SparkSession, root: str, incoming: DataFrame, table: ShopTable,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The new content of the buckets the incoming rows fall into."""
+    buckets = fixed_buckets(spark, _count_path(root, table), buckets, BUCKETS)
     rows = with_defaults(one_row_per_key(incoming, table), table)
     touched = values_of(with_bucket(incoming.select(table.key), table.key, buckets), BUCKET)
     stored = read_or_empty(spark, f"{root}/{table.name}", _stored_schema(table))
@@ -59,12 +71,13 @@ def ingest_day(
     day: str,
     orders_csv: str,
     items_csv: str,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
     """Upsert the extract rows last updated on ``day`` (``yyyy-MM-dd``).
 
     An earlier load that was interrupted while publishing is finished first. Running
     a day again changes nothing; errors are raised and leave the tables as they were.
+    ``buckets`` need not be given; one that is not the tables' own is refused.
     """
     finish_loads(spark, root, {t.name: _stored_schema(t) for t in (ORDERS, ORDER_ITEMS)})
     outcome = {}

@@ -96,6 +96,23 @@ def in_storage_order(rows: DataFrame, table: ShopTable) -> DataFrame:
     return rows.sortWithinPartitions(*month_partitions(table), *map(F.expr, table.sort))
 
 
+def fixed_buckets(
+    spark: SparkSession, path: str, wanted: int | None = None, default: int = 64
+) -> int:
+    """The number of hash buckets of a table, stored at ``path`` when it is first asked for.
+
+    A key's bucket depends on the number, so another one later would look for rows, and put
+    them, where they are not: it is refused.
+    """
+    if not is_complete(spark, path):
+        count = spark.range(1).select(F.lit(wanted or default).alias("buckets"))
+        overwrite(count, path)
+    held = spark.read.schema("buckets int").parquet(path).first()["buckets"]
+    if wanted not in (None, held):
+        raise ValueError(f"{path}: the table has {held} buckets, not {wanted}")
+    return held
+
+
 def append_sorted(rows: DataFrame, path: str, table: ShopTable) -> None:
     """Append to a stored table in its sort order.
 
@@ -153,7 +170,8 @@ def read_days(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def expire_before(spark: SparkSession, path: str, day: str, column: str, month: str = MONTH) -> None:
     """Drop rows older than ``day``: whole months by folder, the cut month by rewrite.
 
-    Only the list of months comes to the driver.
+    Only the list of months comes to the driver. Rows without a month are kept: their age
+    is not known.
     """
     table = spark.read.parquet(path)
     cut_day = F.lit(day).cast("date")
@@ -165,7 +183,7 @@ def expire_before(spark: SparkSession, path: str, day: str, column: str, month:
     target, fs = _hadoop_path(spark, path)
     for status in fs.listStatus(target):
         name, _, value = status.getPath().getName().partition("=")
-        if name != month:
+        if name != month or not value.isdigit():
             continue
         if int(value) < cut_month or (int(value) == cut_month and cut_to_nothing):
             fs.delete(status.getPath(), True)

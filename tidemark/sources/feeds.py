@@ -135,18 +135,24 @@ def decode_avro(
 
 
 def decode_metrics(feed: DataFrame) -> DataFrame:
-    """Rows of the metrics topic."""
-    records = feed.where(F.col("topic") == settings.METRICS_TOPIC)
+    """Rows of the metrics topic; withdrawn keys have none."""
+    records = feed.where(F.col("topic") == settings.METRICS_TOPIC).where("value IS NOT NULL")
     return records.select(
         F.from_json(F.col("value").cast("string"), METRICS_RECORD).alias("m")
     ).select("m.*")
 
 
 def encode_metrics(metrics: DataFrame) -> DataFrame:
-    """Key and value of metrics-topic records, one per timestamp."""
+    """Key and value of metrics-topic records, one per timestamp or day.
+
+    A day is keyed by its first instant. A row without measures was withdrawn: its value is
+    NULL, which removes the key downstream.
+    """
+    if "ts" not in metrics.columns:
+        metrics = metrics.withColumn("ts", F.col("sale_date").cast("timestamp"))
     columns = METRICS_RECORD.fieldNames()
     return metrics.select(
         F.lit(settings.METRICS_TOPIC).alias("topic"),
         F.to_json(F.struct("ts")).alias("key"),
-        F.to_json(F.struct(*columns)).alias("value"),
+        F.when(F.col("total_orders").isNotNull(), F.to_json(F.struct(*columns))).alias("value"),
     )

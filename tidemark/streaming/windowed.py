@@ -4,9 +4,10 @@ Each day is emitted once, when the watermark has passed it. Late rows are droppe
 and results never revised; ``revising`` is the exact job. Items are summed per day
 and order before they meet the orders: an order with a third of all items reaches the
 join as one row per day, and the join's state holds no single items. A day joins the
-orders within ``EARLY`` before and ``LATE`` after its end. That bounds the join state,
-and it also holds the result back: a day is final once the slower stream has passed
-it by ``LATE``.
+orders within ``early`` before and ``late`` after its end, and no others: items of orders
+further away are left out. That bounds the join state, and it also holds the result back:
+a day is final once the slower stream has passed it by ``late``. Where orders and items may
+lie any time apart, use ``joined``.
 """
 
 from __future__ import annotations
@@ -18,11 +19,10 @@ from tidemark.functions.money import cents
 from tidemark.operators.sales import completed, finish
 from tidemark.settings import WATERMARK_DELAY
 
-EARLY = "7 days"
-LATE = "120 days"
 
-
-def windowed_daily_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
+def windowed_daily_sales(
+    items: DataFrame, orders: DataFrame, early: str, late: str
+) -> DataFrame:
     """Daily sales from two streams: items with ``ts``, orders with ``order_ts``.
 
     The orders stream must carry each Completed order once. After the join there is
@@ -42,8 +42,8 @@ def windowed_daily_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
         .withWatermark("order_ts", WATERMARK_DELAY)
     )
     in_reach = F.expr(
-        f"order_id = completed_id AND day_end >= order_ts - INTERVAL {EARLY}"
-        f" AND day_end <= order_ts + INTERVAL {LATE}"
+        f"order_id = completed_id AND day_end >= order_ts - INTERVAL {early}"
+        f" AND day_end <= order_ts + INTERVAL {late}"
     )
     per_day = per_order.join(placed, in_reach).groupBy(F.window("day_end", "1 day")).agg(
         F.count(F.lit(1)).alias("total_orders"),
