@@ -62,7 +62,7 @@ def main(argv: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, failed = connect(sf_dir), oracle_sql(), 0
     for name, query in queries().items():
-        if argv[1:] and name not in argv[1:]:
+        if name not in sqls or argv[1:] and name not in argv[1:]:
             continue
         start = time.time()
         try:
