@@ -396,7 +396,8 @@ def test_sparse_sites_keep_the_prior(spark):
 # 10 --------------------------------------------------------------------------------
 
 
-def test_lines(spark, texts):
+@pytest.mark.parametrize("share", [line_dedup.SHARE, 40, 1])  # all, some and no hot lines
+def test_lines(spark, texts, share):
     given = [*texts, "  Same LINE here\t\nx", "same line here\nsame line here", "É long line!",
              "é long line!", "short\nshort", "short"]
     keys = [[line_dedup.line_key(x).decode() for x in (t or "").encode().split(b"\n")]
@@ -405,7 +406,7 @@ def test_lines(spark, texts):
     for i, own in enumerate(keys):
         for key in own:
             holders.setdefault(key, []).append(i)
-    for row in line_dedup.drop_repeated_lines(documents(spark, given)).collect():
+    for row in line_dedup.drop_repeated_lines(documents(spark, given), share=share).collect():
         i = row["row"]["doc_id"]
         lines = (given[i] or "").split("\n")
         kept = [x for x, k in zip(lines, keys[i], strict=True)

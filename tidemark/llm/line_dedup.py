@@ -2,8 +2,10 @@
 
 Lines are exploded and hashed (128 bits); each hash gets its first and last document, so
 that an aggregate combined on the map side tells the lines found in two documents or more,
-however hot a line is. The hashes that a document loses are gathered for that document,
-whose lines are then joined again by position. Texts move once, to meet these hashes.
+however hot a line is. Lines that hold more than one in ``SHARE`` of all rows are then met
+where they lie, by a broadcast of at most ``SHARE`` rows; all others by a shuffle. The hashes
+that a document loses are gathered for that document, whose lines are then joined again by
+position. Texts move once, to meet these hashes.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from tidemark.llm.common import id_key, mapped, stored, table, with_row
 #: Shorter keys (in code points) are never dropped.
 LEAST_LENGTH = 10
 
+#: A line is hot from one in so many of all rows, so that there are never more hot lines.
+SHARE = 1000
+
 
 def line_key(line: bytes) -> bytes:
     return line.strip(b" \t\n\v\f\r").lower()
@@ -75,7 +80,9 @@ def without_lines(batches, least):
         )
 
 
-def drop_repeated_lines(docs: DataFrame, least: int = LEAST_LENGTH) -> DataFrame:
+def drop_repeated_lines(
+    docs: DataFrame, least: int = LEAST_LENGTH, share: int = SHARE
+) -> DataFrame:
     """One row per document: ``row`` (all its columns but the text), ``text``, counts.
 
     A line's key is the line without white space at its ends, A to Z lower-cased. Keys of
@@ -92,13 +99,19 @@ def drop_repeated_lines(docs: DataFrame, least: int = LEAST_LENGTH) -> DataFrame
         mapped(rows.select("k", "text"), line_hashes, "k long, h1 long, h2 long", least=least),
         "lines",
     )
-    repeated = (
-        lines.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-        .where("first < last").drop("last")
+    repeated = stored(
+        lines.groupBy("h1", "h2").agg(
+            F.min("k").alias("first"), F.max("k").alias("last"), F.count("*").alias("n"))
+        .where("first < last").drop("last"),
+        "repeated",
     )
+    hot_from = lines.count() / share
+    hot = F.broadcast(repeated.where(F.col("n") > hot_from).drop("n"))
+    rest = lines.join(hot, ["h1", "h2"], "left_anti").join(
+        repeated.where(F.col("n") <= hot_from).drop("n"), ["h1", "h2"])
     lost = (
-        lines.join(repeated, ["h1", "h2"]).where("k <> first").distinct()
-        .groupBy("k").agg(F.collect_list(F.struct("h1", "h2")).alias("lost"))
+        lines.join(hot, ["h1", "h2"]).unionByName(rest).where("k <> first")
+        .groupBy("k").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
     )
     return mapped(
         rows.join(lost, "k", "left").drop("k"), without_lines,
