@@ -48,9 +48,11 @@ def test_unreadable_rows_are_set_aside(spark):
     bad_time = (*bad_time[:5], bad_time[5].replace("2024-01-01T00:00:00Z", "yesterday"))
     no_key = record("orders", "order_id", None, 2, "2024-01-01 00:00:00", {"op": "d"})
     garbage = (*order_record(3, "2024-01-01 00:00:00", "c", "C", "Pending")[:5], "{broken")
+    bad_number = order_record(5, "2024-01-01 00:00:00", "c", "E", "Pending")
+    bad_number = (*bad_number[:5], bad_number[5].replace("1.5", '"much"'))
     fine = order_record(4, "2024-01-01 00:00:00", "c", "D", "Pending")
-    changes = decode_json(feed(spark, [bad_time, no_key, garbage, fine]), ORDERS)
-    assert {r.offset for r in unreadable(changes, ORDERS).collect()} == {1, 2, 3}
+    changes = decode_json(feed(spark, [bad_time, no_key, garbage, bad_number, fine]), ORDERS)
+    assert {r.offset for r in unreadable(changes, ORDERS).collect()} == {1, 2, 3, 5}
     usable = readable(flatten(changes, ORDERS), ORDERS).collect()
     assert {(r.order_id, r.created_at is None) for r in usable} == {("A", True), ("D", False)}
 

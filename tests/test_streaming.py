@@ -13,7 +13,12 @@ from tidemark.sources.feeds import decode_json, encode_metrics, file_feed
 from tidemark.streaming import revising
 from tidemark.streaming.joined import joined_sales, start_joined_sales
 from tidemark.streaming.revising import RevisingSales
-from tidemark.streaming.views import maintain_table, trigger_options
+from tidemark.streaming.views import (
+    maintain_metrics_days,
+    maintain_table,
+    stored_metrics_days,
+    trigger_options,
+)
 from tidemark.streaming.windowed import windowed_daily_sales
 
 
@@ -165,6 +170,24 @@ def test_view_sets_unreadable_changes_aside(spark, tmp_path):
     assert spark.read.parquet(f"{table}_aside").count() == 1
 
 
+def test_metrics_view_keeps_one_row_a_day_and_takes_withdrawals(spark, job, tmp_path):
+    landing, view = str(tmp_path / "records"), str(tmp_path / "view")
+
+    def step(number, records):
+        run(spark, job, records, first=number)
+        encode_metrics(job.revised(spark, number)).selectExpr(
+            "topic", "0 AS partition", f"{number}L AS offset", "TIMESTAMP '2024-01-01' AS timestamp",
+            "key", "value").write.mode("append").parquet(landing)
+        maintain_metrics_days(file_feed(spark, landing), view, run_once=True).awaitTermination()
+        got = metrics(stored_metrics_days(spark, view))
+        assert got == metrics(job.result(spark))
+        return {day: m[:2] for day, m in got.items()}
+
+    assert step(0, [B1, I1, I2, LATE]) == {"2023-12-31": (1, 8), "2024-01-01": (1, 2)}
+    assert step(1, [A2]) == {"2023-12-31": (1, 8), "2024-01-01": (2, 3)}
+    assert step(2, [A3, I2_GONE]) == {"2023-12-31": (1, 8)}
+
+
 def test_joined_sales_know_no_distance_in_time(spark, tmp_path):
     dirs = {n: str(tmp_path / n) for n in ("items", "orders")}
     item = ("SELECT '{0}' AS order_id, {1}L AS quantity, CAST(10 AS DECIMAL(10,2)) AS price, "

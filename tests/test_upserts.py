@@ -123,6 +123,8 @@ def test_days_are_loaded_one_by_one_and_again(spark, extracts, tmp_path):
             "A": ("C1", "Completed", "45.70", "2024-12-03"), "B": ("C2", "Pending", "31.91", "2024-12-04"),
         }
         assert source_table(spark, root, ORDER_ITEMS).count() == 2
+    assert {p.name for p in (tmp_path / "shop" / "_loads" / "day=2024-12-04").iterdir()} == {
+        "ready", "published"}
 
 
 def test_failed_load_leaves_both_tables_alone(spark, extracts, tmp_path):

@@ -39,7 +39,7 @@ shop_items AS (
            CAST(l_orderkey AS VARCHAR) AS order_id, product_id,
            CAST(l_quantity AS BIGINT) AS quantity, price, cost_price,
            l_shipdate AS created_at, l_shipdate AS updated_at,
-           l_shipdate + to_hours(l_linenumber) AS kafka_ts
+           l_shipdate + to_hours(l_linenumber) + to_milliseconds(l_orderkey % 4 * 250) AS kafka_ts
     FROM lineitem JOIN shop_products ON l_partkey = p_partkey
 ),
 order_log AS (
@@ -63,6 +63,17 @@ item_log AS (
     FROM shop_items, (VALUES (1), (2)) AS versions(v)
     WHERE v = 1 OR l_orderkey % 13 = 0
 ),
+product_log AS (
+    SELECT v AS version, CASE v WHEN 1 THEN 'c' WHEN 2 THEN 'u' ELSE 'd' END AS op, product_id,
+           CASE WHEN v < 3 THEN product_name END AS product_name,
+           CASE v WHEN 1 THEN price WHEN 2 THEN price + 1000 END AS price,
+           CASE WHEN v < 3 THEN cost_price END AS cost_price,
+           CASE WHEN v < 3 THEN listed END AS created_at,
+           CASE WHEN v < 3 THEN listed + to_days(v - 1) END AS updated_at,
+           listed + to_days(v - 1) AS event_ts, p_partkey * 4 + v AS "offset"
+    FROM shop_products, (VALUES (1), (2), (3)) AS versions(v)
+    WHERE v = 1 OR (v = 2 AND p_partkey % 5 = 0) OR (v = 3 AND p_partkey % 23 = 0)
+),
 live_orders AS (
     SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY event_ts DESC, "offset" DESC) AS rn
@@ -87,7 +98,7 @@ def _day(column: str) -> str:
 
 
 def _ts(column: str) -> str:
-    return f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%g')"
 
 
 def _money(cents: str) -> str:
@@ -107,6 +118,9 @@ _ITEM_ROW = dict(
     plain="order_item_id order_id product_id quantity", money="price cost_price",
     stamps="created_at updated_at",
 )
+_LOGGED_PRODUCT = dict(
+    plain="product_id product_name", money="price cost_price", stamps="created_at updated_at",
+)
 _PRODUCT_ROW = """product_id, product_name, CAST(price AS DOUBLE) / 100 AS price,
     CAST(cost_price AS DOUBLE) / 100 AS cost_price, {listed} AS created_at, {listed} AS updated_at
 """.format(listed=_ts("listed"))
@@ -145,13 +159,19 @@ _APPEND = _daily("shop_items", "shop_orders", last="")
 # Upserts --------------------------------------------------------------------------
 
 
-def _upserted_orders(customer: str, incoming: str) -> str:
+_EMPTY_AMOUNTS = """CASE WHEN n.order_id IS NULL THEN k.total_amount
+    WHEN CAST(n.order_id AS BIGINT) % 11 = 0 THEN 0 ELSE n.total_amount END"""
+
+
+def _upserted_orders(
+    customer: str, incoming: str, amount: str = "coalesce(n.total_amount, k.total_amount)"
+) -> str:
     """Known orders keep customer and creation time; the last update sets the rest."""
     return f"""
 SELECT coalesce(k.order_id, n.order_id) AS order_id,
        CASE WHEN k.order_id IS NOT NULL THEN k.customer_id ELSE {customer} END AS customer_id,
        coalesce(n.status, k.status) AS status,
-       {_money('coalesce(n.total_amount, k.total_amount)')} AS total_amount,
+       {_money(amount)} AS total_amount,
        {_ts('coalesce(k.created_at, n.created_at)')} AS created_at,
        {_ts('coalesce(n.updated_at, k.updated_at)')} AS updated_at
 FROM (SELECT * FROM order_log WHERE op = 'c' AND created_at < TIMESTAMP '{MARK}') AS k
@@ -216,8 +236,8 @@ def oracle_sql() -> dict[str, str]:
             f'SELECT op, "offset", {_ts("event_ts")} AS event_ts, {_columns(**_ITEM_ROW)} FROM item_log'
         ),
         "cdc_flatten_products": _sql(
-            f"SELECT 'c' AS op, CAST(1 AS BIGINT) AS \"offset\", {_ts('listed')} AS event_ts, "
-            f"{_PRODUCT_ROW} FROM shop_products"
+            f'SELECT op, "offset", {_ts("event_ts")} AS event_ts, {_columns(**_LOGGED_PRODUCT)} '
+            "FROM product_log"
         ),
         "cdc_table_filter": _sql(
             "SELECT 'demo_db_master.demo.orders' AS topic, COUNT(*) AS n_records FROM order_log "
@@ -230,13 +250,18 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_columns(**_ITEM_ROW)}, {_ts('event_ts')} AS event_ts FROM live_items"
         ),
         "cdc_latest_products": _sql(
-            f"SELECT {_PRODUCT_ROW}, {_ts('listed')} AS event_ts FROM shop_products"
+            f"SELECT {_columns(**_LOGGED_PRODUCT)}, {_ts('event_ts')} AS event_ts FROM ("
+            "SELECT *, row_number() OVER (PARTITION BY product_id "
+            'ORDER BY event_ts DESC, "offset" DESC) AS rn FROM product_log) '
+            "WHERE rn = 1 AND op <> 'd'"
         ),
         "ingest_day_filter": _sql(
             f"SELECT {_columns(**_ORDER_ROW)} FROM shop_orders "
             f"WHERE CAST(updated_at AS DATE) = DATE '{INGEST_DAY}'"
         ),
-        "upsert_orders": _sql(_upserted_orders("'moved-' || n.customer_id", "op = 'u'")),
+        "upsert_orders": _sql(
+            _upserted_orders("'moved-' || n.customer_id", "op = 'u'", _EMPTY_AMOUNTS)
+        ),
         "upsert_order_items": _sql(_upserted_items("true")),
         "insert_if_absent": _sql(
             f"SELECT {_PRODUCT_ROW} FROM shop_products WHERE price < {PRICE_CUT}00 UNION ALL "
@@ -246,8 +271,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         "csv_ingest_orders": _sql(_upserted_orders("n.customer_id", f"op <> 'd' AND {_LOADED}")),
         "csv_ingest_order_items": _sql(_upserted_items(_LOADED)),
+        "csv_products": _sql(f"SELECT {_PRODUCT_ROW} FROM shop_products"),
         "pk_duplicates": _sql(
-            "SELECT order_id, COUNT(*) AS n_rows FROM order_log GROUP BY order_id HAVING COUNT(*) > 1"
+            "SELECT order_item_id, COUNT(*) AS n_rows FROM item_log GROUP BY order_item_id "
+            "HAVING COUNT(*) > 1"
+        ),
+        "output_key_check": _sql(
+            f"SELECT {_day('ts')} AS ts, COUNT(*) AS n_rows FROM (SELECT DISTINCT i.kafka_ts AS ts "
+            "FROM shop_items AS i JOIN shop_orders AS o ON i.order_id = o.order_id "
+            "WHERE o.status = 'Completed') GROUP BY 1 HAVING COUNT(*) > 1"
         ),
         "not_null_counts": _sql(_NULLS),
         "fk_orphans": _sql(
@@ -263,10 +295,10 @@ def oracle_sql() -> dict[str, str]:
             "JOIN shop_items AS i ON i.product_id = p.product_id "
             f"WHERE p.price >= {PRICE_CUT}00 GROUP BY p.product_id"
         ),
-        "status_enum_violations": (
-            "SELECT o_orderstatus AS status, COUNT(*) AS n_rows FROM orders "
-            "WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('Pending', 'Completed', 'Cancelled') "
-            "GROUP BY o_orderstatus"
+        "status_enum_violations": _sql(
+            "SELECT status, COUNT(*) AS n_rows FROM (SELECT CASE WHEN CAST(order_id AS BIGINT) % 50 = 0 "
+            "THEN upper(status) ELSE status END AS status FROM order_log) WHERE status IS NULL "
+            "OR status NOT IN ('Pending', 'Completed', 'Cancelled') GROUP BY status"
         ),
         "reconcile": _sql(
             "SELECT * FROM (SELECT coalesce(a.order_id, b.order_id) AS order_id, "
@@ -303,5 +335,16 @@ def oracle_sql() -> dict[str, str]:
             _BY_TS.format(key=_ts("i.kafka_ts"), items="live_items", orders="live_orders")
         ),
         "stream_sales_append": _sql(_APPEND),
+        "stream_metrics_days": _sql(_daily("live_items", "live_orders", last="")),
+        "stream_cdc_flatten_items": _sql(f"SELECT {_columns(**_ITEM_ROW)} FROM item_log"),
+        "stream_cdc_flatten_products": _sql(
+            f"SELECT {_columns(**_LOGGED_PRODUCT)} FROM product_log WHERE op <> 'd'"
+        ),
+        "stream_set_aside": _sql(
+            "SELECT order_id, CASE WHEN NOT bad THEN CAST(total_amount AS DOUBLE) / 100 END AS "
+            "total_amount, CASE WHEN bad THEN 'aside' ELSE 'stored' END AS verdict FROM ("
+            'SELECT *, "offset" % 29 = 0 OR ("offset" % 31 = 0 AND op <> \'d\') AS bad FROM order_log) '
+            "WHERE bad OR op <> 'd'"
+        ),
         "stream_cdc_flatten": _sql(f"SELECT {_columns(**_ORDER_ROW)} FROM order_log WHERE op <> 'd'"),
     }

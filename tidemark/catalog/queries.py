@@ -19,7 +19,7 @@ from tidemark.plans import incremental, ingest
 from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS, ShopTable
 from tidemark.session import stateful_session, work_dir
 from tidemark.sinks import tables
-from tidemark.sources import feeds, shop
+from tidemark.sources import extracts, feeds, shop
 from tidemark.streaming import joined, views
 from tidemark.streaming.revising import RevisingSales
 
@@ -39,7 +39,7 @@ def portable(rows: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DateType):
             return f"date_format({field.name}, 'yyyy-MM-dd') AS {field.name}"
         if isinstance(field.dataType, T.TimestampType):
-            return f"date_format({field.name}, 'yyyy-MM-dd HH:mm:ss') AS {field.name}"
+            return f"date_format({field.name}, 'yyyy-MM-dd HH:mm:ss.SSS') AS {field.name}"
         if isinstance(field.dataType, T.DecimalType):
             return f"CAST({field.name} AS DOUBLE) AS {field.name}"
         return field.name
@@ -157,12 +157,10 @@ def cdc_latest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.sources.extracts import rows_of_day
-
     text = shop.orders(spark, sf_dir).withColumn(
-        "updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss")
+        "updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSS")
     )
-    return rows_of_day(text, INGEST_DAY)
+    return extracts.rows_of_day(text, INGEST_DAY)
 
 
 def _buckets(spark: SparkSession) -> int:
@@ -179,11 +177,12 @@ def _inserted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All updates applied to the orders inserted before the mark; the rest are new.
 
-    The updates carry another customer, which known orders must not take over.
+    The updates carry another customer, which known orders must not take over, and those of
+    every 11th order no amount, which is 0 by default.
     """
     updates = shop.order_changes(spark, sf_dir).where("op = 'u'").withColumn(
         "customer_id", F.concat(F.lit("moved-"), "customer_id")
-    )
+    ).withColumn("total_amount", F.expr("IF(order_id % 11 <> 0, total_amount, NULL)"))
     incoming = upserts.one_row_per_key(updates.select(*ORDERS.columns), ORDERS)
     return upserts.keyed_upsert(
         _inserted_orders(spark, sf_dir), upserts.with_defaults(incoming, ORDERS), ORDERS
@@ -237,12 +236,28 @@ def csv_ingest_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.source_table(spark, _ingested(spark, sf_dir), ORDER_ITEMS)
 
 
+def csv_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A products extract, which has dates without a time, read back and typed."""
+    path = f"{work_dir(spark, 'extract')}/products.csv"
+    dates = ("created_at", "updated_at")
+    shop.products(spark, sf_dir).select(*(
+        F.date_format(c, "yyyy-MM-dd").alias(c) if c in dates else F.col(c).cast("string").alias(c)
+        for c in PRODUCTS.columns
+    )).write.option("header", True).csv(path)
+    return extracts.typed(extracts.read_extract(spark, path, PRODUCTS), PRODUCTS)
+
+
 # Checks ---------------------------------------------------------------------------
 
 
 def pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of the order log that more than one version shares."""
-    return checks.duplicate_keys(shop.order_changes(spark, sf_dir), ["order_id"])
+    """Keys of the item log that more than one version shares."""
+    return checks.duplicate_keys(shop.order_item_changes(spark, sf_dir), ["order_item_id"])
+
+
+def output_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that the metrics topic's summary view holds in more than one row."""
+    return checks.duplicate_keys(metrics_feed_to_day(spark, sf_dir), ["ts"])
 
 
 def not_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,11 +290,11 @@ def fk_restrict_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_enum_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw order codes checked against the shop's status names: none is one."""
-    codes = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderstatus").alias("status")
+    """Statuses of the order log; every 50th order has its in capitals, deletes have none."""
+    status = F.expr("IF(order_id % 50 = 0, upper(status), status)").alias("status")
+    return checks.disallowed_values(
+        shop.order_changes(spark, sf_dir).select(status), "status", settings.ORDER_STATUSES
     )
-    return checks.disallowed_values(codes, "status", settings.ORDER_STATUSES)
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,14 +357,20 @@ def ttl_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams --------------------------------------------------------------------------
 
 
-def _streamed_sales(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+def _streamed_sales(
+    spark: SparkSession, sf_dir: str, grain: str,
+    on_revised: Callable[[DataFrame], None] | None = None,
+    after_part: Callable[[], None] = lambda: None,
+) -> DataFrame:
     """Land the feed in two parts and run the job after each, from its checkpoint."""
     root = work_dir(spark, f"stream-{grain}")
     feed = shop.order_feed(spark, sf_dir).unionByName(shop.order_item_feed(spark, sf_dir))
     job = RevisingSales(f"{root}/state", grain, _buckets(spark))
     for part in (F.col("timestamp") < MARK, F.col("timestamp") >= MARK):
         feed.where(part).write.mode("append").parquet(f"{root}/feed")
-        job.start(feeds.file_feed(spark, f"{root}/feed"), run_once=True).awaitTermination()
+        landed = feeds.file_feed(spark, f"{root}/feed")
+        job.start(landed, run_once=True, on_revised=on_revised).awaitTermination()
+        after_part()
     return job.result(spark)
 
 
@@ -361,15 +382,67 @@ def stream_sales_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed_sales(spark, sf_dir, sales.TIMESTAMP)
 
 
-def stream_cdc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order feed through a continuous view into the stored table."""
+def stream_metrics_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revising job's metrics through the metrics feed into one row per day."""
+    root = work_dir(spark, "metrics")
+
+    def send(rows: DataFrame) -> None:
+        feeds.encode_metrics(rows).selectExpr(
+            "topic", "0 AS partition", "0L AS offset", "current_timestamp() AS timestamp",
+            "key", "value",
+        ).write.mode("append").parquet(f"{root}/feed")
+
+    def take_in() -> None:
+        views.maintain_metrics_days(
+            feeds.file_feed(spark, f"{root}/feed"), f"{root}/view", run_once=True
+        ).awaitTermination()
+
+    _streamed_sales(spark, sf_dir, sales.DAY, send, take_in)
+    return views.stored_metrics_days(spark, f"{root}/view")
+
+
+def _viewed(spark: SparkSession, feed: DataFrame, table: ShopTable) -> str:
+    """The feed through a continuous view; the stored table's path."""
     root = work_dir(spark, "view")
-    shop.order_feed(spark, sf_dir).write.parquet(f"{root}/feed")
+    feed.write.parquet(f"{root}/feed")
     views.maintain_table(
-        feeds.file_feed(spark, f"{root}/feed"), ORDERS, f"{root}/orders", f"{root}/progress",
-        run_once=True,
+        feeds.file_feed(spark, f"{root}/feed"), table, f"{root}/{table.name}",
+        f"{root}/progress", run_once=True,
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/orders").select(*ORDERS.columns)
+    return f"{root}/{table.name}"
+
+
+def stream_cdc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order feed through a continuous view into the stored table."""
+    path = _viewed(spark, shop.order_feed(spark, sf_dir), ORDERS)
+    return spark.read.parquet(path).select(*ORDERS.columns)
+
+
+def stream_cdc_flatten_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _viewed(spark, shop.order_item_feed(spark, sf_dir), ORDER_ITEMS)
+    return spark.read.parquet(path).select(*ORDER_ITEMS.columns)
+
+
+def stream_cdc_flatten_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _viewed(spark, shop.product_feed(spark, sf_dir), PRODUCTS)
+    return spark.read.parquet(path).select(*PRODUCTS.columns)
+
+
+def stream_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a feed with broken records and amounts that are no numbers: stored or aside.
+
+    Every 29th record breaks off, every 31st has a word for an amount.
+    """
+    value = """CASE WHEN offset % 29 = 0 THEN substring(value, 1, 6) WHEN offset % 31 = 0
+        THEN regexp_replace(value, '"total_amount":[0-9.]+', '"total_amount":"much"')
+        ELSE value END"""
+    feed = shop.order_feed(spark, sf_dir).withColumn("value", F.expr(value))
+    path = _viewed(spark, feed, ORDERS)
+    stored, aside = spark.read.parquet(path), spark.read.parquet(f"{path}_aside")
+    return stored.selectExpr("order_id", "total_amount", "'stored' AS verdict").unionByName(
+        aside.selectExpr(
+            "row_key AS order_id", "CAST(NULL AS DECIMAL(10, 2)) AS total_amount",
+            "'aside' AS verdict"))
 
 
 def stream_sales_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,10 +465,13 @@ REGISTERED: dict[str, Query] = {
         cdc_flatten_products, cdc_table_filter, cdc_latest_orders,
         cdc_latest_order_items, cdc_latest_products, ingest_day_filter, upsert_orders,
         upsert_order_items, insert_if_absent, csv_ingest_orders, csv_ingest_order_items,
-        pk_duplicates, not_null_counts, fk_orphans, fk_cascade_delete,
+        csv_products,
+        pk_duplicates, output_key_check, not_null_counts, fk_orphans, fk_cascade_delete,
         fk_restrict_violations, status_enum_violations, reconcile, store_products,
         store_orders, store_order_items, sales_monthly_partitions, ttl_retention,
-        stream_sales_daily, stream_sales_ts, stream_sales_append, stream_cdc_flatten,
+        stream_sales_daily, stream_sales_ts, stream_sales_append, stream_metrics_days,
+        stream_cdc_flatten, stream_cdc_flatten_items, stream_cdc_flatten_products,
+        stream_set_aside,
     )
 }
 

@@ -37,7 +37,10 @@ def readable(rows: DataFrame, table: ShopTable) -> DataFrame:
 
 
 def unreadable(changes: DataFrame, table: ShopTable) -> DataFrame:
-    """Change rows to set aside: no op, no key, or timestamp text that is no timestamp."""
+    """Change rows to set aside: no op, no key, or timestamp text that is no timestamp.
+
+    Records with a broken text or a value that does not fit its column have no op.
+    """
     bad = F.col("op").isNull() | F.col("row_key").isNull()
     for field in table.schema:
         if isinstance(field.dataType, T.TimestampType):

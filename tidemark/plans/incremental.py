@@ -48,15 +48,15 @@ def new_rows_only(items: DataFrame, orders: DataFrame, mark: datetime | str) ->
     return sales_metrics(fresh, orders)
 
 
-def affected_days(items: DataFrame, orders: DataFrame, since: datetime) -> DataFrame:
-    """Days whose metrics can differ from before ``since``.
+def affected_days(items: DataFrame, orders: DataFrame, since: int) -> DataFrame:
+    """Days whose metrics can differ from before ``since`` (microseconds of the epoch).
 
     They are the days of every version of an item that changed (an update may move
     it) and of every version of the items of an order that changed (it may have
     become or ceased to be Completed).
     """
     day = F.to_date("kafka_ts").alias("sale_date")
-    changed = F.col("kafka_ts") >= F.lit(since)
+    changed = F.col("kafka_ts") >= F.timestamp_micros(F.lit(since))
     changed_items = items.where(changed).select("order_item_id").distinct()
     changed_orders = orders.where(changed).select("order_id").distinct()
     moved = items.select("order_item_id", day).join(changed_items, "order_item_id", "left_semi")
@@ -79,11 +79,16 @@ def run_incremental(
     """Bring the summary up to date with the stored tables.
 
     ``items`` and ``orders`` hold all versions with ``op``, ``kafka_ts`` and
-    ``offset``. Errors are raised, so that a scheduler sees a failed run.
+    ``offset``. Errors are raised, so that a scheduler sees a failed run. While the summary
+    is empty, days that had all their changes before ``first_mark`` are left out.
+
+    Each run looks through the keys and arrival times of all stored items, as a change may
+    belong to any day; whole rows and orders are only read for the affected days.
     """
-    mark = high_water_mark(read_or_empty(spark, summary_path, SUMMARY), first_mark).first()[0]
-    overwrite(affected_days(items, orders, mark), work_path)
-    days = spark.read.parquet(work_path)
+    marks = high_water_mark(read_or_empty(spark, summary_path, SUMMARY), first_mark)
+    mark = marks.select(F.unix_micros("last_processed_ts")).first()[0]
+    overwrite(affected_days(items, orders, mark), f"{work_path}/days")
+    days = spark.read.schema("sale_date date").parquet(f"{work_path}/days")
     earliest = days.agg(F.min("sale_date")).first()[0]
     if earliest is None:
         return
@@ -91,9 +96,12 @@ def run_incremental(
     # so older item rows need not be read.
     recent = items.where(F.col("kafka_ts") >= F.lit(earliest).cast("timestamp"))
     live = current(recent, ORDER_ITEMS.key).withColumn("sale_date", F.to_date("kafka_ts"))
-    fresh = sales_metrics(
-        live.join(days, "sale_date", "left_semi").drop("sale_date"), current(orders, ORDERS.key)
-    )
+    live = live.join(days, "sale_date", "left_semi").drop("sale_date")
+    overwrite(live, f"{work_path}/items")
+    live = spark.read.schema(live.schema).parquet(f"{work_path}/items")
+    # Only the orders of these items are brought to their latest version.
+    wanted = orders.join(live.select("order_id").distinct(), "order_id", "left_semi")
+    fresh = sales_metrics(live, current(wanted, ORDERS.key))
     replace_days(spark, summary_path, fresh, days, "sale_date", SUMMARY)
 
 

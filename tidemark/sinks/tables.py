@@ -196,7 +196,7 @@ def publish_together(
 
     Everything is staged first; a failure there leaves the tables untouched. The
     ``ready`` mark makes the load count: from then on ``finish_loads`` can complete
-    it from the staged copy, until the ``published`` mark closes it.
+    it from the staged copy, until the ``published`` mark closes it and the copy is deleted.
     """
     staged = f"{root}/_loads/{load_id}"
     for mark in ("ready", "published"):
@@ -236,6 +236,9 @@ def _publish(
         rows = spark.read.schema(schema).parquet(f"{staged}/{name}")
         overwrite_partitions(spread(rows, BUCKET), f"{root}/{name}", BUCKET)
     _mark(spark, f"{staged}/published")
+    for name in tables:
+        target, fs = _hadoop_path(spark, f"{staged}/{name}")
+        fs.delete(target, True)
 
 
 def _mark(spark: SparkSession, path: str) -> None:

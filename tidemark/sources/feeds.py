@@ -6,6 +6,7 @@ after the read is shared. ``decode_*`` turns records into change rows:
     op          c (insert), u (update), r (snapshot read) or d (delete)
     row_key     the row's key, present for deletes too
     after       struct with the row's new image, NULL for deletes
+    raw         the record's text where it is no JSON or a value does not fit its column
     event_ts    record timestamp
     partition, offset   position in the feed, orders changes of one key
 """
@@ -25,6 +26,8 @@ from tidemark.schemas import FEED_RECORD, METRICS_RECORD, ShopTable
 # four-byte schema id.
 _HEADER_BYTES = 5
 
+_CORRUPT = "_corrupt"
+
 
 def topic_of(table: str) -> str:
     return ".".join((settings.CAPTURE_SERVER, settings.CAPTURE_DATABASE, table))
@@ -49,8 +52,20 @@ def broker_feed(
     **options: str,
 ) -> DataFrame:
     """Subscribe to the change topics of ``tables`` (needs the Kafka connector)."""
+    return _subscribed(spark, servers, [topic_of(t) for t in tables], stream, options)
+
+
+def broker_metrics_feed(
+    spark: SparkSession, servers: str, *, stream: bool = True, **options: str
+) -> DataFrame:
+    """Subscribe to the metrics topic (needs the Kafka connector)."""
+    return _subscribed(spark, servers, [settings.METRICS_TOPIC], stream, options)
+
+
+def _subscribed(
+    spark: SparkSession, servers: str, topics: list[str], stream: bool, options: dict[str, str]
+) -> DataFrame:
     reader = (spark.readStream if stream else spark.read).format("kafka")
-    topics = [topic_of(t) for t in tables]
     feed = reader.options(**broker_options(servers, topics), **options).load()
     return feed.select(*FEED_RECORD.fieldNames())
 
@@ -86,24 +101,29 @@ def envelope_schema(table: ShopTable) -> T.StructType:
     return T.StructType([
         T.StructField("op", T.StringType()),
         T.StructField("after", table.wire_schema),
+        T.StructField(_CORRUPT, T.StringType()),
     ])
 
 
-def _change_rows(records: DataFrame, table: ShopTable, value: Column, key: Column) -> DataFrame:
+def _change_rows(
+    records: DataFrame, table: ShopTable, value: Column, key: Column, raw: str | None = None
+) -> DataFrame:
     parsed = records.where(F.col("topic") == topic_of(table.name)).select(
         value.alias("envelope"), F.col("key"),
         F.col("value").isNull().alias("tombstone"),
         F.col("timestamp").alias("event_ts"), "partition", "offset",
     )
-    # A NULL value is a delete marker; an image without an op replaces the row.
-    op = F.when(F.col("tombstone"), "d").otherwise(
+    text = F.col(f"envelope.{raw}") if raw else F.lit(None).cast("string")
+    # A NULL value is a delete marker; an image without an op replaces the row; a record
+    # that cannot be read in full does nothing.
+    op = F.when(F.col("tombstone"), "d").when(text.isNull(),
         F.coalesce(F.col("envelope.op"), F.when(F.col("envelope.after").isNotNull(), "u"))
     )
     # The record key is parsed only where there is no image to take the key from.
     row_key = F.coalesce(F.col(f"envelope.after.{table.key}"), key.getField(table.key))
     return parsed.select(
         op.alias("op"), row_key.alias("row_key"), F.col("envelope.after").alias("after"),
-        "event_ts", "partition", "offset",
+        text.alias("raw"), "event_ts", "partition", "offset",
     )
 
 
@@ -112,8 +132,11 @@ def decode_json(feed: DataFrame, table: ShopTable) -> DataFrame:
     key_schema = T.StructType([T.StructField(table.key, T.StringType())])
     return _change_rows(
         feed, table,
-        F.from_json(F.col("value").cast("string"), envelope_schema(table)),
+        F.from_json(
+            F.col("value").cast("string"), envelope_schema(table),
+            {"columnNameOfCorruptRecord": _CORRUPT}),
         F.from_json(F.col("key").cast("string"), key_schema),
+        raw=_CORRUPT,
     )
 
 
@@ -142,6 +165,16 @@ def decode_metrics(feed: DataFrame) -> DataFrame:
     ).select("m.*")
 
 
+def decode_metrics_changes(feed: DataFrame) -> DataFrame:
+    """Records of the metrics topic with their place in it; withdrawn keys have NULL measures."""
+    columns = METRICS_RECORD.fieldNames()[1:]
+    value = F.from_json(F.col("value").cast("string"), METRICS_RECORD)
+    return feed.where(F.col("topic") == settings.METRICS_TOPIC).select(
+        F.from_json(F.col("key").cast("string"), METRICS_RECORD)["ts"].alias("ts"),
+        value.alias("m"), "timestamp", "offset",
+    ).select("ts", *(f"m.{c}" for c in columns), "timestamp", "offset")
+
+
 def encode_metrics(metrics: DataFrame) -> DataFrame:
     """Key and value of metrics-topic records, one per timestamp or day.
 

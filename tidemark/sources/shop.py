@@ -6,8 +6,10 @@
 
 The change log gives every row a history: an order starts Pending and gets its
 status a day later; every tenth order repeats that update; every 97th is deleted
-afterwards; items of every 13th order get one more piece a day later. The rules
-only decide which rows have more versions; every row is in the log.
+afterwards; items of every 13th order get one more piece a day later; every 5th product
+gets dearer by ten a day later, and every 23rd is deleted on the day after. The rules
+only decide which rows have more versions; every row is in the log. Items arrive at
+quarters of a second.
 """
 
 from __future__ import annotations
@@ -103,7 +105,7 @@ def _item_rows(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFr
         "CAST(l_orderkey AS STRING) AS order_id",
         "concat('PROD-', l_partkey) AS product_id",
         "quantity", "price", "cost_price", "created_at",
-        "created_at + make_dt_interval(0, l_linenumber) AS kafka_ts",
+        "created_at + make_dt_interval(0, l_linenumber, 0, l_orderkey % 4 * 0.25BD) AS kafka_ts",
     )
 
 
@@ -148,8 +150,26 @@ def order_item_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products(spark, sf_dir).selectExpr(
-        "'c' AS op", "*", "created_at AS event_ts", "1L AS offset"
+    """Change rows of products, as ``order_changes``."""
+    versions = (
+        "explode(filter(array(1, 2, 3), v -> v = 1 OR (v = 2 AND number % 5 = 0)"
+        " OR (v = 3 AND number % 23 = 0))) AS version"
+    )
+    log = (
+        products(spark, sf_dir)
+        .withColumn("number", F.expr("CAST(substring(product_id, 6) AS BIGINT)"))
+        .selectExpr("*", versions)
+    )
+    image = {
+        "price": "CAST(price + IF(version = 2, 10, 0) AS DECIMAL(10, 2))",
+        "updated_at": "created_at + make_dt_interval(version - 1)",
+    }
+    return log.selectExpr(
+        "CASE version WHEN 1 THEN 'c' WHEN 2 THEN 'u' ELSE 'd' END AS op", "product_id",
+        *(f"IF(version < 3, {image.get(c, c)}, NULL) AS {c}"
+          for c in PRODUCTS.columns if c != "product_id"),
+        "created_at + make_dt_interval(version - 1) AS event_ts",
+        "number * 4 + version AS offset",
     )
 
 
