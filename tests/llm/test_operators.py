@@ -251,6 +251,24 @@ def test_leaks(spark):
     assert decontamination.find_leaks(docs, tests.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("edit", ["changed", "put in"])
+def test_a_lone_edited_copy_is_a_leak(spark, edit):
+    """No other document has any of the item's runs, and few of them are left."""
+    words = [f"i{n}" for n in range(60)]
+    if edit == "changed":
+        copy = [w if n % 5 else f"other{n}" for n, w in enumerate(words)]
+    else:  # nearly as many words as the item has, by threes
+        copy = [x for n, w in enumerate(words)
+                for x in ([w] if n % 3 else [f"a{n}", f"b{n}", f"c{n}", w])]
+    around = [f"x{n}" for n in range(300)]
+    docs = documents(spark, [" ".join(around[:150] + copy + around[150:]), " ".join(around)])
+    tests = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    row, = decontamination.find_leaks(docs, tests).collect()
+    points = 48 * 2 - 11 if edit == "changed" else 60 * 2 - 19 * 3
+    assert (row["row"]["doc_id"], row["score"]) == (0, points / 120)
+    assert [r["doc_id"] for r in decontamination.without_leaks(docs, tests).collect()] == [1]
+
+
 def test_alignment_points():
     def slow(a, b):
         cells = np.zeros((len(a) + 1, len(b) + 1), int)

@@ -1,14 +1,18 @@
 """Benchmark decontamination: rare seeds find test items in documents, alignment scores them.
 
-1. The runs of ``SEED`` words of all test items are looked for in every document, and each
-   gets its number of documents (an aggregate with at most one row per run and task).
-2. An item's seeds are the rarer half of its own runs, ``LEAST_SEEDS`` at least. They are
-   ranked within the item, so that an item that leaked into a large part of the corpus keeps
-   its seeds. A seed found in a document gives a window of it, as long as the item and some.
-3. Smith-Waterman alignment of words (match 2, mismatch and gap -1) scores item and window;
+1. An item's seeds are all of its runs of ``SEED`` words. None is left out: an edited copy may
+   have kept any of them, and no others.
+2. A seed found in a document gives a window of it, which takes in all that an alignment
+   through the seed can reach and still have the least score.
+3. Seeds of frequent words give many windows. One that has too few of the item's words for
+   that score, were they all in order, is dropped; no copy can be among those.
+4. Smith-Waterman alignment of words (match 2, mismatch and gap -1) scores item and window;
    the score is the share of the points that the whole item would get. Copies with words
    changed, left out or put in keep most of them.
 
+A copy without a run of ``SEED`` words of its item, as with every third word changed, has about
+half of the points at most, and is not looked for.
+
 Test items are a stated query set: they go to the tasks in blocks of ``BLOCK`` items, each of
 which passes over all documents.
 """
@@ -24,7 +28,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mapped, parts, shingles, table, utf8, with_row, word_hashes, words
 
 SEED = 3
-LEAST_SEEDS = 8
+
+#: Runs of texts looked up at once.
+AT_ONCE = 1 << 14
 
 #: Share of an item's points from which a document counts as contaminated.
 LEAST_SCORE = 0.5
@@ -68,20 +74,6 @@ class Items:
         self.runs, self.item = runs[order], of[order]
         self.place = (at - self.first[of])[order]
 
-    def rarer(self, counts: dict[int, int]) -> Items:
-        """The same items with the rarer half of their runs only."""
-        seen = np.array([counts.get(r, 0) for r in self.runs.view(np.int64).tolist()], np.int64)
-        order = np.lexsort((self.runs, seen, self.item))
-        item = self.item[order]
-        first = np.searchsorted(item, item, side="left")
-        size = np.searchsorted(item, item, side="right") - first
-        kept = order[np.arange(len(item)) - first < np.maximum((size + 1) // 2, LEAST_SEEDS)]
-        kept.sort()
-        out = object.__new__(Items)
-        out.__dict__ = self.__dict__ | {
-            "runs": self.runs[kept], "item": self.item[kept], "place": self.place[kept]}
-        return out
-
     def found(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``runs`` are runs of items, and which: a pair for each."""
         if not len(self.runs) or not len(runs):
@@ -121,41 +113,36 @@ def _padded(values: np.ndarray, first: np.ndarray, last: np.ndarray, pad: int) -
     return np.where(inside, values[np.minimum(at, len(values) - 1)], np.uint64(pad))
 
 
+def _within(items: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """How many words of each row of ``items`` the same row of the other side has."""
+    known, number = np.unique(items, return_inverse=True)
+    number = number.reshape(items.shape)
+    place = np.minimum(np.searchsorted(known, windows), len(known) - 1)
+    row, column = np.nonzero(known[place] == windows)
+    met = np.unique(row * len(known) + place[row, column])
+    own = np.arange(len(items))[:, None] * len(known) + number
+    at = np.minimum(np.searchsorted(met, own), max(len(met) - 1, 0))
+    return (met[at] == own).sum(axis=1) if len(met) else np.zeros(len(items), np.int64)
+
+
 def leaks(data, offsets, items: Items, least: float):
     """Text number, item number and score of every item that a text holds."""
     hashes, owner = _words(data, offsets)
     runs, _ = shingles(hashes, owner, SEED)
     at = np.flatnonzero(owner[: len(owner) - SEED + 1] == owner[SEED - 1 :]) \
         if len(owner) >= SEED else np.zeros(0, np.int64)
-    hit, seed = items.found(runs)
-    empty = np.zeros(0, np.int64)
-    if not len(hit):
-        return empty, empty, np.zeros(0)
-    item = items.item[seed]
-    text = owner[at[hit]]
-    begin = at[hit] - items.place[seed]  # where the item would begin in the text
-    length = items.first[item + 1] - items.first[item]
-    slack = length // 4 + 4
-    # Seeds of about one diagonal share a window.
-    step = np.maximum(slack // 2, 1)
-    cells = np.unique(np.stack([text, item, begin // step], axis=1), axis=0)
-    text, item, begin = cells.T
-    length = items.first[item + 1] - items.first[item]
-    slack = length // 4 + 4
-    begin = begin * np.maximum(slack // 2, 1)
     bounds = np.searchsorted(owner, np.arange(len(offsets)))
-    first = np.maximum(begin - slack, bounds[text])
-    last = np.minimum(begin + length + 2 * slack, bounds[text + 1])
-    points = np.zeros(len(text), np.int64)
-    order = np.argsort(length, kind="stable")
-    for at_ in range(0, len(order), 256):
-        own = order[at_ : at_ + 256]
-        points[own] = aligned(
-            _padded(items.words, items.first[item[own]], items.first[item[own] + 1], 0),
-            _padded(hashes, first[own], last[own], 1))
-    score = points / (MATCH * length)
-    good = (score >= least) & (points >= LEAST_POINTS)
-    text, item, score = text[good], item[good], score[good]
+    found = [np.zeros((2, 0), np.int64)]
+    scores = [np.zeros(0)]
+    for i in range(0, len(runs), AT_ONCE):
+        hit, seed = items.found(runs[i : i + AT_ONCE])
+        if len(hit):
+            text, item, score = _scored(
+                items, hashes, owner, bounds, at[i + hit], seed, least)
+            found.append(np.stack([text, item]))
+            scores.append(score)
+    text, item = np.concatenate(found, axis=1)
+    score = np.concatenate(scores)
     order = np.lexsort((-score, item, text))
     text, item, score = text[order], item[order], score[order]
     best = np.ones(len(text), bool)
@@ -163,16 +150,41 @@ def leaks(data, offsets, items: Items, least: float):
     return text[best], item[best], score[best]
 
 
-def seed_counts(batches, items):
-    for _, data, offsets in _lower_parts(batches):
-        hashes, owner = _words(data, offsets)
-        runs, of = shingles(hashes, owner, SEED)
-        hit, _ = items.found(runs)
-        pairs = np.unique(np.stack([of[hit].astype(np.uint64), runs[hit]], axis=1), axis=0)
-        found, many = np.unique(pairs[:, 1], return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.array(many.astype(np.int64))],
-            names=["run", "n"])
+def _scored(items: Items, hashes, owner, bounds, at, seed, least: float):
+    """As ``leaks``, for seeds met at places ``at``; an item may come several times."""
+    item = items.item[seed]
+    text = owner[at]
+    begin = at - items.place[seed]  # where the item would begin in the text
+    # Seeds of about one diagonal share a window.
+    step = (items.first[item + 1] - items.first[item]) // 4 + 4
+    text, item, begin = np.unique(
+        np.stack([text, item, begin // step], axis=1), axis=0).T
+    length = items.first[item + 1] - items.first[item]
+    step = length // 4 + 4
+    begin = begin * step
+    # Every word put in costs a point, and more of them leave less than the least score.
+    slack = np.ceil(MATCH * length * (1 - least) / -GAP).astype(np.int64)
+    first = np.maximum(begin - slack, bounds[text])
+    last = np.minimum(begin + step + length + slack, bounds[text + 1])
+    order = np.argsort(length, kind="stable")
+    text, item, length, first, last = (x[order] for x in (text, item, length, first, last))
+
+    def sides(own):
+        return (_padded(items.words, items.first[item[own]], items.first[item[own] + 1], 0),
+                _padded(hashes, first[own], last[own], 1))
+
+    points = np.zeros(len(text), np.int64)
+    for i in range(0, len(text), 256):
+        own = np.arange(i, min(i + 256, len(text)))
+        points[own] = MATCH * _within(*sides(own))
+    left = np.flatnonzero((points / (MATCH * length) >= least) & (points >= LEAST_POINTS))
+    points[:] = 0
+    for i in range(0, len(left), 256):
+        own = left[i : i + 256]
+        points[own] = aligned(*sides(own))
+    score = points / (MATCH * length)
+    good = (score >= least) & (points >= LEAST_POINTS)
+    return text[good], item[good], score[good]
 
 
 def leak_rows(batches, items, least):
@@ -198,8 +210,8 @@ def _as_rows(docs: DataFrame) -> DataFrame:
         F.col("text").cast("string").alias("text"))
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame):
-    """The items with their seeds, block by block."""
+def _blocks(benchmark: DataFrame):
+    """The items, block by block."""
     given = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"),
         F.col("text").cast("string").alias("text"))
@@ -208,11 +220,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame):
         rows = given.where(
             F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number).collect()
         rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"], r["text"] or ""))
-        items = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
-        counts = mapped(docs.select(F.col("text").cast("string").alias("text")), seed_counts,
-                        "run long, n long", items=items).groupBy("run").agg(
-            F.sum("n").alias("n")).collect()
-        yield items.rarer({r["run"]: r["n"] for r in counts})
+        yield Items([r["item_id"] for r in rows], [r["text"] for r in rows])
 
 
 def find_leaks(
@@ -227,7 +235,7 @@ def find_leaks(
     rows = _as_rows(docs)
     schema = with_row(rows, "item_id long, score double")
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in _blocks(docs, benchmark):
+    for items in _blocks(benchmark):
         out = out.unionByName(mapped(rows, leak_rows, schema, items=items, least=least))
     return out
 
@@ -237,7 +245,7 @@ def without_leaks(
 ) -> DataFrame:
     """The documents that hold no test item, with their columns."""
     rows = _as_rows(docs)
-    for items in _blocks(docs, benchmark):
+    for items in _blocks(benchmark):
         rows = mapped(rows, clean_rows, rows.schema, items=items, least=least)
     return rows.select(*[
         F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
