@@ -173,6 +173,15 @@ def test_repeated_rows_are_one_document(spark):
         (1, 0), (1, 0), (99, len(line))]
 
 
+def test_repeated_rows_of_one_part_are_one_document(spark):
+    lines = [" ".join(f"{c}{i}" for i in range(60)) for c in "qr"]
+    docs = documents(spark, [lines[0], lines[0], lines[0], lines[1], lines[1]],
+                     [1, 1, 2, None, None]).coalesce(1)
+    rows = suffix_dedup.drop_repeats(docs).collect()
+    assert sorted((r["row"]["doc_id"] or 99, r["n_removed"]) for r in rows) == [
+        (1, 0), (1, 0), (2, len(lines[0])), (99, 0), (99, 0)]
+
+
 # 4 ---------------------------------------------------------------------------------
 
 

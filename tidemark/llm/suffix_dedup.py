@@ -87,7 +87,8 @@ def anchor_rows(batches, window, gram):
     """First digit, second digit and place of every anchor.
 
     Within a part the second of two equal surroundings is a repeat for certain; it is told by
-    a negative place, under a digit of its own, so that it burdens no group.
+    a negative place, under a digit of its own, so that it burdens no group. The anchors of a
+    repeated row are the same places once more, and go.
     """
     before = window - gram
     for batch, data, offsets in parts(batches):
@@ -101,12 +102,16 @@ def anchor_rows(batches, window, gram):
         k = batch["k"].to_numpy()[owner]
         at = (batch["salt"].to_numpy()[owner] << _PLACE_BITS) + place - offsets[owner]
         order = np.lexsort((at, k, second, first))
-        first, second, k, at = first[order], second[order], k[order], at[order]
+        rows = np.stack([first[order].view(np.int64), second[order].view(np.int64), k[order],
+                         at[order]])
+        fresh = np.ones(len(first), bool)  # a repeated row of the table is no second anchor
+        fresh[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)
+        first, second, k, at = rows[:, fresh]
         again = np.zeros(len(first), bool)
         again[1:] = (first[1:] == first[:-1]) & (second[1:] == second[:-1])
-        own = mix(k.astype(np.uint64) ^ mix(at.astype(np.uint64)))
+        own = mix(k.astype(np.uint64) ^ mix(at.astype(np.uint64))).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.where(again, own, first).view(np.int64)), pa.array(second.view(np.int64)),
+            [pa.array(np.where(again, own, first)), pa.array(second),
              pa.array(k), pa.array(np.where(again, -1 - at, at))],
             names=["gram", "around", "k", "at"])
 
