@@ -34,8 +34,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays."""
-    return one_of_each(docs)
+    """Of linked documents the one with the smallest id stays.
+
+    Linked are those whose sets of five-word shingles have a similarity of 0.8 or more.
+    """
+    return one_of_each(docs, width=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -231,6 +231,45 @@ def test_one_document_of_each_component_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 1, 2, 3, 5]
 
 
+def first_of_five_word_component(given):
+    """Brute force of links at a similarity of 0.8, component by component."""
+    sets = []
+    for text in given:
+        words = re.split("[ \t\n\v\f\r]+", (text or "").lower().strip(" \t\n\v\f\r"))
+        runs = {" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
+        sets.append(runs - {""})
+    first = {}
+    for i in range(len(sets)):
+        if i in first:
+            continue
+        first[i], work = i, [i]
+        while work:
+            a = work.pop()
+            for b in range(len(sets)):
+                both = len(sets[a] & sets[b])
+                if b not in first and both and 10 * both >= 8 * len(sets[a] | sets[b]):
+                    first[b] = i
+                    work.append(b)
+    return first
+
+
+def test_the_stage_joins_five_words_at_eight_tenths(spark, texts):
+    draw, given = random.Random(9), list(texts)
+    for size in (20, 60, 200, 1000):
+        words = [f"v{draw.randint(0, 9999)}" for _ in range(size)]
+        given.append(" ".join(words))
+        for share in (0.01, 0.02, 0.03, 0.05):  # scattered words changed
+            copy = list(words)
+            for at in draw.sample(range(size), max(1, int(size * share))):
+                copy[at] = "changed"
+            given.append(" ".join(copy))
+        for share in (0.1, 0.2, 0.24, 0.3):  # a footer
+            given.append(" ".join(words + [f"f{share}-{i}" for i in range(int(size * share))]))
+    kept = corpus_pipeline.near_duplicates(spark, documents(spark, given), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [
+        i for i, first in sorted(first_of_five_word_component(given).items()) if first == i]
+
+
 # 5 ---------------------------------------------------------------------------------
 
 

@@ -421,9 +421,9 @@ def _within_windows(pairs: DataFrame, known: DataFrame, percent: int) -> DataFra
     return pairs.join(apart.select("a", "b").distinct(), ["a", "b"], "left_anti")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Of each component the document with the smallest id; documents without words stay."""
-    found = jaccard_components(docs).groupBy("k", "th").agg(
+    found = jaccard_components(docs, width, percent).groupBy("k", "th").agg(
         F.first("first").alias("first"), F.first("n_shingles").alias("n"))
     kept = found.where("n = 0 OR (first.k = k AND first.th = th)").select("k", "th", "n")
     rows = docs.select(
