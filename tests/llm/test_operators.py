@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
 import itertools
+import lzma
 import random
 import re
 import urllib.parse
@@ -13,6 +15,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -84,6 +87,27 @@ def test_a_layer_seen_before_ends_the_search():
     assert secret_scan.find_secrets(large, most=100)[3] == 1
 
 
+def test_layers_that_are_no_clean_text_are_scanned():
+    secret = b'password="hunter2hunter2"'
+    noise = bytes(range(256))
+    first, second = b"nothing here ", secret
+    lines = base64.encodebytes(b"x" * 50 + secret + b"y" * 90).decode()
+    for hidden in (
+        base64.b64encode(noise + secret + noise).decode(),
+        base64.b64encode("é ü ".encode("latin-1") + secret).decode(),
+        base64.b64encode(gzip.compress(noise + secret)).decode(),
+        base64.b64encode(gzip.compress(first) + gzip.compress(second)).decode(),
+        base64.b64encode(bz2.compress(first) + bz2.compress(second)).decode(),
+        base64.b64encode(lzma.compress(first) + lzma.compress(second)).decode(),
+        base64.b64encode(zstandard.compress(first) + zstandard.compress(second)).decode(),
+        lines, lines.replace("\n", "\r\n"),
+        base64.encodebytes(gzip.compress(random.Random(1).randbytes(200) + secret)).decode(),
+    ):
+        spans = secret_scan.find_secrets(f"é before {hidden} after")[1]
+        assert "assign" in [s[2] for s in spans]
+        assert all(9 <= s[0] < s[1] <= 9 + len(hidden) for s in spans)
+
+
 def test_secret_rows(spark, texts):
     given = [*texts, "AKIA" + "B" * 16, "AKIA" + "B" * 15, "f" * 24, "f" * 23,
              "secret: 'abcdef' token=abc", "x API_KEY = \"a.b/c+d=\""]

@@ -4,8 +4,13 @@ Each text is the first entry of a worklist. An entry is scanned for secrets, the
 
 - every ``%xx`` run is decoded, which gives one entry for the whole text;
 - every ``\uXXXX``, ``\xXX`` or ``&#N;`` is decoded, likewise;
-- every base64 run whose bytes are readable UTF-8 gives an entry of its own;
-- bytes that begin like gzip, zlib, bzip2, xz or zstd data and decompress give an entry.
+- every base64 run gives an entry of its own, and so do runs on successive lines as one, as
+  encoders break lines;
+- bytes that begin like gzip, zlib, bzip2, xz or zstd data and decompress give an entry, all
+  streams of it and what follows them.
+
+Bytes that are no readable UTF-8 are taken as Latin-1, as all patterns are ASCII. They give no
+entry where nothing in them could be a secret or a layer: most are words that look like base64.
 
 The new entries join the worklist until nothing unwraps any more. An entry that was seen at
 the same place before (a cycle, as in data that decompress to themselves) is not taken up
@@ -54,6 +59,13 @@ _ESCAPE = re.compile(
     r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
 )
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_LINES = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+#: What is in any bytes that hold a secret or a layer.
+_HOLDS = re.compile(
+    rb"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}"
+    rb"|\\[ux][0-9A-Fa-f]{2}|&#|[A-Za-z0-9+/_-]{16}")
 _BASE64_BYTES = byte_set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 _HEX_BYTES = byte_set(b"0123456789abcdef")
 
@@ -102,29 +114,42 @@ class TooLarge(Exception):
     """A layer that decompresses beyond the limit."""
 
 
+def _stream(data: bytes, most: int) -> tuple[bytes, bytes]:
+    """What the first stream of compressed bytes holds, up to a limit, and what follows it."""
+    if data.startswith(b"BZh"):
+        opened = bz2.BZ2Decompressor()
+    elif data.startswith(b"\xfd7zXZ"):
+        opened = lzma.LZMADecompressor()
+    elif data.startswith(b"\x28\xb5\x2f\xfd"):
+        opened = zstandard.ZstdDecompressor().decompressobj()
+        with zstandard.ZstdDecompressor().stream_reader(data) as reader:
+            out = reader.read(most + 1)
+        if len(out) <= most:
+            opened.decompress(data)
+        return out, opened.unused_data
+    else:
+        opened = zlib.decompressobj(47)
+    return opened.decompress(data, most + 1), opened.unused_data
+
+
 def _unpacked(data: bytes, most: int) -> bytes | None:
-    """The decompressed bytes; None where they are none of the known formats."""
-    if not data.startswith(_PACKED):
-        return None
-    try:
-        if data.startswith(b"BZh"):
-            opened = bz2.BZ2Decompressor()
-            out = opened.decompress(data, most + 1)
-        elif data.startswith(b"\xfd7zXZ"):
-            opened = lzma.LZMADecompressor()
-            out = opened.decompress(data, most + 1)
-        elif data.startswith(b"\x28\xb5\x2f\xfd"):
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(most + 1)
-        else:
-            opened = zlib.decompressobj(47)
-            out = opened.decompress(data, most + 1)
-    except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, gzip.BadGzipFile,
-            zstandard.ZstdError):
+    """The decompressed bytes of all streams, and bytes after them as they are; None where
+    they are none of the known formats."""
+    held, size, rest = [], 0, data
+    while rest.startswith(_PACKED):
+        try:
+            out, rest = _stream(rest, most - size)
+        except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, gzip.BadGzipFile,
+                zstandard.ZstdError):
+            break
+        held.append(out)
+        size += len(out)
+        if size > most:
+            raise TooLarge
+        rest = rest.lstrip(b"\0")  # padding
+    if not held:
         return None
-    if len(out) > most:
-        raise TooLarge
-    return out
+    return b"".join([*held, rest])
 
 
 def _readable(data: bytes) -> str | None:
@@ -156,10 +181,13 @@ def _of_bytes(data: bytes, starts: np.ndarray, ends: np.ndarray, most: int) -> I
         seen.add(digest)
         held, opened = opened, _unpacked(opened, most)
     text = _readable(held)
-    if text is None:
-        return
+    plain = text is None  # a character for each byte
+    if plain:
+        if not _HOLDS.search(held):
+            return
+        text = held.decode("latin-1")
     if held is data:
-        yield _characters(text, starts, ends)
+        yield Layer(text, starts, ends) if plain else _characters(text, starts, ends)
     else:
         yield _whole(text, int(starts.min()), int(ends.max()))
 
@@ -200,7 +228,7 @@ def unwrapped(layer: Layer, most: int = MOST_BYTES) -> Iterator[Layer | None]:
             starts, ends = layer.places()
             try:
                 opened = list(_of_bytes(data, starts[at], ends[at + 2], most)) \
-                    if data.startswith(_PACKED) else []
+                    if _unpacked(data, most) is not None else []
             except TooLarge:
                 opened = [None]
             yield from opened
@@ -223,20 +251,42 @@ def unwrapped(layer: Layer, most: int = MOST_BYTES) -> Iterator[Layer | None]:
             yield _replaced(layer, stretches)
     for found in _BASE64.finditer(text):
         run = found[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        plain = run.replace("-", "+").replace("_", "/")
-        data = base64.b64decode(plain + "=" * (-len(plain) % 4))
-        if not data.startswith(_PACKED) and _readable(data) is None:
-            continue
-        byte = np.arange(len(data))
-        starts, ends = layer.places()
-        first = starts[found.start() + byte * 8 // 6]
-        last = ends[found.start() + (byte * 8 + 7) // 6]
-        try:
-            yield from _of_bytes(data, first, last, most)
-        except TooLarge:
-            yield None
+        if len(run) % 4 != 1:
+            yield from _of_base64(layer, run, np.arange(found.start(), found.end()), most)
+    for found in _LINES.finditer(text):
+        lines = [m.span() for m in _RUN.finditer(text, found.start(), found.end())]
+        for first, last in _wrapped([stop - start for start, stop in lines]):
+            run = "".join(text[start:stop] for start, stop in lines[first:last])
+            at = np.concatenate([np.arange(start, stop) for start, stop in lines[first:last]])
+            if len(run) % 4 == 1:
+                run = run[:-1]
+            yield from _of_base64(layer, run, at, most)
+
+
+def _wrapped(widths: list[int]) -> Iterator[tuple[int, int]]:
+    """Which lines, the last exclusive, could be one payload: some of one width, the one
+    behind them, and the one before them, as a payload may begin within its line."""
+    cuts = [i for i in range(len(widths)) if not i or widths[i] != widths[i - 1]]
+    cuts += [len(widths), len(widths)]
+    for first, second, third in zip(cuts, cuts[1:], cuts[2:]):
+        last = min((second if second - first > 1 else third) + 1, len(widths))
+        if last - first > 1:
+            yield first, last
+
+
+def _of_base64(layer: Layer, run: str, at: np.ndarray, most: int) -> Iterator[Layer | None]:
+    """What base64 digits hold that stand at places ``at`` of a layer."""
+    plain = run.replace("-", "+").replace("_", "/")
+    data = base64.b64decode(plain + "=" * (-len(plain) % 4))
+    if not data.startswith(_PACKED) and _readable(data) is None and not _HOLDS.search(data):
+        return
+    byte = np.arange(len(data))
+    starts, ends = layer.places()
+    try:
+        yield from _of_bytes(
+            data, starts[at[byte * 8 // 6]], ends[at[(byte * 8 + 7) // 6]], most)
+    except TooLarge:
+        yield None
 
 
 def find_secrets(text: str, most: int = MOST_BYTES) -> tuple[list[Span], list[Span], int, int]:
