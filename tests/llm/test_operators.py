@@ -473,6 +473,13 @@ def test_classifier_on_held_out_labels(spark):
     assert held.keep[~bad].mean() > 0.99
 
 
+def test_words_are_picked_at_every_label_share(spark):
+    docs = documents(spark, [f"{'vile' if i % 5 else 'kind'} plain words" for i in range(100)])
+    for toxic in ("doc_id % 5 > 0", "doc_id % 5 = 0"):  # 80 and 20 % of the labels
+        labels = docs.selectExpr("doc_id", "1 AS quality", f"int({toxic}) AS toxic")
+        assert len(quality.fit(docs, labels)["picked"])
+
+
 def test_sparse_sites_keep_the_prior(spark):
     rows = [("big", "a", 0.9, 0.1)] * 300 + [("small", "a", 0.9, 0.1)] + [
         (f"h{i}", "a", 0.1, 0.1) for i in range(50) for _ in range(20)]

@@ -187,7 +187,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str, n
         if not total["n"] or not 0 < total[target] < total["n"]:
             continue
         rate = total[target] / total["n"]
-        best = counted.where(F.col(target) >= LEAST_LIFT * rate * F.col("n")).select("word", _surprise(F.col(target), F.col("n"), rate).alias("g"))
+        # Odds, so that words can be picked however common the target is.
+        best = counted.where(
+            F.col(target) * (1 - rate) >= LEAST_LIFT * rate * (F.col("n") - F.col(target))
+        ).select("word", _surprise(F.col(target), F.col("n"), rate).alias("g"))
         picked |= {r["word"] for r in
                    best.where(F.col("g") >= LEAST_SURPRISE).orderBy(F.desc("g"), "word").limit(PICKED).collect()}
     words_ = np.sort(np.array(sorted(picked), np.int64).view(np.uint64))
