@@ -10,8 +10,8 @@
    the score is the share of the points that the whole item would get. Copies with words
    changed, left out or put in keep most of them.
 
-A copy without a run of ``SEED`` words of its item, as with every third word changed, has about
-half of the points at most, and is not looked for.
+A copy without a run of ``SEED`` words of its item is not looked for, though it can have the least
+score: about 0.5 with every third word changed, 0.75 with a word put in after every two.
 
 Test items are a stated query set: they go to the tasks in blocks of ``BLOCK`` items, each of
 which passes over all documents.
