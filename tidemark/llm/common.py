@@ -42,6 +42,17 @@ def id_key(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
 
 
+def quoted(name: str) -> str:
+    """A column's name as it stands, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def other_columns(docs: DataFrame, *without: str) -> Column:
+    """All columns but those named, as one column ``row``."""
+    kept = [F.col(quoted(c)) for c in docs.columns if c not in without]
+    return F.struct(*kept).alias("row")
+
+
 def with_row(rows: DataFrame, more: str) -> T.StructType:
     """The schema of ``rows``' column ``row`` and the columns of ``more``."""
     return T.StructType([rows.schema["row"], *T.StructType.fromDDL(more).fields])
@@ -121,11 +132,11 @@ def mix(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _spread(count: int, seed: int) -> np.ndarray:
+def spread_values(count: int, seed: int) -> np.ndarray:
     return mix(np.arange(seed + 1, seed + count + 1, dtype=np.uint64) * np.uint64(_STEP))
 
 
-_VALUE = _spread(256, 1000)
+_VALUE = spread_values(256, 1000)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -139,12 +150,16 @@ def _grown(count: int) -> list[np.ndarray]:
 
 
 class Sums:
-    """Hashes of any stretch of a byte array in constant time: polynomials modulo 2**64."""
+    """Hashes of any stretch of an array in constant time: polynomials modulo 2**64.
+
+    ``values`` has a random number for each thing the array can hold, bytes unless given.
+    """
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, values: np.ndarray | None = None):
         up, self.down = _grown(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_VALUE[data] * up[: len(data)], out=self.sums[1:])
+        values = _VALUE if values is None else values
+        np.cumsum(values[data] * up[: len(data)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Unmixed hashes; equal stretches of equal length have equal ones."""
