@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import datetime
+import pathlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.rows import feed, item_record, metrics, order_record, record
 from tidemark.operators.changes import current_rows, flatten
 from tidemark.operators.sales import DAY, TIMESTAMP, sales_metrics
 from tidemark.schemas import ORDER_ITEMS, ORDERS
+from tidemark.session import stateful_session
 from tidemark.settings import WATERMARK_DELAY
 from tidemark.sources.feeds import decode_json, encode_metrics, file_feed
 from tidemark.streaming import revising
@@ -94,7 +98,8 @@ def test_any_split_gives_the_batch_result(spark, job, grain, seed):
     assert got == batch_result(spark, records, grain) != {}
 
 
-@pytest.mark.parametrize("broken_step", ["_merge_order_days", "_merge_silver", "_revise"])
+@pytest.mark.parametrize(
+    "broken_step", ["_merge_order_days", "_merge_silver", "_merge_sums", "_add_deltas"])
 def test_batch_that_failed_midway_can_run_again(spark, job, monkeypatch, broken_step):
     run(spark, job, [A2, B1, I1, I2])
     whole = getattr(RevisingSales, broken_step)
@@ -114,6 +119,67 @@ def test_batch_that_failed_midway_can_run_again(spark, job, monkeypatch, broken_
     assert run(spark, job, again, first=1) == batch_result(spark, [A2, B1, I1, I2, *again])
 
 
+def test_a_total_takes_a_delta_once(spark, job, monkeypatch):
+    """A batch that added its deltas but did not get to say so is run again."""
+    records = [A2, B1, I1, I2], [A3, I1_MOVED, LATE]
+    run(spark, job, *records)
+    for _ in range(2):
+        assert run(spark, job, records[1], first=1) == batch_result(spark, sum(records, []))
+
+
+def _files(root, *parts):
+    return [p for part in parts for p in root.glob(f"{part}/**/*.parquet")]
+
+
+def test_a_changed_order_reads_its_own_buckets_and_months_only(spark, tmp_path):
+    """All other files are broken before the batch; reading one would end it."""
+    job, buckets = RevisingSales(str(tmp_path / "job"), buckets=16), 16
+    orders, items = [], []
+    for i in range(40):
+        orders.append(order_record(i, "2024-01-01 01:00:00", "c", f"O{i}", "Completed"))
+        items += [item_record(100 + 3 * i + k, f"2024-0{1 + (i + k) % 9}-02 02:00:00", "c", f"I{i}-{k}",
+                              f"O{i}", 1) for k in range(3)]
+    run(spark, job, orders + items)
+    expected = batch_result(spark, [
+        *orders, *items, order_record(500, "2024-02-01 01:00:00", "u", "O7", "Cancelled")])
+
+    def bucket(*key):
+        row = spark.createDataFrame([key]).select(F.pmod(F.xxhash64("*"), F.lit(buckets)))
+        return row.first()[0]
+
+    days = [datetime.date(2024, 1 + (7 + k) % 9, 2) for k in range(3)]
+    of_order, of_sums = bucket("O7"), {bucket("O7", d) for d in days}
+    root, broken = tmp_path / "job", 0
+    keep = {f"bucket={of_order}"}, {f"bucket={b}" for b in of_sums}, {"sale_month=2024%02d" % d.month for d in days}
+    for kept, parts in zip(keep, (["silver/orders", "order_days"], ["sums"], ["totals"])):
+        for file in _files(root, *parts):
+            if file.parent.name not in kept:
+                file.write_bytes(b"broken")
+                broken += 1
+    for file in _files(root, "silver/order_items", "bronze/batch_id=0", "changed", "pairs", "deltas"):
+        file.write_bytes(b"broken")
+        broken += 1
+    assert broken > 40
+    job.apply(spark, feed(spark, [order_record(500, "2024-02-01 01:00:00", "u", "O7", "Cancelled")]), 1)
+    got = metrics(job.revised(spark, 1))
+    assert got == {str(d): expected[str(d)] for d in days}
+
+
+def test_old_batches_are_expired(spark, job):
+    batches = [A2, I1, B1], [I2], [I1_MORE], [A3]
+    expected = batch_result(spark, sum(batches, []))
+    for number, records in enumerate(batches):
+        run(spark, job, records, first=number)
+        job.expire(spark, 2)
+    assert metrics(job.result(spark)) == expected
+    root = pathlib.Path(job.root)
+    assert sorted(p.name for p in (root / "deltas").iterdir()) == ["batch_id=2", "batch_id=3"]
+    assert len(list((root / "bronze").glob("batch_id=*"))) == 4
+    job.expire(spark, 1, feed_too=True)
+    assert len(list((root / "bronze").glob("batch_id=*"))) == 1
+    assert run(spark, job, [I1_MOVED], first=4) == batch_result(spark, [*sum(batches, []), I1_MOVED])
+
+
 def test_unreadable_records_are_kept_aside(spark, job):
     garbage = (*A1[:5], "{broken")
     run(spark, job, [garbage, B1, I2])
@@ -188,30 +254,79 @@ def test_metrics_view_keeps_one_row_a_day_and_takes_withdrawals(spark, job, tmp_
     assert step(2, [A3, I2_GONE]) == {"2023-12-31": (1, 8)}
 
 
-def test_joined_sales_know_no_distance_in_time(spark, tmp_path):
-    dirs = {n: str(tmp_path / n) for n in ("items", "orders")}
-    item = ("SELECT '{0}' AS order_id, {1}L AS quantity, CAST(10 AS DECIMAL(10,2)) AS price, "
-            "CAST(7 AS DECIMAL(10,2)) AS cost_price, TIMESTAMP '{2}' AS ts")
+@pytest.fixture
+def joined(spark, tmp_path):
+    """Runs the joined job over what has landed so far; its metrics."""
+    landing, root = str(tmp_path / "feed"), str(tmp_path / "joined")
 
-    def step(items, orders):
-        made = {
-            "items": [item.format(*i) for i in items],
-            "orders": [f"SELECT '{o}' AS order_id, '{s}' AS status" for o, s in orders],
-        }
-        streams = []
-        for name, rows in made.items():
-            spark.sql(" UNION ALL ".join(rows)).write.mode("append").parquet(dirs[name])
-            schema = spark.read.parquet(dirs[name]).schema
-            streams.append(spark.readStream.schema(schema).parquet(dirs[name]))
-        start_joined_sales(spark, *streams, str(tmp_path / "job"), run_once=True).awaitTermination()
-        return {d: m[:2] for d, m in metrics(joined_sales(spark, str(tmp_path / "job"))).items()}
+    def step(records):
+        feed(spark, records).write.mode("append").parquet(landing)
+        stream = file_feed(stateful_session(spark, 3), landing)
+        start_joined_sales(spark, stream, root, run_once=True).awaitTermination()
+        return metrics(joined_sales(spark, root))
 
-    first = step(
-        [("A", 1, "2019-01-01 01:00:00"), ("A", 2, "2024-06-01 02:00:00"), ("B", 4, "2019-01-01 03:00:00")],
-        [("A", "Completed"), ("A", "Completed"), ("B", "Pending")])
-    assert first == {"2019-01-01": (1, 1), "2024-06-01": (1, 2)}
-    second = step([("C", 8, "2024-06-01 04:00:00")], [("B", "Completed"), ("A", "Completed")])
-    assert second == {"2019-01-01": (2, 5), "2024-06-01": (1, 2)}
+    return step
+
+
+def test_joined_sales_follow_the_feed(spark, joined):
+    seen = []
+    for part in ([A1, I1, B1, I2], [A2], [I1_MORE, LATE], [A3], [I1_MOVED, I2_GONE]):
+        seen += part
+        assert joined(part) == batch_result(spark, seen)
+    assert joined([A1, TOMBSTONE, I2]) == batch_result(spark, [*seen, A1, TOMBSTONE, I2])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_joined_sales_of_any_split(spark, joined, seed):
+    records = [A1, A2, A3, B1, B2, I1, I1_MORE, I1_MOVED, I2, LATE]
+    shuffled = random.Random(seed).sample(records, len(records))
+    joined(shuffled[:4])
+    joined(shuffled[4:7])
+    assert joined(shuffled[7:]) == batch_result(spark, records) != {}
+
+
+def test_joined_sales_know_no_distance_in_time(spark, joined):
+    far = item_record(40, "2031-06-01 02:00:00", "c", "I9", "A", 2)
+    assert joined([I1, far]) == {}
+    both = joined([A2])
+    assert {d: m[:2] for d, m in both.items()} == {"2024-01-01": (1, 1), "2031-06-01": (1, 2)}
+    assert joined([A3]) == {}
+
+
+def test_a_batch_of_joined_sales_that_failed_runs_again(spark, joined, monkeypatch):
+    from tidemark.streaming import joined as job
+
+    whole, calls = job.add_deltas, []
+
+    def fail_after(*args):
+        whole(*args)
+        calls.append(args)
+        raise RuntimeError("driver lost")
+
+    joined([B1, I2])
+    monkeypatch.setattr(job, "add_deltas", fail_after)
+    with pytest.raises(Exception, match="driver lost"):
+        joined([A2, I1])
+    monkeypatch.undo()
+    assert calls and joined([LATE]) == batch_result(spark, [B1, I2, A2, I1, LATE])
+
+
+def test_a_hot_order_has_one_state_entry_a_day(spark, joined, tmp_path):
+    items = [item_record(100 + i, f"2024-03-0{1 + i % 3} 02:00:00", "c", f"H{i}", "A", 1)
+             for i in range(300)]
+    found = joined([A2, *items])
+    assert {d: m[:2] for d, m in found.items()} == {
+        f"2024-03-0{d}": (1, 100) for d in (1, 2, 3)}
+    days = spark.read.format("statestore").option("stateVarName", "days").load(
+        str(tmp_path / "joined" / "progress"))
+    assert days.count() == 3
+
+
+def test_parallelism_of_a_stream_is_its_number_of_state_partitions(spark, joined, tmp_path):
+    joined([A2, I1])
+    state = tmp_path / "joined" / "progress" / "state"
+    for operator in state.iterdir():
+        assert sorted(p.name for p in operator.iterdir() if p.name.isdigit()) == ["0", "1", "2"]
 
 
 def test_triggers():

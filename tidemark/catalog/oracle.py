@@ -9,6 +9,7 @@ from __future__ import annotations
 from tidemark.catalog.queries import (
     INGEST_DAY,
     KEEP_FROM,
+    LATE_OFFSET,
     LOAD_DAYS,
     MARK,
     PRICE_CUT,
@@ -140,6 +141,13 @@ _MEASURES = """
 _LAST = f"{_ts('MAX(i.kafka_ts)')} AS last_processed_ts,"
 
 
+def _per_period(unit: str, name: str) -> str:
+    return f"""
+SELECT strftime(date_trunc('{unit}', i.kafka_ts), '%Y-%m-%d') AS {name}, {_MEASURES}
+FROM shop_items AS i JOIN shop_orders AS o ON i.order_id = o.order_id
+WHERE o.status = 'Completed' GROUP BY 1"""
+
+
 def _daily(items: str, orders: str, where: str = "", last: str = _LAST, join: str = "") -> str:
     return f"""
 SELECT strftime(CAST(i.kafka_ts AS DATE), '%Y-%m-%d') AS sale_date, {last} {_MEASURES}
@@ -154,7 +162,51 @@ FROM {{items}} AS i JOIN {{orders}} AS o ON i.order_id = o.order_id
 WHERE o.status = 'Completed'
 GROUP BY i.kafka_ts"""
 
-_APPEND = _daily("shop_items", "shop_orders", last="")
+_SUMS = """COUNT(DISTINCT i.order_id) AS orders, CAST(SUM(i.quantity) AS BIGINT) AS items,
+    CAST(SUM(i.price * i.quantity) AS BIGINT) AS revenue,
+    CAST(SUM(i.cost_price * i.quantity) AS BIGINT) AS cost"""
+
+
+def _latest(log: str, key: str) -> str:
+    return f"""(SELECT * FROM (SELECT *, row_number() OVER (
+        PARTITION BY {key} ORDER BY event_ts DESC, "offset" DESC) AS rn FROM {log})
+    WHERE rn = 1 AND op <> 'd')"""
+
+
+# What the days are when the first part of the feed has been read, and in the end.
+_CLOSING = f"""
+first_orders AS (SELECT * FROM order_log WHERE event_ts < TIMESTAMP '{MARK}'),
+first_items AS (
+    SELECT * FROM item_log WHERE event_ts < TIMESTAMP '{MARK}' AND "offset" % 17 <> {LATE_OFFSET}),
+marks AS (
+    SELECT (SELECT least((SELECT max(event_ts) FROM first_orders), (SELECT max(event_ts) FROM first_items)))
+               - INTERVAL 10 SECOND AS first_mark,
+           (SELECT least((SELECT max(event_ts) FROM order_log), (SELECT max(event_ts) FROM item_log)))
+               - INTERVAL 10 SECOND AS last_mark
+),
+days_then AS (
+    SELECT CAST(i.kafka_ts AS DATE) AS day, {_SUMS}
+    FROM {_latest('first_items', 'order_item_id')} AS i
+    JOIN {_latest('first_orders', 'order_id')} AS o ON i.order_id = o.order_id
+    WHERE o.status = 'Completed' GROUP BY 1
+),
+days_now AS (
+    SELECT CAST(i.kafka_ts AS DATE) AS day, {_SUMS}
+    FROM live_items AS i JOIN live_orders AS o ON i.order_id = o.order_id
+    WHERE o.status = 'Completed' GROUP BY 1
+),
+sent AS (
+    SELECT 'final' AS kind, days_then.* FROM days_then, marks WHERE day + INTERVAL 1 DAY <= first_mark
+    UNION ALL
+    SELECT 'final', days_now.* FROM days_now, marks
+    WHERE day + INTERVAL 1 DAY > first_mark AND day + INTERVAL 1 DAY <= last_mark
+    UNION ALL
+    SELECT 'late', day, coalesce(n.orders, 0) - coalesce(t.orders, 0),
+        coalesce(n.items, 0) - coalesce(t.items, 0), coalesce(n.revenue, 0) - coalesce(t.revenue, 0),
+        coalesce(n.cost, 0) - coalesce(t.cost, 0)
+    FROM days_then AS t FULL JOIN days_now AS n USING (day), marks
+    WHERE day + INTERVAL 1 DAY <= first_mark
+)"""
 
 # Upserts --------------------------------------------------------------------------
 
@@ -209,6 +261,18 @@ _NULLS = " UNION ALL ".join(
 )
 
 _RECONCILED = ("customer_id", "status", "total_amount", "created_at", "updated_at")
+_RECONCILE = (
+    "SELECT * FROM (SELECT coalesce(a.order_id, b.order_id) AS order_id, "
+    "CASE WHEN b.order_id IS NULL THEN 'only_left' WHEN a.order_id IS NULL THEN 'only_right' "
+    "ELSE 'differs' END AS verdict, "
+    "CASE WHEN a.order_id IS NULL OR b.order_id IS NULL THEN '' ELSE concat_ws(',', "
+    + ", ".join(
+        f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _RECONCILED
+    )
+    + ") END AS differing FROM shop_orders AS a "
+    "FULL JOIN live_orders AS b ON a.order_id = b.order_id) "
+    "WHERE verdict <> 'differs' OR differing <> ''"
+)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -217,6 +281,10 @@ def oracle_sql() -> dict[str, str]:
         "sales_daily": _sql(_daily("shop_items", "shop_orders")),
         "sales_by_ts": _sql(_BY_TS.format(key=_ts("i.kafka_ts"), items="shop_items", orders="shop_orders")),
         "sales_ts_to_day": _sql(_daily("shop_items", "shop_orders", last="")),
+        "sales_daily_colocated": _sql(_daily("shop_items", "shop_orders")),
+        "sales_weekly": _sql(_per_period("week", "sale_week")),
+        "sales_monthly": _sql(_per_period("month", "sale_month_start")),
+        "sales_stamps_to_day": _sql(_daily("shop_items", "shop_orders", last="")),
         "metrics_feed_to_day": _sql(
             _BY_TS.format(key=_day("i.kafka_ts"), items="shop_items", orders="shop_orders")
         ),
@@ -300,18 +368,8 @@ def oracle_sql() -> dict[str, str]:
             "THEN upper(status) ELSE status END AS status FROM order_log) WHERE status IS NULL "
             "OR status NOT IN ('Pending', 'Completed', 'Cancelled') GROUP BY status"
         ),
-        "reconcile": _sql(
-            "SELECT * FROM (SELECT coalesce(a.order_id, b.order_id) AS order_id, "
-            "CASE WHEN b.order_id IS NULL THEN 'only_left' WHEN a.order_id IS NULL THEN 'only_right' "
-            "ELSE 'differs' END AS verdict, "
-            "CASE WHEN a.order_id IS NULL OR b.order_id IS NULL THEN '' ELSE concat_ws(',', "
-            + ", ".join(
-                f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _RECONCILED
-            )
-            + ") END AS differing FROM shop_orders AS a "
-            "FULL JOIN live_orders AS b ON a.order_id = b.order_id) "
-            "WHERE verdict <> 'differs' OR differing <> ''"
-        ),
+        "reconcile": _sql(_RECONCILE),
+        "reconcile_digests": _sql(_RECONCILE),
         "store_products": _sql(f"SELECT {_PRODUCT_ROW}, true AS stamped FROM shop_products"),
         "store_orders": _sql(
             f"SELECT {_columns(**_ORDER_ROW)}, true AS stamped, "
@@ -334,7 +392,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_sales_ts": _sql(
             _BY_TS.format(key=_ts("i.kafka_ts"), items="live_items", orders="live_orders")
         ),
-        "stream_sales_append": _sql(_APPEND),
+        "stream_sales_append": _sql(_daily("live_items", "live_orders", last="")),
+        "stream_closing_days": _sql(
+            "SELECT kind, strftime(day, '%Y-%m-%d') AS sale_date, orders AS total_orders, "
+            "items AS total_items_sold, CAST(revenue AS DOUBLE) / 100 AS total_revenue, "
+            "CAST(cost AS DOUBLE) / 100 AS total_cost FROM sent "
+            "WHERE orders <> 0 OR items <> 0 OR revenue <> 0 OR cost <> 0", _CLOSING
+        ),
         "stream_metrics_days": _sql(_daily("live_items", "live_orders", last="")),
         "stream_cdc_flatten_items": _sql(f"SELECT {_columns(**_ITEM_ROW)} FROM item_log"),
         "stream_cdc_flatten_products": _sql(

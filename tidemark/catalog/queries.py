@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 from tidemark import settings
 from tidemark.operators import checks, sales, upserts
 from tidemark.operators.changes import current_rows, flatten
-from tidemark.plans import incremental, ingest
+from tidemark.plans import arrival_index, colocated, incremental, ingest, rollups
 from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS, ShopTable
 from tidemark.session import stateful_session, work_dir
 from tidemark.sinks import tables
 from tidemark.sources import extracts, feeds, shop
-from tidemark.streaming import joined, views
+from tidemark.streaming import closing, joined, views
 from tidemark.streaming.revising import RevisingSales
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,7 @@ BEFORE_ALL = "1990-01-01 00:00:00"
 INGEST_DAY = "1998-06-15"
 KEEP_FROM = "1999-07-15"
 PRICE_CUT = "910"
+LATE_OFFSET = 5
 LOAD_DAYS = ("1998-06-14", "1998-06-15", "1998-06-16")
 
 
@@ -77,6 +78,42 @@ def metrics_feed_to_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_daily_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales from items and orders stored in buckets of the order."""
+    root = work_dir(spark, "colocated")
+    name = "sales_" + root.rpartition("-")[2]
+    stored = colocated.ColocatedSales(f"{root}/tables", name, _buckets(spark))
+    stored.store(spark, shop.order_items(spark, sf_dir), shop.orders(spark, sf_dir))
+    return stored.metrics(spark)
+
+
+def _rollups(spark: SparkSession, sf_dir: str, grain: str) -> rollups.SalesRollups:
+    """Stored sales rows of a grain; orders are numbered in two loads."""
+    stored = rollups.SalesRollups(work_dir(spark, f"rollups-{grain}"))
+    orders = shop.orders(spark, sf_dir)
+    stored.number_orders(spark, orders.where(F.col("created_at") < MARK), "first")
+    stored.number_orders(spark, orders, "second")
+    stored.store(spark, shop.order_items(spark, sf_dir),
+                 shop.orders(spark, sf_dir, settings.COMPLETED), grain)
+    return stored
+
+
+def sales_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics per week from the days' stored bitmaps and sums, without the items."""
+    return _rollups(spark, sf_dir, sales.DAY).roll_up(spark, sales.DAY, "week", "sale_week")
+
+
+def sales_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``sales_weekly``, per month."""
+    return _rollups(spark, sf_dir, sales.DAY).roll_up(spark, sales.DAY, "month", "sale_month_start")
+
+
+def sales_stamps_to_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics per day from the timestamps' stored rows, without the items."""
+    return _rollups(spark, sf_dir, sales.TIMESTAMP).roll_up(
+        spark, sales.TIMESTAMP, "day", "sale_date")
+
+
 def _arrivals(changes: DataFrame) -> DataFrame:
     return changes.withColumnRenamed("event_ts", "kafka_ts")
 
@@ -106,12 +143,14 @@ def daily_summary_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     for step, part in enumerate((F.col("kafka_ts") < MARK, F.col("kafka_ts") >= MARK)):
         for name, rows in arrivals.items():
-            rows.where(part).write.mode("append").parquet(f"{root}/{name}")
+            arrived = arrival_index.by_arrival(rows.where(part))
+            tables.spread(arrived, arrival_index.ARRIVAL_MONTH).write.mode("append").partitionBy(
+                arrival_index.ARRIVAL_MONTH).parquet(f"{root}/{name}")
         incremental.run_incremental(
             spark,
             spark.read.parquet(f"{root}/order_items"),
             spark.read.parquet(f"{root}/orders"),
-            f"{root}/sales", f"{root}/days-{step}", BEFORE_ALL,
+            f"{root}/sales", f"{root}/days-{step}", BEFORE_ALL, _buckets(spark),
         )
     return incremental.summary(spark, f"{root}/sales").drop(tables.MONTH)
 
@@ -304,6 +343,14 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.reconcile(shop.orders(spark, sf_dir), arrived, "order_id", columns)
 
 
+def reconcile_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``reconcile``, looking for ranges of keys that differ before any rows are joined."""
+    arrived = current_rows(shop.order_changes(spark, sf_dir), ORDERS)
+    columns = [c for c in ORDERS.columns if c != "order_id"]
+    return checks.reconcile_by_digests(
+        shop.orders(spark, sf_dir), arrived, "order_id", columns, work_dir(spark, "digests"))
+
+
 # Storage --------------------------------------------------------------------------
 
 
@@ -446,20 +493,48 @@ def stream_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sales_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily sales by a stream join without a time bound, the tables read as streams."""
+    """Daily sales by a stateful join of the change feeds, without a time bound.
+
+    The feed comes in two parts; the second run goes on from the first one's state.
+    """
     root = work_dir(spark, "append")
     streams = stateful_session(spark)
-    items = shop.order_items(streams, sf_dir, stream=True).withColumnRenamed("kafka_ts", "ts")
-    orders = shop.orders(streams, sf_dir, settings.COMPLETED, stream=True)
-    orders = orders.withColumnRenamed("updated_at", "order_ts")
-    joined.start_joined_sales(spark, items, orders, root, run_once=True).awaitTermination()
-    return joined.joined_sales(spark, root)
+    feed = shop.order_feed(spark, sf_dir).unionByName(shop.order_item_feed(spark, sf_dir))
+    for part in (F.col("timestamp") < MARK, F.col("timestamp") >= MARK):
+        feed.where(part).write.mode("append").parquet(f"{root}/feed")
+        joined.start_joined_sales(
+            spark, feeds.file_feed(streams, f"{root}/feed"), f"{root}/state", run_once=True
+        ).awaitTermination()
+    return joined.joined_sales(spark, f"{root}/state")
+
+
+def stream_closing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days sent once when the 10 s watermark has passed them, and what came too late for them.
+
+    The feed comes in two parts, before and from the mark on; some items of the first are held
+    back and come with the second.
+    """
+    root = work_dir(spark, "closing")
+    streams = stateful_session(spark)
+    feed = shop.order_feed(spark, sf_dir).unionByName(shop.order_item_feed(spark, sf_dir))
+    held_back = F.col("topic").endswith("order_items") & (F.col("offset") % 17 == LATE_OFFSET)
+    first = (F.col("timestamp") < MARK) & ~held_back
+    for part in (first, ~first):
+        feed.where(part).write.mode("append").parquet(f"{root}/feed")
+        closing.start_closing_days(
+            feeds.file_feed(streams, f"{root}/feed"), f"{root}/state", run_once=True
+        ).awaitTermination()
+    kept = ("sale_date", "total_orders", "total_items_sold", "total_revenue", "total_cost")
+    final = closing.final_days(spark, f"{root}/state").select(*kept, F.lit("final").alias("kind"))
+    late = closing.late_differences(spark, f"{root}/state")
+    return final.unionByName(late.select(*kept, F.lit("late").alias("kind")))
 
 
 REGISTERED: dict[str, Query] = {
     q.__name__: q
     for q in (
         sales_daily, sales_by_ts, sales_ts_to_day, metrics_feed_to_day,
+        sales_weekly, sales_monthly, sales_stamps_to_day, sales_daily_colocated,
         sales_daily_all_versions, high_water_mark, sales_daily_incremental,
         daily_summary_merge, cdc_flatten_orders, cdc_flatten_order_items,
         cdc_flatten_products, cdc_table_filter, cdc_latest_orders,
@@ -467,11 +542,11 @@ REGISTERED: dict[str, Query] = {
         upsert_order_items, insert_if_absent, csv_ingest_orders, csv_ingest_order_items,
         csv_products,
         pk_duplicates, output_key_check, not_null_counts, fk_orphans, fk_cascade_delete,
-        fk_restrict_violations, status_enum_violations, reconcile, store_products,
+        fk_restrict_violations, status_enum_violations, reconcile, reconcile_digests, store_products,
         store_orders, store_order_items, sales_monthly_partitions, ttl_retention,
         stream_sales_daily, stream_sales_ts, stream_sales_append, stream_metrics_days,
         stream_cdc_flatten, stream_cdc_flatten_items, stream_cdc_flatten_products,
-        stream_set_aside,
+        stream_set_aside, stream_closing_days,
     )
 }
 

@@ -2,9 +2,9 @@
 
 The stored tables keep every version of every row, stamped with its arrival time.
 A run takes what arrived since the last run's mark, finds the days that can have
-changed, computes those days anew from the latest versions and replaces them in
-the summary. Recomputing whole days keeps distinct order counts exact and makes a
-repeated run harmless.
+changed by an index, computes those days anew from the latest versions and replaces
+them in the summary. Recomputing whole days keeps distinct order counts exact and
+makes a repeated run harmless.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators.changes import latest_per_key
 from tidemark.operators.sales import sales_metrics
-from tidemark.schemas import ORDER_ITEMS, ORDERS, TOTAL
+from tidemark.plans.arrival_index import ARRIVAL, ArrivalIndex, arrived_since
+from tidemark.schemas import TOTAL
 from tidemark.settings import FIRST_MARK
 from tidemark.sinks.tables import MONTH, overwrite, read_days, read_or_empty, replace_days
 
@@ -33,8 +34,6 @@ SUMMARY = T.StructType([
     T.StructField(MONTH, T.IntegerType()),
 ])
 
-ARRIVAL = ("kafka_ts", "offset")
-
 
 def high_water_mark(summary: DataFrame, first: str = FIRST_MARK) -> DataFrame:
     """The latest arrival the summary covers, or ``first`` while it is empty."""
@@ -48,22 +47,6 @@ def new_rows_only(items: DataFrame, orders: DataFrame, mark: datetime | str) ->
     return sales_metrics(fresh, orders)
 
 
-def affected_days(items: DataFrame, orders: DataFrame, since: int) -> DataFrame:
-    """Days whose metrics can differ from before ``since`` (microseconds of the epoch).
-
-    They are the days of every version of an item that changed (an update may move
-    it) and of every version of the items of an order that changed (it may have
-    become or ceased to be Completed).
-    """
-    day = F.to_date("kafka_ts").alias("sale_date")
-    changed = F.col("kafka_ts") >= F.timestamp_micros(F.lit(since))
-    changed_items = items.where(changed).select("order_item_id").distinct()
-    changed_orders = orders.where(changed).select("order_id").distinct()
-    moved = items.select("order_item_id", day).join(changed_items, "order_item_id", "left_semi")
-    turned = items.select("order_id", day).distinct().join(changed_orders, "order_id", "left_semi")
-    return moved.select("sale_date").unionByName(turned.select("sale_date")).distinct()
-
-
 def current(rows: DataFrame, key: str) -> DataFrame:
     return latest_per_key(rows, [key], ARRIVAL).where(F.col("op") != "d")
 
@@ -75,33 +58,32 @@ def run_incremental(
     summary_path: str,
     work_path: str,
     first_mark: str = FIRST_MARK,
+    buckets: int | None = None,
 ) -> None:
     """Bring the summary up to date with the stored tables.
 
-    ``items`` and ``orders`` hold all versions with ``op``, ``kafka_ts`` and
-    ``offset``. Errors are raised, so that a scheduler sees a failed run. While the summary
-    is empty, days that had all their changes before ``first_mark`` are left out.
+    ``items`` and ``orders`` hold all versions with ``op``, ``kafka_ts`` and ``offset``, best
+    partitioned by ``arrival_month`` (``by_arrival``). Errors are raised, so that a scheduler sees
+    a failed run. While the summary is empty, days that had all their changes before
+    ``first_mark`` are left out.
 
-    Each run looks through the keys and arrival times of all stored items, as a change may
-    belong to any day; whole rows and orders are only read for the affected days.
+    The first run reads everything once, to build an index beside the summary. From then on a
+    run reads the rows that arrived since the mark, the index buckets of their keys, and the
+    months of the days that can have changed: the days of every version of a changed item (an
+    update may move it) and of the items of a changed order (it may have become or ceased to be
+    Completed).
     """
     marks = high_water_mark(read_or_empty(spark, summary_path, SUMMARY), first_mark)
     mark = marks.select(F.unix_micros("last_processed_ts")).first()[0]
-    overwrite(affected_days(items, orders, mark), f"{work_path}/days")
+    index = ArrivalIndex(f"{summary_path}_index", buckets)
+    new = arrived_since(items, mark), arrived_since(orders, mark)
+    index.take_in(spark, *(new if index.is_built(spark) else (items, orders)))
+    index.close_build(spark)
+    overwrite(index.days_of(spark, *new), f"{work_path}/days")
     days = spark.read.schema("sale_date date").parquet(f"{work_path}/days")
-    earliest = days.agg(F.min("sale_date")).first()[0]
-    if earliest is None:
+    if days.isEmpty():
         return
-    # A version that replaces one of an affected day arrived on that day or later,
-    # so older item rows need not be read.
-    recent = items.where(F.col("kafka_ts") >= F.lit(earliest).cast("timestamp"))
-    live = current(recent, ORDER_ITEMS.key).withColumn("sale_date", F.to_date("kafka_ts"))
-    live = live.join(days, "sale_date", "left_semi").drop("sale_date")
-    overwrite(live, f"{work_path}/items")
-    live = spark.read.schema(live.schema).parquet(f"{work_path}/items")
-    # Only the orders of these items are brought to their latest version.
-    wanted = orders.join(live.select("order_id").distinct(), "order_id", "left_semi")
-    fresh = sales_metrics(live, current(wanted, ORDERS.key))
+    fresh = sales_metrics(index.live_items(spark, items, days), index.live_orders(spark))
     replace_days(spark, summary_path, fresh, days, "sale_date", SUMMARY)
 
 

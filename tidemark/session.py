@@ -31,15 +31,17 @@ def build_session(name: str, master: str | None = None, **conf: str) -> SparkSes
     return builder.getOrCreate()
 
 
-def stateful_session(spark: SparkSession) -> SparkSession:
+def stateful_session(spark: SparkSession, parallelism: int | None = None) -> SparkSession:
     """A session of the same application for streams that keep state.
 
-    The number of state partitions is fixed when such a stream first starts and
-    cannot be coalesced later, so it follows the cluster's cores. State spills to
-    local disk through RocksDB instead of filling the heap.
+    ``parallelism`` is the number of shuffle and state partitions of the streams started in it.
+    It is fixed with a stream's first batch (the checkpoint keeps it) and cannot be coalesced
+    later, so unless given it follows the cluster's cores. State spills to local disk through
+    RocksDB instead of filling the heap.
     """
     session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    session.conf.set(
+        "spark.sql.shuffle.partitions", parallelism or spark.sparkContext.defaultParallelism)
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set(STATE_STORE, ROCKSDB)
     return session

@@ -32,15 +32,16 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The table, or no rows where it has never been written."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
-def with_bucket(rows: DataFrame, key: str, buckets: int) -> DataFrame:
-    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+def with_bucket(rows: DataFrame, key: str | list[str], buckets: int) -> DataFrame:
+    columns = [key] if isinstance(key, str) else key
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int"))
 
 
 def spread(rows: DataFrame, *columns: str) -> DataFrame:
@@ -189,6 +190,20 @@ def expire_before(spark: SparkSession, path: str, day: str, column: str, month:
             fs.delete(status.getPath(), True)
 
 
+def drop_oldest(spark: SparkSession, path: str, partition: str, keep: int) -> None:
+    """Delete the folders of a numbered partition column but for the ``keep`` highest numbers."""
+    target, fs = _hadoop_path(spark, path)
+    if not fs.exists(target):
+        return
+    found = {}
+    for status in fs.listStatus(target):
+        name, _, value = status.getPath().getName().partition("=")
+        if name == partition and value.isdigit():
+            found[int(value)] = status.getPath()
+    for number in sorted(found)[: max(len(found) - keep, 0)]:
+        fs.delete(found[number], True)
+
+
 def publish_together(
     spark: SparkSession, root: str, load_id: str, tables: Mapping[str, DataFrame]
 ) -> None:
