@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import pathlib
+
 import pytest
+from pyspark.sql import functions as F
 
 from tests.rows import at, metrics
 from tidemark.operators.sales import sales_metrics
+from tidemark.plans.arrival_index import ARRIVAL_MONTH, ArrivalIndex, by_arrival
 from tidemark.plans.incremental import (
     SUMMARY,
     current,
@@ -13,6 +17,7 @@ from tidemark.plans.incremental import (
     summary,
 )
 from tidemark.schemas import ORDER_ITEMS, ORDERS
+from tidemark.sinks.tables import MONTH
 
 FIRST = "2000-01-01 00:00:00"
 
@@ -127,3 +132,93 @@ def test_failure_is_raised(spark, tmp_path):
     broken = spark.sql("SELECT 'x' AS order_id")
     with pytest.raises(Exception):
         run_incremental(spark, broken, broken, str(tmp_path / "s"), str(tmp_path / "w"))
+
+
+def month_files(root, *parts):
+    return [p for part in parts for p in pathlib.Path(root).glob(f"{part}/**/*.parquet")]
+
+
+def test_a_run_reads_only_the_months_and_buckets_of_what_changed(spark, tmp_path):
+    """After the first run every file that the second has no use for is broken."""
+    root, schemas = str(tmp_path), {}
+
+    def add(name, rows, schema, **constants):
+        df = spark.createDataFrame(rows, schema).selectExpr(
+            "*", *(f"{sql} AS {c}" for c, sql in constants.items()))
+        by_arrival(df).write.mode("append").partitionBy(ARRIVAL_MONTH).parquet(f"{root}/{name}")
+
+    def add_orders(*rows):
+        add("orders", [("u", o, s, at(ts), n) for o, s, ts, n in rows],
+            "op string, order_id string, status string, kafka_ts timestamp, offset bigint")
+
+    def add_items(*rows):
+        add("items", [("u", i, o, q, at(ts), n) for i, o, q, ts, n in rows],
+            "op string, order_item_id string, order_id string, quantity bigint, kafka_ts timestamp, offset bigint",
+            price="CAST(10 AS DECIMAL(10,2))", cost_price="CAST(7 AS DECIMAL(10,2))")
+
+    def table(name):
+        if name not in schemas:
+            schemas[name] = spark.read.parquet(f"{root}/{name}").schema
+        return spark.read.schema(schemas[name]).parquet(f"{root}/{name}")
+
+    def run(number):
+        run_incremental(spark, table("items"), table("orders"), f"{root}/summary",
+                        f"{root}/work-{number}", FIRST, buckets=32)
+        rows = spark.read.schema(SUMMARY).parquet(f"{root}/summary").where(f"{MONTH} = 202406")
+        return {d: m[:2] for d, m in metrics(rows.where("total_orders > 0")).items()}
+
+    add_orders(*[(f"O{i}", "Completed", f"2024-{1 + i % 6:02d}-01 01:00", i) for i in range(24)])
+    add_items(*[(f"I{i}", f"O{i}", 1, f"2024-{1 + i % 6:02d}-02 02:00", 100 + i) for i in range(24)])
+    assert run(1) == {"2024-06-02": (4, 4)}
+    add_orders(("N", "Completed", "2024-06-20 01:00", 500))
+    add_items(("J", "N", 5, "2024-06-20 02:00", 501), ("I5", "O5", 3, "2024-06-21 02:00", 502))
+    kept, broken = f"{ARRIVAL_MONTH}=202406", 0
+    for file in month_files(root, "items", "orders"):
+        if file.parent.name != kept:
+            file.write_bytes(b"broken")
+            broken += 1
+    buckets = {p.parent.name for p in month_files(root, "summary_index/versions")}
+
+    def bucket(key):
+        row = spark.createDataFrame([(key,)]).select(F.pmod(F.xxhash64("*"), F.lit(32)))
+        return f"bucket={row.first()[0]}"
+
+    # O5, I5 changed; J and N are new. The mark's own rows are looked at once more.
+    again = [f"I{i}" for i in range(5, 24, 6)]
+    used = {bucket(k) for k in ("J", *again)}
+    assert len(buckets - used) > 5
+    for file in month_files(root, "summary_index/versions"):
+        if file.parent.name not in used:
+            file.write_bytes(b"broken")
+            broken += 1
+    assert broken > 12
+    assert run(2) == {"2024-06-02": (3, 3), "2024-06-20": (1, 5), "2024-06-21": (1, 3)}
+
+
+def test_index_takes_the_same_rows_again(warehouse):
+    warehouse.add([("A", "Completed", "2024-01-01 01:00")],
+                  [("I1", "A", 1, "2024-01-01 02:00"), ("I1", "A", 2, "2024-01-02 02:00")])
+    warehouse.run()
+    index = ArrivalIndex(f"{warehouse.root}/summary_index")
+    spark = warehouse.spark
+    before = {n: index.read(spark, n).count() for n in ("versions", "order_days", "statuses", "superseded")}
+    assert before == {"versions": 2, "order_days": 2, "statuses": 1, "superseded": 1}
+    index.take_in(spark, warehouse.table("items"), warehouse.table("orders"))
+    assert before == {n: index.read(spark, n).count() for n in before}
+    assert warehouse.run() == {"2024-01-02": (1, 2)}
+
+
+def test_a_run_that_failed_after_the_index_was_written(warehouse, monkeypatch):
+    from tidemark.plans import incremental
+
+    def fail(*args):
+        raise RuntimeError("driver lost")
+
+    warehouse.add([("A", "Completed", "2024-01-01 01:00")], [("I1", "A", 1, "2024-01-01 02:00")])
+    warehouse.run()
+    warehouse.add(items=[("I1", "A", 4, "2024-01-02 02:00"), ("I2", "A", 1, "2024-01-02 03:00")])
+    monkeypatch.setattr(incremental, "replace_days", fail)
+    with pytest.raises(RuntimeError):
+        warehouse.run()
+    monkeypatch.undo()
+    assert warehouse.run() == {"2024-01-02": (1, 5)}

@@ -14,7 +14,7 @@ from tidemark.schemas import ORDER_ITEMS, ORDERS
 from tidemark.session import stateful_session
 from tidemark.settings import WATERMARK_DELAY
 from tidemark.sources.feeds import decode_json, encode_metrics, file_feed
-from tidemark.streaming import revising
+from tidemark.streaming import closing
 from tidemark.streaming.joined import joined_sales, start_joined_sales
 from tidemark.streaming.revising import RevisingSales
 from tidemark.streaming.views import (
@@ -364,3 +364,63 @@ def test_windowed_job_drops_late_rows(spark, tmp_path):
     assert first == {"2024-01-01": (2, 7, "70.00", "49.00", "21.00", "35.00")}
     late = step([("A", 8, "2024-01-01 04:00:00"), ("Z", 1, far)], [("Y", far)])
     assert late == first
+
+
+@pytest.fixture
+def closing_days(spark, tmp_path):
+    """Runs the closing job over what has landed; its final days, late differences and counts."""
+    landing, root = str(tmp_path / "feed"), str(tmp_path / "closing")
+
+    def step(records):
+        feed(spark, records).write.mode("append").parquet(landing)
+        stream = file_feed(stateful_session(spark, 3), landing)
+        query = closing.start_closing_days(stream, root, run_once=True)
+        query.awaitTermination()
+        late = {str(r.sale_date): tuple(r)[1:3] for r in closing.late_differences(spark, root).collect()}
+        final = {d: m[:2] for d, m in metrics(closing.final_days(spark, root)).items()}
+        return final, late, closing.counted(query)
+
+    return step
+
+
+def test_days_close_with_the_watermark_and_nothing_late_is_lost(spark, closing_days):
+    after = [order_record(50, "2024-01-02 00:00:11", "c", "Z", "Pending"),
+             item_record(51, "2024-01-02 00:00:11", "c", "Z1", "Z")]
+    # Ten seconds behind, the watermark has not quite passed the day.
+    assert closing_days([B1, I2, order_record(48, "2024-01-02 00:00:05", "c", "Y", "Pending"),
+                         item_record(49, "2024-01-02 00:00:05", "c", "Y1", "Y")])[0] == {}
+    final, late, counted = closing_days(after)
+    assert (final, late, counted) == ({"2024-01-01": (1, 2)}, {}, {"final": 1, "late": 0})
+    # A late item, an item for a day never seen, and an order that is completed too late.
+    final, late, counted = closing_days([A2, I1, LATE])
+    assert final == {"2024-01-01": (1, 2)}
+    assert late == {"2024-01-01": (1, 1), "2023-12-31": (1, 8)} and counted["late"] == 2
+    final, late, _ = closing_days([I2_GONE, A3])
+    assert final["2024-01-01"] == (1, 2) and late == {"2024-01-01": (-1, -2), "2023-12-31": (1, 8)}
+
+
+def test_a_slow_feed_holds_the_watermark_back(closing_days):
+    """The items are far ahead of the orders, so no day is closed yet."""
+    far = item_record(60, "2024-05-01 00:00:00", "c", "F", "B")
+    assert closing_days([B1, I2, far]) == ({}, {}, {"final": 0, "late": 0})
+    # A feed that is quiet after a restart holds it back too, so both go on.
+    ahead = [order_record(61, "2024-06-01 00:00:00", "c", "W", "Pending"),
+             item_record(62, "2024-05-01 00:00:00", "c", "F2", "W")]
+    final, late, _ = closing_days(ahead)
+    assert final == {"2024-01-01": (1, 2)} and late == {}
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_final_and_late_add_up_to_the_feed(spark, closing_days, seed):
+    records = [A1, A2, A3, B1, B2, I1, I1_MORE, I1_MOVED, I2, LATE]
+    shuffled = random.Random(seed).sample(records, len(records))
+    end = [order_record(70, "2025-01-01 00:00:00", "c", "Z", "Pending"),
+           item_record(71, "2025-01-01 00:00:00", "c", "Z1", "Z")]
+    for part in (shuffled[:5], shuffled[5:], end):
+        final, late, _ = closing_days(part)
+    total = {}
+    for found in (final, late):
+        for day, sums in found.items():
+            total[day] = tuple(a + b for a, b in zip(total.get(day, (0, 0)), sums))
+    want = {d: m[:2] for d, m in batch_result(spark, records).items()}
+    assert {d: t for d, t in total.items() if any(t)} == want

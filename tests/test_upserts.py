@@ -13,7 +13,8 @@ from tidemark.operators.upserts import (
 )
 from tidemark.plans.ingest import create_table, ingest_day, source_table
 from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS
-from tidemark.sinks import tables
+from tidemark.sinks import versions
+from tidemark.sinks.versions import RefusedLoad, VersionedTables
 from tidemark.sources.extracts import read_extract, rows_of_day, typed
 from tidemark.sources.seed import seed_products
 
@@ -123,8 +124,9 @@ def test_days_are_loaded_one_by_one_and_again(spark, extracts, tmp_path):
             "A": ("C1", "Completed", "45.70", "2024-12-03"), "B": ("C2", "Pending", "31.91", "2024-12-04"),
         }
         assert source_table(spark, root, ORDER_ITEMS).count() == 2
-    assert {p.name for p in (tmp_path / "shop" / "_loads" / "day=2024-12-04").iterdir()} == {
-        "ready", "published"}
+    VersionedTables(root).vacuum(spark)
+    assert len(list((tmp_path / "shop" / "_pointers").glob("0*"))) == 1
+    assert source_table(spark, root, ORDERS).count() == 2
 
 
 def test_failed_load_leaves_both_tables_alone(spark, extracts, tmp_path):
@@ -138,20 +140,72 @@ def test_failed_load_leaves_both_tables_alone(spark, extracts, tmp_path):
     assert source_table(spark, root, ORDER_ITEMS).isEmpty()
 
 
-def test_interrupted_publishing_is_finished_by_the_next_load(spark, extracts, tmp_path, monkeypatch):
+def test_readers_see_both_tables_before_or_after_a_load(spark, extracts, tmp_path, monkeypatch):
+    """A reader looks between the writes of the two tables, and another keeps its pointer."""
     root = str(tmp_path / "shop")
-    written = tables.overwrite_partitions
+    ingest_day(spark, root, "2024-12-03", *extracts, buckets=2)
+    before = as_dict(source_table(spark, root, ORDERS))
+    held = VersionedTables(root).pointer(spark)
+    written, seen = versions.overwrite, []
 
-    def break_on_items(rows, path, *partitions):
-        if path.endswith("order_items"):
-            raise RuntimeError("driver lost")
+    def write_and_look(rows, path, *partitions):
         written(rows, path, *partitions)
+        seen.append((as_dict(source_table(spark, root, ORDERS)),
+                     source_table(spark, root, ORDER_ITEMS).count()))
+
+    monkeypatch.setattr(versions, "overwrite", write_and_look)
+    ingest_day(spark, root, "2024-12-04", *extracts)
+    assert seen == [(before, 0)] * 2
+    assert source_table(spark, root, ORDERS).count() == source_table(spark, root, ORDER_ITEMS).count() == 2
+    assert as_dict(source_table(spark, root, ORDERS, held)) == before
+
+
+def test_interrupted_load_is_not_seen_and_can_run_again(spark, extracts, tmp_path, monkeypatch):
+    root = str(tmp_path / "shop")
 
-    monkeypatch.setattr(tables, "overwrite_partitions", break_on_items)
+    def fail(*args):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(VersionedTables, "_point", fail)
     with pytest.raises(RuntimeError):
         ingest_day(spark, root, "2024-12-04", *extracts, buckets=2)
     monkeypatch.undo()
+    assert source_table(spark, root, ORDERS).isEmpty()
     assert source_table(spark, root, ORDER_ITEMS).isEmpty()
-    ingest_day(spark, root, "2024-12-01", *extracts, buckets=2)
-    assert source_table(spark, root, ORDERS).count() == 2
-    assert source_table(spark, root, ORDER_ITEMS).count() == 2
+    counted = ingest_day(spark, root, "2024-12-04", *extracts, buckets=2)
+    assert counted["orders"]["rows"] == counted["order_items"]["rows"] == 2
+    assert source_table(spark, root, ORDERS).count() == source_table(spark, root, ORDER_ITEMS).count() == 2
+
+
+def test_load_that_breaks_its_checks_is_refused(spark, extracts, tmp_path):
+    root = str(tmp_path / "shop")
+    ingest_day(spark, root, "2024-12-03", *extracts, buckets=2)
+    with open(extracts[0], "a") as orders:
+        orders.write("C,C3,Lost,1.00,2024-12-04 08:00:00,2024-12-04 08:00:00\n")
+    with pytest.raises(RefusedLoad) as refused:
+        ingest_day(spark, root, "2024-12-04", *extracts)
+    assert refused.value.report["orders"] == {"not allowed status": 1}
+    assert list(as_dict(source_table(spark, root, ORDERS))) == ["A"]
+    VersionedTables(root).vacuum(spark)
+    assert [p.name[:3] for p in (tmp_path / "shop" / "_data").iterdir()] == ["day"]
+
+
+def test_checks_count_what_the_write_sees(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "a", 0), (1, "b", 0), (2, None, 0), (3, "z", 1)], "id int, kind string, part_no int")
+    checks = versions.Checks(("kind",), {"kind": ("a", "b")}, ("id",))
+    tables = VersionedTables(str(tmp_path / "t"))
+    with pytest.raises(RefusedLoad) as refused:
+        tables.publish(spark, "x", {"t": versions.TableLoad(rows, "part_no", checks=checks)})
+    assert refused.value.report == {
+        "t": {"null kind": 1, "not allowed kind": 2, "repeated id": 2}}
+    assert tables.pointer(spark) == {} and tables.read(spark, "t", rows.schema).isEmpty()
+    good = rows.where("kind = 'a'")
+    assert tables.publish(spark, "y", {"t": versions.TableLoad(good, "part_no", checks=checks)}) == {
+        "t": {"rows": 1, "null kind": 0, "not allowed kind": 0, "repeated id": 0}}
+    with pytest.raises(ValueError, match="published already"):
+        tables.publish(spark, "y", {"t": versions.TableLoad(good, "part_no")})
+    # A part that a load leaves empty is gone; others stay.
+    more = rows.where("id = 3")
+    tables.publish(spark, "z", {"t": versions.TableLoad(more, "part_no", (0, 1))})
+    assert [r.id for r in tables.read(spark, "t", rows.schema).collect()] == [3]

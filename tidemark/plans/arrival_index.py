@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.temporal import month_key
 from tidemark.operators.changes import latest_per_key
+from tidemark.session import at_once
 from tidemark.sinks.tables import (
     BUCKET,
     MONTH,
@@ -99,26 +100,34 @@ class ArrivalIndex:
     def take_in(self, spark: SparkSession, items: DataFrame, orders: DataFrame) -> None:
         """Add rows that have arrived."""
         count = fixed_buckets(spark, self._path("count"), self.buckets)
-        new = with_bucket(
-            items.select("order_item_id", "order_id", *ARRIVAL).distinct(), "order_item_id", count)
+
+        def versions() -> None:
+            new = with_bucket(
+                items.select("order_item_id", "order_id", *ARRIVAL).distinct(), "order_item_id", count)
+            touched = self._add(spark, "versions", new, "order_item_id")
+            if touched:
+                self._supersede(spark, new.select("order_item_id"), touched)
+
+        def order_days() -> None:
+            pairs = items.where("order_id IS NOT NULL").select(
+                "order_id", F.to_date("kafka_ts").alias("sale_date")).distinct()
+            self._add(spark, "order_days", with_bucket(pairs, "order_id", count), "order_id")
+
+        def statuses() -> None:
+            rows = latest_per_key(
+                orders.select("order_id", "op", "status", *ARRIVAL), ["order_id"], ARRIVAL)
+            self._add(spark, "statuses", with_bucket(rows, "order_id", count), "order_id")
+
+        at_once(versions, order_days, statuses)
+
+    def _add(self, spark: SparkSession, name: str, new: DataFrame, key: str) -> list[int]:
+        """Merge rows into the buckets they fall into; these buckets."""
         touched = values_of(new, BUCKET)
         if touched:
-            held = self._held(spark, "versions", BUCKET, touched)
-            every = held.unionByName(new).distinct()
-            self._replace(spark, "versions", every, "order_item_id")
-            self._supersede(spark, new.select("order_item_id"), touched)
-        pairs = items.where("order_id IS NOT NULL").select(
-            "order_id", F.to_date("kafka_ts").alias("sale_date")).distinct()
-        pairs = with_bucket(pairs, "order_id", count)
-        touched = values_of(pairs, BUCKET)
-        if touched:
-            every = self._held(spark, "order_days", BUCKET, touched).unionByName(pairs)
-            self._replace(spark, "order_days", every.distinct(), "order_id")
-        changed = with_bucket(orders.select("order_id", "op", "status", *ARRIVAL), "order_id", count)
-        touched = values_of(changed, BUCKET)
-        if touched:
-            every = self._held(spark, "statuses", BUCKET, touched).unionByName(changed)
-            self._replace(spark, "statuses", latest_per_key(every, ["order_id"], ARRIVAL), "order_id")
+            every = self._held(spark, name, BUCKET, touched).unionByName(new)
+            every = latest_per_key(every, [key], ARRIVAL) if name == "statuses" else every.distinct()
+            self._replace(spark, name, every, key)
+        return touched
 
     def _supersede(self, spark: SparkSession, changed: DataFrame, touched: list) -> None:
         """Enter all versions of the changed items but the latest in their months."""

@@ -1,8 +1,9 @@
 """Load one day of the CSV extracts into the source tables by keyed upsert.
 
-The tables are kept in hash buckets of their key; a load rewrites only the buckets
-its rows fall into. Orders and items of a load are published together or not at
-all.
+The tables are kept in hash buckets of their key; a load rewrites only the buckets its rows
+fall into. Orders and items of a load are published together or not at all: readers see both
+tables as they were before the load, or both as they are after it. The load is checked while it
+is written, and refused if a key is repeated, a needed column is empty or a status is unknown.
 """
 
 from __future__ import annotations
@@ -13,17 +14,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators.upserts import keyed_upsert, one_row_per_key, with_defaults
 from tidemark.schemas import ORDER_ITEMS, ORDERS, ShopTable
-from tidemark.sinks.tables import (
-    BUCKET,
-    finish_loads,
-    fixed_buckets,
-    overwrite,
-    publish_together,
-    read_or_empty,
-    spread,
-    values_of,
-    with_bucket,
-)
+from tidemark.settings import ORDER_STATUSES
+from tidemark.sinks.tables import BUCKET, fixed_buckets, overwrite, values_of, with_bucket
+from tidemark.sinks.versions import Checks, Pointer, TableLoad, VersionedTables
 from tidemark.sources.extracts import read_extract, rows_of_day, typed
 
 BUCKETS = 64
@@ -33,8 +26,19 @@ def _stored_schema(table: ShopTable) -> T.StructType:
     return T.StructType([*table.schema, T.StructField(BUCKET, T.IntegerType())])
 
 
-def source_table(spark: SparkSession, root: str, table: ShopTable) -> DataFrame:
-    return read_or_empty(spark, f"{root}/{table.name}", _stored_schema(table)).select(*table.columns)
+CHECKS = {
+    ORDERS.name: Checks(("order_id", "customer_id"), {"status": ORDER_STATUSES}, ("order_id",)),
+    ORDER_ITEMS.name: Checks(
+        ("order_item_id", "order_id", "product_id", "quantity", "price"), unique=("order_item_id",)),
+}
+
+
+def source_table(
+    spark: SparkSession, root: str, table: ShopTable, pointer: Pointer | None = None
+) -> DataFrame:
+    """A source table; several are read as of one load by the same ``pointer``."""
+    rows = VersionedTables(root).read(spark, table.name, _stored_schema(table), pointer)
+    return rows.select(*table.columns)
 
 
 def create_table(rows: DataFrame, root: str, table: ShopTable, buckets: int = BUCKETS) -> None:
@@ -42,10 +46,13 @@ def create_table(rows: DataFrame, root: str, table: ShopTable, buckets: int = BU
 
     The number of buckets belongs to the table from then on.
     """
-    count = rows.sparkSession.range(1).select(F.lit(buckets).alias("buckets"))
+    spark, tables = rows.sparkSession, VersionedTables(root)
+    count = spark.range(1).select(F.lit(buckets).alias("buckets"))
     overwrite(count, _count_path(root, table))
     laid_out = with_bucket(rows.select(*table.columns), table.key, buckets)
-    overwrite(spread(laid_out, BUCKET), f"{root}/{table.name}", BUCKET)
+    held = map(int, tables.pointer(spark).get(table.name, {}))
+    load = TableLoad(laid_out, BUCKET, sorted({*held, *range(buckets)}), CHECKS.get(table.name, Checks()))
+    tables.publish(spark, tables.next_load(spark, f"create-{table.name}"), {table.name: load})
 
 
 def _count_path(root: str, table: ShopTable) -> str:
@@ -53,16 +60,17 @@ def _count_path(root: str, table: ShopTable) -> str:
 
 
 def upserted_buckets(
-    spark: SparkSession, root: str, incoming: DataFrame, table: ShopTable,
+    spark: SparkSession, root: str, incoming: DataFrame, table: ShopTable, pointer: Pointer,
     buckets: int | None = None,
-) -> DataFrame:
+) -> TableLoad:
     """The new content of the buckets the incoming rows fall into."""
     buckets = fixed_buckets(spark, _count_path(root, table), buckets, BUCKETS)
     rows = with_defaults(one_row_per_key(incoming, table), table)
     touched = values_of(with_bucket(incoming.select(table.key), table.key, buckets), BUCKET)
-    stored = read_or_empty(spark, f"{root}/{table.name}", _stored_schema(table))
-    target = stored.where(F.col(BUCKET).isin(touched))
-    return with_bucket(keyed_upsert(target, rows, table), table.key, buckets)
+    target = VersionedTables(root).read(
+        spark, table.name, _stored_schema(table), pointer, touched)
+    merged = with_bucket(keyed_upsert(target, rows, table), table.key, buckets)
+    return TableLoad(merged, BUCKET, touched, CHECKS[table.name])
 
 
 def ingest_day(
@@ -72,16 +80,15 @@ def ingest_day(
     orders_csv: str,
     items_csv: str,
     buckets: int | None = None,
-) -> None:
-    """Upsert the extract rows last updated on ``day`` (``yyyy-MM-dd``).
+) -> dict[str, dict[str, int]]:
+    """Upsert the extract rows last updated on ``day`` (``yyyy-MM-dd``); what was counted.
 
-    An earlier load that was interrupted while publishing is finished first. Running
-    a day again changes nothing; errors are raised and leave the tables as they were.
+    Running a day again changes nothing; errors are raised and leave the tables as they were.
     ``buckets`` need not be given; one that is not the tables' own is refused.
     """
-    finish_loads(spark, root, {t.name: _stored_schema(t) for t in (ORDERS, ORDER_ITEMS)})
-    outcome = {}
+    tables = VersionedTables(root)
+    pointer, outcome = tables.pointer(spark), {}
     for table, path in ((ORDERS, orders_csv), (ORDER_ITEMS, items_csv)):
         incoming = typed(rows_of_day(read_extract(spark, path, table), day), table)
-        outcome[table.name] = upserted_buckets(spark, root, incoming, table, buckets)
-    publish_together(spark, root, f"day={day}", outcome)
+        outcome[table.name] = upserted_buckets(spark, root, incoming, table, pointer, buckets)
+    return tables.publish(spark, tables.next_load(spark, f"day-{day}"), outcome)

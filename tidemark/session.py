@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -47,6 +52,16 @@ def stateful_session(spark: SparkSession, parallelism: int | None = None) -> Spa
     return session
 
 
+def at_once(*steps: Callable[[], T]) -> list[T]:
+    """Run steps that do not depend on each other side by side; their results.
+
+    The cluster works on the jobs of all of them together. If any fail, the first error is
+    raised once all have come to an end.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder for written intermediate tables, stream progress and results.
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -202,59 +200,3 @@ def drop_oldest(spark: SparkSession, path: str, partition: str, keep: int) -> No
             found[int(value)] = status.getPath()
     for number in sorted(found)[: max(len(found) - keep, 0)]:
         fs.delete(found[number], True)
-
-
-def publish_together(
-    spark: SparkSession, root: str, load_id: str, tables: Mapping[str, DataFrame]
-) -> None:
-    """Write several bucketed tables, all or none.
-
-    Everything is staged first; a failure there leaves the tables untouched. The
-    ``ready`` mark makes the load count: from then on ``finish_loads`` can complete
-    it from the staged copy, until the ``published`` mark closes it and the copy is deleted.
-    """
-    staged = f"{root}/_loads/{load_id}"
-    for mark in ("ready", "published"):
-        target, fs = _hadoop_path(spark, f"{staged}/{mark}")
-        fs.delete(target, True)
-    for name, rows in tables.items():
-        overwrite(spread(rows, BUCKET), f"{staged}/{name}", BUCKET)
-    _mark(spark, f"{staged}/ready")
-    _publish(spark, root, load_id, {n: rows.schema for n, rows in tables.items()})
-
-
-def finish_loads(spark: SparkSession, root: str, tables: Mapping[str, T.StructType]) -> list[str]:
-    """Complete loads that got ready but were interrupted while publishing; their ids.
-
-    To be called before a load reads the tables, so that it never sees half of an
-    earlier one.
-    """
-    target, fs = _hadoop_path(spark, f"{root}/_loads")
-    if not fs.exists(target):
-        return []
-    loads = sorted(s.getPath().getName() for s in fs.listStatus(target))
-    open_loads = [
-        load for load in loads
-        if is_complete(spark, f"{root}/_loads/{load}/ready")
-        and not is_complete(spark, f"{root}/_loads/{load}/published")
-    ]
-    for load in open_loads:
-        _publish(spark, root, load, tables)
-    return open_loads
-
-
-def _publish(
-    spark: SparkSession, root: str, load_id: str, tables: Mapping[str, T.StructType]
-) -> None:
-    staged = f"{root}/_loads/{load_id}"
-    for name, schema in tables.items():
-        rows = spark.read.schema(schema).parquet(f"{staged}/{name}")
-        overwrite_partitions(spread(rows, BUCKET), f"{root}/{name}", BUCKET)
-    _mark(spark, f"{staged}/published")
-    for name in tables:
-        target, fs = _hadoop_path(spark, f"{staged}/{name}")
-        fs.delete(target, True)
-
-
-def _mark(spark: SparkSession, path: str) -> None:
-    overwrite(spark.range(1), path)

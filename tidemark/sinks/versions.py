@@ -114,6 +114,11 @@ class VersionedTables:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(*paths)
 
+    def next_load(self, spark: SparkSession, label: str) -> str:
+        """A name for a load on top of the last one published."""
+        numbers = self._numbers(spark)
+        return f"{label}-{(numbers[-1] if numbers else 0) + 1:012d}"
+
     def publish(
         self, spark: SparkSession, load: str, tables: Mapping[str, TableLoad]
     ) -> dict[str, dict[str, int]]:
