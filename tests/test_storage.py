@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.incremental import SUMMARY
 from tidemark.schemas import ORDERS, PRODUCTS
-from tidemark.sinks import tables
+from tidemark.sinks import tables, zorder
 from tidemark.sources import shop
 
 
@@ -85,3 +85,75 @@ def test_expiry_drops_months_and_cuts_one(spark, tmp_path):
     assert str(kept.agg(F.min("d")).first()[0]) == "2024-01-20"
     tables.expire_before(spark, path, "2024-03-01", "d")
     assert not list(Path(path).glob("sale_month=*"))
+
+
+def row_groups(path, keep):
+    """Row groups of all files, and those whose statistics let ``keep`` hold."""
+    every = kept = 0
+    for file in Path(path).glob("**/*.parquet"):
+        part = pq.ParquetFile(file).metadata
+        names = [part.schema.column(i).name for i in range(part.num_columns)]
+        for g in range(part.num_row_groups):
+            group = part.row_group(g)
+            bounds = {n: group.column(i).statistics for i, n in enumerate(names)}
+            every += 1
+            kept += keep(bounds)
+    return every, kept
+
+
+def share_read(path, order, day):
+    groups, by_order = row_groups(path, lambda b: b["order_id"].min <= order <= b["order_id"].max)
+    _, by_day = row_groups(path, lambda b: b["created_at"].min.date() <= day <= b["created_at"].max.date())
+    return groups, by_order / groups, by_day / groups
+
+
+def test_z_order_prunes_by_day_and_by_order(spark, tmp_path):
+    """Against a sort by day and order, which lets readers skip by the day only."""
+    items = shop.order_items(spark, "/root/testdata/sf0.01")
+    order, day = items.where("order_id > '4'").orderBy("order_item_id").select(
+        "order_id", F.to_date("created_at")).first()
+    curve, plain = str(tmp_path / "curve"), str(tmp_path / "plain")
+    zorder.write_z_ordered(items, curve, "created_at", "order_id", 64)
+    items.repartitionByRange(64, "created_at", "order_id").sortWithinPartitions(
+        "created_at", "order_id").write.parquet(plain)
+    groups, by_order, by_day = share_read(curve, order, day)
+    assert groups == 64 and by_order <= 0.25 and by_day <= 0.25
+    groups, by_order, by_day = share_read(plain, order, day)
+    assert groups == 64 and by_order > 0.9 and by_day < 0.05
+    rows = spark.read.parquet(curve)
+    assert rows.count() == items.count() and rows.exceptAll(items).isEmpty()
+
+
+def test_z_order_keeps_rows_without_a_day_or_key(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(None, None), ("1", None), (None, "2024-01-01"), ("é", "2024-01-02"), ("", "1900-01-01")],
+        "order_id string, day string").withColumn("day", F.to_date("day"))
+    for number, some in enumerate((rows, rows.limit(0))):
+        zorder.write_z_ordered(some, str(tmp_path / str(number)), "day", "order_id", 3)
+        back = spark.read.schema(rows.schema).parquet(str(tmp_path / str(number)))
+        assert sorted(map(str, back.collect())) == sorted(map(str, some.collect()))
+
+
+def test_texts_are_numbered_in_their_order(spark):
+    texts = ["", "1", "10", "100", "2", "9", "a", "ab", "b", "é", "字"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    numbers = {r.t: r.n for r in rows.select("t", zorder.text_number("t").alias("n")).collect()}
+    assert sorted(texts, key=numbers.get) == sorted(texts, key=lambda t: t.encode())
+
+
+def test_columns_with_few_values_are_dictionary_coded(spark, sf_dir, tmp_path):
+    """Status and topic, in every file of the stored orders and of a landed feed."""
+    tables.append_sorted(shop.orders(spark, sf_dir), str(tmp_path / "orders"), ORDERS)
+    tables.overwrite(shop.change_feed(spark, sf_dir), str(tmp_path / "feed"))
+    for folder, column in (("orders", "status"), ("feed", "topic")):
+        files = list((tmp_path / folder).glob("**/*.parquet"))
+        assert files
+        for file in files:
+            part = pq.ParquetFile(file).metadata
+            if part.num_rows < 16:  # a dictionary would not pay
+                continue
+            index = [part.schema.column(i).name for i in range(part.num_columns)].index(column)
+            for g in range(part.num_row_groups):
+                chunk = part.row_group(g).column(index)
+                assert chunk.has_dictionary_page
+                assert any(e.endswith("_DICTIONARY") for e in chunk.encodings)

@@ -260,6 +260,25 @@ _NULLS = " UNION ALL ".join(
     for c in "order_id customer_id status total_amount created_at updated_at".split()
 )
 
+_LOAD_CHECKS = """
+SELECT 'orders' AS "table", 'null customer_id' AS "check",
+    COUNT(*) FILTER (WHERE customer_id IS NULL) AS n, false AS published FROM order_log
+UNION ALL
+SELECT 'orders', 'not allowed status', COUNT(*) FILTER (WHERE status IS NULL OR (
+    CAST(order_id AS BIGINT) % 50 = 0)), false FROM order_log
+UNION ALL
+SELECT 'orders', 'repeated order_id', CAST(SUM(n) AS BIGINT), false FROM (
+    SELECT COUNT(*) AS n FROM order_log GROUP BY order_id HAVING COUNT(*) > 1)
+UNION ALL
+SELECT 'items', 'rows', COUNT(*), true FROM shop_items
+UNION ALL
+SELECT 'items', 'null order_id', COUNT(*) FILTER (WHERE order_id IS NULL), true FROM shop_items
+UNION ALL
+SELECT 'items', 'null kafka_ts', COUNT(*) FILTER (WHERE kafka_ts IS NULL), true FROM shop_items
+UNION ALL
+SELECT 'items', 'repeated order_item_id', COUNT(*) - COUNT(DISTINCT order_item_id), true FROM shop_items
+"""
+
 _RECONCILED = ("customer_id", "status", "total_amount", "created_at", "updated_at")
 _RECONCILE = (
     "SELECT * FROM (SELECT coalesce(a.order_id, b.order_id) AS order_id, "
@@ -379,6 +398,12 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_columns(**_ITEM_ROW)}, {_ts('kafka_ts')} AS kafka_ts, "
             f"CAST({month.format('created_at')} AS INTEGER) AS created_month FROM shop_items"
         ),
+        "store_items_by_day_and_order": _sql(
+            f"SELECT {_day('CAST(kafka_ts AS DATE)')} AS day, COUNT(*) AS n_items, "
+            "CAST(SUM(quantity) AS BIGINT) AS quantity, MIN(order_id) AS first_order "
+            "FROM shop_items GROUP BY CAST(kafka_ts AS DATE)"
+        ),
+        "load_checks": _sql(_LOAD_CHECKS),
         "sales_monthly_partitions": _sql(
             f"SELECT *, CAST(replace(sale_date[1:7], '-', '') AS INTEGER) AS sale_month FROM ("
             f"{_daily('shop_items', 'shop_orders')}) WHERE sale_date[1:4] = '1998'"

@@ -18,7 +18,7 @@ from tidemark.operators.changes import current_rows, flatten
 from tidemark.plans import arrival_index, colocated, incremental, ingest, rollups
 from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS, ShopTable
 from tidemark.session import stateful_session, work_dir
-from tidemark.sinks import tables
+from tidemark.sinks import tables, versions, zorder
 from tidemark.sources import extracts, feeds, shop
 from tidemark.streaming import closing, joined, views
 from tidemark.streaming.revising import RevisingSales
@@ -377,6 +377,42 @@ def store_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(*ORDER_ITEMS.columns, "kafka_ts", "created_month")
 
 
+def store_items_by_day_and_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items stored along a curve through days and orders, summed by day as they are read back."""
+    path = work_dir(spark, "curve")
+    zorder.write_z_ordered(
+        shop.order_items(spark, sf_dir), path, "kafka_ts", "order_id", 4 * _buckets(spark))
+    return spark.read.parquet(path).groupBy(F.to_date("kafka_ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum("quantity").alias("quantity"),
+        F.min("order_id").alias("first_order"))
+
+
+def load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What writing the order log counted: it is refused, and the items are not.
+
+    Every 50th status is in capitals, deletes have none, and an order has several versions.
+    """
+    status = F.expr("IF(order_id % 50 = 0, upper(status), status)")
+    wanted = {
+        "orders": (
+            shop.order_changes(spark, sf_dir).withColumn("status", status),
+            versions.Checks(("customer_id",), {"status": settings.ORDER_STATUSES}, ("order_id",))),
+        "items": (
+            shop.order_items(spark, sf_dir),
+            versions.Checks(("order_id", "kafka_ts"), unique=("order_item_id",))),
+    }
+    stored, found = versions.VersionedTables(work_dir(spark, "checked")), []
+    for name, (rows, checked) in wanted.items():
+        load = versions.TableLoad(
+            tables.with_bucket(rows, "order_id", _buckets(spark)), tables.BUCKET, checks=checked)
+        try:
+            report = stored.publish(spark, f"load-{name}", {name: load})
+        except versions.RefusedLoad as refused:
+            report = refused.report
+        found += [(name, check, n, name in stored.pointer(spark)) for check, n in report[name].items()]
+    return spark.createDataFrame(found, "table string, check string, n long, published boolean")
+
+
 def _by_month(spark: SparkSession, rows: DataFrame, day: str, label: str) -> str:
     path = work_dir(spark, label)
     tables.overwrite(
@@ -543,7 +579,8 @@ REGISTERED: dict[str, Query] = {
         csv_products,
         pk_duplicates, output_key_check, not_null_counts, fk_orphans, fk_cascade_delete,
         fk_restrict_violations, status_enum_violations, reconcile, reconcile_digests, store_products,
-        store_orders, store_order_items, sales_monthly_partitions, ttl_retention,
+        store_orders, store_order_items, store_items_by_day_and_order,
+        load_checks, sales_monthly_partitions, ttl_retention,
         stream_sales_daily, stream_sales_ts, stream_sales_append, stream_metrics_days,
         stream_cdc_flatten, stream_cdc_flatten_items, stream_cdc_flatten_products,
         stream_set_aside, stream_closing_days,

@@ -22,6 +22,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     STATE_STORE: ROCKSDB,
+    # The older 96-bit form has no statistics, so readers could not skip by a timestamp.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
 }
 
