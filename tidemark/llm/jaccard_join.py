@@ -22,7 +22,10 @@ than the distance asked for (triangle inequality). No pair is left out: whenever
 are to be compared, only bounds spare the comparison, those above and one more. Parities of
 the shingles in 512 cells are a sketch of a set; two sketches differ in no more bits than the
 sets differ in shingles, so that pairs whose sketches lie too far apart are not within the
-distance.
+distance. Unlike sets differ in about half of the cells, which tells them apart while the distance
+allows fewer shingles than that. Larger sets have a wide sketch too, with two to four cells a
+shingle, which pairs are held against before any text moves; a wider one is folded to a
+narrower one's cells by adding up its halves.
 
 Equal sets never meet in pairs, and links within a component are not all made: the result
 is each document's component.
@@ -53,6 +56,9 @@ FAN_OUT = 500
 #: A set's sketch: so many words of 64 parities.
 SKETCH = 8
 
+#: Sets of more shingles have a wide sketch too.
+WIDE_FROM = 256
+
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -103,6 +109,33 @@ def sketches(found: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
     return np.packbits(cells & 1).view(np.int64).reshape(texts, SKETCH)
 
 
+def wide_sketches(found: np.ndarray, of: np.ndarray, texts: int) -> list[bytes | None]:
+    """Parities of the larger sets' shingles in 2 ** b cells, at least two a shingle.
+
+    The cell is the low bits of a hash, so that a sketch of half the cells is the sum of a
+    sketch's halves.
+    """
+    cuts = np.searchsorted(of, np.arange(texts + 1))
+    cells = mix(found ^ np.uint64(0x632BE59BD9B4E019))
+    out: list[bytes | None] = [None] * texts
+    for i in np.flatnonzero(np.diff(cuts) > WIDE_FROM):
+        own = cells[cuts[i] : cuts[i + 1]]
+        size = 1 << int(2 * len(own) - 1).bit_length()
+        odd = np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+        out[i] = np.packbits(odd.astype(np.uint8)).tobytes()
+    return out
+
+
+def bits_apart(one: bytes, other: bytes) -> int:
+    """In how many cells two wide sketches differ, the wider one folded."""
+    a, b = (np.frombuffer(x, np.uint8) for x in (one, other))
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 class SizeClasses:
     """Ranges of set sizes; linked sets lie in one or in neighbouring ones."""
 
@@ -170,8 +203,9 @@ def class_rows(batches, width):
         yield pa.RecordBatch.from_arrays(
             [batch["k"], batch["th"], pa.array(np.bincount(of, minlength=texts)),
              pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
-             *map(pa.array, sketches(found, of, texts).T)],
-            names=["k", "th", "n", "c1", "c2", *_sketch("s")])
+             *map(pa.array, sketches(found, of, texts).T),
+             pa.array(wide_sketches(found, of, texts), pa.binary())],
+            names=["k", "th", "n", "c1", "c2", *_sketch("s"), "wide"])
 
 
 def region_rows(batches, width, percent):
@@ -245,6 +279,29 @@ def compared_rows(batches, width):
             names=["a", "b", "both", "na", "nb"])
 
 
+def near_rows(batches, percent):
+    """Pairs whose wide sketches, where both have one, do not rule out that they are linked."""
+    for batch in batches:
+        kept = []
+        for n, m, one, other in zip(*(batch[c].to_pylist() for c in ("n", "m", "wide", "wide2")),
+                                    strict=True):
+            kept.append(one is None or other is None or bits_apart(one, other) * (100 + percent)
+                        <= (n + m) * (100 - percent))
+        mask = pa.array(kept, pa.bool_())
+        yield pa.RecordBatch.from_arrays(
+            [batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
+
+
+def not_ruled_out(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) left after their wide sketches have been held against each other."""
+    one = nodes.select(F.col("node").alias("a"), "n", "wide")
+    other = nodes.select(
+        F.col("node").alias("b"), F.col("n").alias("m"), F.col("wide").alias("wide2"))
+    both = pairs.join(one.hint("merge"), "a").join(other.hint("merge"), "b")
+    return mapped(both.select("a", "b", "n", "m", "wide", "wide2"), near_rows, "a long, b long",
+                  percent=percent)
+
+
 def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Pairs (a, b) with the sizes of their sets and of what both have."""
     fans = pairs.groupBy("b").agg(F.ceil(F.count("*") / FAN_OUT).alias("fans"))
@@ -334,10 +391,10 @@ def jaccard_components(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sets = stored(mapped(
         texts, class_rows, "k long, th long, n long, c1 long, c2 long, "
-        + ", ".join(f"{c} long" for c in _sketch("s")), width=width), "sets")
+        + ", ".join(f"{c} long" for c in _sketch("s")) + ", wide binary", width=width), "sets")
     classes = stored(sets.where("n > 0").groupBy("c1", "c2").agg(
         F.min(F.struct("k", "th")).alias("first"), F.first("n").alias("n"),
-        *[F.first(c).alias(c) for c in _sketch("s")])
+        *[F.first(c).alias(c) for c in (*_sketch("s"), "wide")])
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     shared = stored(mapped(
         mapped(texts.select("text"), region_rows, "region long, c1 long, c2 long",
@@ -383,7 +440,7 @@ def jaccard_components(
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
             if last:
                 pairs = _within_windows(pairs, known, percent)
-        pairs = stored(pairs, "candidates")
+        pairs = stored(not_ruled_out(stored(pairs, "candidates"), nodes, percent), "near")
         if not pairs.isEmpty():
             found = compared(pairs, own, width)
             known = found if known is None else known.unionByName(found)
