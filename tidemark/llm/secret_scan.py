@@ -3,11 +3,13 @@ r"""Secret scans: what is hidden under URL, Unicode, base64 and compressed layer
 Each text is the first entry of a worklist. An entry is scanned for secrets, then unwrapped:
 
 - every ``%xx`` run is decoded, which gives one entry for the whole text;
-- every ``\uXXXX``, ``\xXX`` or ``&#N;`` is decoded, likewise;
-- every base64 run gives an entry of its own, and so do runs on successive lines as one, as
+- every ``\uXXXX``, ``\u{X}``, ``\UXXXXXXXX``, ``\xXX`` or ``&#N;`` is decoded, likewise;
+- every base64 run gives an entry for each of the four digits it can be read from, as a payload
+  may stand behind other digits (a path, a name), and so do runs on successive lines as one, as
   encoders break lines;
-- bytes that begin like gzip, zlib, bzip2, xz or zstd data and decompress give an entry, all
-  streams of it and what follows them.
+- bytes that hold gzip, zlib, bzip2, xz or zstd data anywhere, or are raw deflate data, give an
+  entry: what stands before, all streams, and what follows them. One that decompresses to more than
+  ``MOST_BYTES`` is read as a stream and gives an entry for each of its overlapping blocks.
 
 Bytes that are no readable UTF-8 are taken as Latin-1, as all patterns are ASCII. They give no
 entry where nothing in them could be a secret or a layer: most are words that look like base64.
@@ -25,7 +27,6 @@ from __future__ import annotations
 
 import base64
 import bz2
-import gzip
 import hashlib
 import lzma
 import re
@@ -39,13 +40,19 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_set, mapped, parts, table, with_row, words
+from tidemark.llm.common import byte_set, mapped, other_columns, parts, table, with_row, words
 
 KINDS = ("assign", "access", "hex")
 
-#: A layer that decompresses to more than this is left closed, and counted in ``n_closed``.
+#: A layer that decompresses to more than this is scanned in blocks of this size.
 MOST_BYTES = 1 << 26
 
+#: Bytes that successive blocks share.
+OVERLAP = 1 << 16
+
+#: Raw deflate data have no header; they are looked for in so many bytes at least.
+_LEAST_RAW = 16
+
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     re.IGNORECASE | re.ASCII,
@@ -56,7 +63,8 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
-    r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
+    r"\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
+    r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
 )
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _LINES = re.compile(
@@ -69,8 +77,9 @@ _HOLDS = re.compile(
 _BASE64_BYTES = byte_set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 _HEX_BYTES = byte_set(b"0123456789abcdef")
 
-_PACKED = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh",
-           b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
+#: How packed data begin; of two bytes that could be a zlib header, only those whose check holds do.
+_PACKED = re.compile(
+    rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|[\x08\x18\x28\x38\x48\x58\x68\x78](?s:.)")
 
 Span = tuple[int, int, str]
 
@@ -89,9 +98,10 @@ class Layer:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of every character; made once."""
         if self.starts is None or self.ends is None:
-            at = np.arange(len(self.text))
-            return at, at + 1
+            self.starts = np.arange(len(self.text))
+            self.ends = self.starts + 1
         return self.starts, self.ends
 
 
@@ -110,46 +120,105 @@ def scan(text: str) -> Iterator[Span]:
         yield found.start(), found.end(), "hex"
 
 
+_BROKEN = (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, zstandard.ZstdError)
+
+
 class TooLarge(Exception):
-    """A layer that decompresses beyond the limit."""
+    """Packed data that hold more than the limit, from byte ``at`` on."""
 
+    def __init__(self, at: int):
+        super().__init__(at)
+        self.at = at
 
-def _stream(data: bytes, most: int) -> tuple[bytes, bytes]:
-    """What the first stream of compressed bytes holds, up to a limit, and what follows it."""
+
+def _opened(data: bytes, raw: bool = False):
+    """A decompressor for what the bytes begin with: zstd's, or one with a limited output."""
     if data.startswith(b"BZh"):
-        opened = bz2.BZ2Decompressor()
-    elif data.startswith(b"\xfd7zXZ"):
-        opened = lzma.LZMADecompressor()
-    elif data.startswith(b"\x28\xb5\x2f\xfd"):
+        return bz2.BZ2Decompressor()
+    if data.startswith(b"\xfd7zXZ"):
+        return lzma.LZMADecompressor()
+    return zlib.decompressobj(-15 if raw else 47)
+
+
+def _stream(data: bytes, most: int, raw: bool = False) -> tuple[bytes, bytes]:
+    """What the first stream of compressed bytes holds, up to a limit, and what follows it."""
+    if not raw and data.startswith(b"\x28\xb5\x2f\xfd"):
         opened = zstandard.ZstdDecompressor().decompressobj()
         with zstandard.ZstdDecompressor().stream_reader(data) as reader:
             out = reader.read(most + 1)
         if len(out) <= most:
             opened.decompress(data)
         return out, opened.unused_data
-    else:
-        opened = zlib.decompressobj(47)
-    return opened.decompress(data, most + 1), opened.unused_data
+    opened = _opened(data, raw)
+    out = opened.decompress(data, most + 1)
+    if raw and not opened.eof:
+        raise ValueError
+    return out, opened.unused_data
+
+
+def _begins(data: bytes) -> Iterator[int]:
+    """Where packed data could begin."""
+    at = 0
+    while found := _PACKED.search(data, at):
+        start, at = found.start(), found.start() + 1
+        if len(found[0]) > 2 or (data[start] << 8 | data[start + 1]) % 31 == 0:
+            yield start
 
 
 def _unpacked(data: bytes, most: int) -> bytes | None:
-    """The decompressed bytes of all streams, and bytes after them as they are; None where
-    they are none of the known formats."""
-    held, size, rest = [], 0, data
-    while rest.startswith(_PACKED):
+    """The bytes with all packed streams in them opened; None where there are none.
+
+    Something that only begins like one, and yields nothing, stays as it is.
+    """
+    held, size, done = [], 0, 0
+    for start in _begins(data):
+        if start < done:
+            continue
         try:
-            out, rest = _stream(rest, most - size)
-        except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, gzip.BadGzipFile,
-                zstandard.ZstdError):
-            break
-        held.append(out)
+            out, rest = _stream(data[start:], most - size)
+        except _BROKEN:
+            continue
+        if not out:
+            continue
         size += len(out)
         if size > most:
-            raise TooLarge
-        rest = rest.lstrip(b"\0")  # padding
-    if not held:
-        return None
-    return b"".join([*held, rest])
+            raise TooLarge(start)
+        held += [data[done:start].lstrip(b"\0") if held else data[:start], out]
+        done = len(data) - len(rest)
+    if held:
+        return b"".join([*held, data[done:].lstrip(b"\0")])
+    if len(data) >= _LEAST_RAW:
+        try:
+            out, rest = _stream(data, most, raw=True)
+        except _BROKEN:
+            return None
+        if len(out) > most:
+            raise TooLarge(0)
+        if len(out) >= len(data) - len(rest) and not rest:
+            return out
+    return None
+
+
+def _blocks(data: bytes, most: int) -> Iterator[bytes]:
+    """What the first stream of the bytes holds, in blocks that share some bytes."""
+    step, tail = max(most, 2 * OVERLAP), b""
+    if data.startswith(b"\x28\xb5\x2f\xfd"):
+        with zstandard.ZstdDecompressor().stream_reader(data) as reader:
+            while block := reader.read(step):
+                yield tail + block
+                tail = block[-OVERLAP:]
+        return
+    try:
+        opened = _opened(data)
+        block = opened.decompress(data, step)
+    except _BROKEN:
+        opened = _opened(data, raw=True)
+        block = opened.decompress(data, step)
+    while block:
+        yield tail + block
+        tail = block[-OVERLAP:]
+        left = getattr(opened, "unconsumed_tail", b"")
+        block = b"" if opened.eof else opened.decompress(left, step)
 
 
 def _readable(data: bytes) -> str | None:
@@ -173,13 +242,32 @@ def _whole(text: str, start: int, end: int) -> Layer:
     return Layer(text, np.full(len(text), start), np.full(len(text), end))
 
 
-def _of_bytes(data: bytes, starts: np.ndarray, ends: np.ndarray, most: int) -> Iterator[Layer]:
-    """What decoded bytes hold: a text, or a compressed layer with a text in it."""
-    opened, held = _unpacked(data, most), data
-    seen = {hashlib.sha256(data).digest()}
-    while opened is not None and (digest := hashlib.sha256(opened).digest()) not in seen:
-        seen.add(digest)
-        held, opened = opened, _unpacked(opened, most)
+def _of_bytes(data: bytes, starts: np.ndarray, ends: np.ndarray, most: int) -> Iterator[Layer | None]:
+    """What decoded bytes hold: a text, or a compressed layer with a text in it.
+
+    None tells that a layer was too large to be opened at once, and follows its blocks.
+    """
+    held, seen = data, set()
+    try:
+        while (digest := hashlib.sha256(held).digest()) not in seen:
+            seen.add(digest)
+            opened = _unpacked(held, most)
+            if opened is None:
+                break
+            held = opened
+    except TooLarge as large:
+        try:
+            for block in _blocks(held[large.at:], most):
+                text = _readable(block) or (
+                    block.decode("latin-1") if _HOLDS.search(block) else None)
+                if text:
+                    yield _whole(text, int(starts.min()), int(ends.max()))
+        except _BROKEN:
+            pass  # what could be read of it was
+        yield None
+        held = held[: large.at]
+        if not held:
+            return
     text = _readable(held)
     plain = text is None  # a character for each byte
     if plain:
@@ -194,7 +282,7 @@ def _of_bytes(data: bytes, starts: np.ndarray, ends: np.ndarray, most: int) -> I
 
 def _character(escape: str) -> str | None:
     if escape.startswith("\\"):
-        code = int(escape[2:], 16)
+        code = int(escape[2:].strip("{}"), 16)
     elif escape[2] in "xX":
         code = int(escape[3:-1], 16)
     else:
@@ -218,28 +306,27 @@ def _replaced(layer: Layer, stretches: list[tuple[int, int, str]]) -> Layer:
 
 
 def unwrapped(layer: Layer, most: int = MOST_BYTES) -> Iterator[Layer | None]:
-    """The layers right under this one; None for one that is too large to open."""
+    """The layers right under this one; None for each that was too large to open at once."""
     text = layer.text
     if "%" in text:
         stretches = []
+        starts, ends = layer.places()
         for found in _URL.finditer(text):
             data = bytes.fromhex(found[0].replace("%", ""))
             at = np.arange(found.start(), found.end(), 3)
-            starts, ends = layer.places()
             try:
-                opened = list(_of_bytes(data, starts[at], ends[at + 2], most)) \
-                    if _unpacked(data, most) is not None else []
+                packed = _unpacked(data, most) is not None
             except TooLarge:
-                opened = [None]
-            yield from opened
-            if not opened:
-                new = data.decode("utf-8", "replace")
-                if len(new) == len(data):  # one character each: exact places
-                    stretches += [
-                        (a, a + 3, c) for a, c in zip(at.tolist(), new, strict=True)
-                    ]
-                else:
-                    stretches.append((found.start(), found.end(), new))
+                packed = True
+            if packed:
+                yield from _of_bytes(data, starts[at], ends[at + 2], most)
+            new = data.decode("utf-8", "replace")
+            if len(new) == len(data):  # one character each: exact places
+                stretches += [
+                    (a, a + 3, c) for a, c in zip(at.tolist(), new, strict=True)
+                ]
+            else:
+                stretches.append((found.start(), found.end(), new))
         if stretches:
             yield _replaced(layer, stretches)
     if "\\" in text or "&#" in text:
@@ -251,8 +338,13 @@ def unwrapped(layer: Layer, most: int = MOST_BYTES) -> Iterator[Layer | None]:
             yield _replaced(layer, stretches)
     for found in _BASE64.finditer(text):
         run = found[0].rstrip("=")
-        if len(run) % 4 != 1:
-            yield from _of_base64(layer, run, np.arange(found.start(), found.end()), most)
+        for first in range(4):
+            digits = run[first:]
+            if len(digits) % 4 == 1:
+                digits = digits[:-1]
+            if len(digits) >= 12:
+                at = np.arange(found.start() + first, found.end())
+                yield from _of_base64(layer, digits, at, most)
     for found in _LINES.finditer(text):
         lines = [m.span() for m in _RUN.finditer(text, found.start(), found.end())]
         for first, last in _wrapped([stop - start for start, stop in lines]):
@@ -275,22 +367,26 @@ def _wrapped(widths: list[int]) -> Iterator[tuple[int, int]]:
 
 
 def _of_base64(layer: Layer, run: str, at: np.ndarray, most: int) -> Iterator[Layer | None]:
-    """What base64 digits hold that stand at places ``at`` of a layer."""
+    """What base64 digits hold that stand at places ``at`` of a layer.
+
+    Most words that look like base64 are noise when read so, and end here.
+    """
     plain = run.replace("-", "+").replace("_", "/")
     data = base64.b64decode(plain + "=" * (-len(plain) % 4))
-    if not data.startswith(_PACKED) and _readable(data) is None and not _HOLDS.search(data):
-        return
+    if not _HOLDS.search(data) and _readable(data) is None:
+        try:
+            if _unpacked(data, most) is None:
+                return
+        except TooLarge:
+            pass
     byte = np.arange(len(data))
     starts, ends = layer.places()
-    try:
-        yield from _of_bytes(
-            data, starts[at[byte * 8 // 6]], ends[at[(byte * 8 + 7) // 6]], most)
-    except TooLarge:
-        yield None
+    yield from _of_bytes(
+        data, starts[at[byte * 8 // 6]], ends[at[(byte * 8 + 7) // 6]], most)
 
 
 def find_secrets(text: str, most: int = MOST_BYTES) -> tuple[list[Span], list[Span], int, int]:
-    """Spans of the text itself, spans of all its layers, layers opened, layers left closed."""
+    """Spans of the text itself, spans of all its layers, layers opened, layers read in blocks."""
     base = sorted(scan(text), key=_order)
     found, work, seen, closed = set(base), [Layer(text)], set(), 0
     while work:
@@ -358,10 +454,11 @@ def scan_secrets(docs: DataFrame, most: int = MOST_BYTES) -> DataFrame:
     ``base`` has the spans of the text itself, ``spans`` those and all that its layers add,
     each with kind, start and stop in code points of the text, in order. ``n_layers`` counts
     the layers opened and ``n_closed`` those that decompress to more than ``most`` bytes,
-    which are left closed. A null text is empty; repeated rows give repeated rows.
+    which are read in overlapping blocks. A null text is empty; repeated rows give repeated rows;
+    an empty table gives none. A text is scanned whole, however long.
     """
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+        other_columns(docs, "text"),
         F.col("text").cast("string").alias("text"),
     )
     span = "array<struct<kind:string,start:long,stop:long>>"
