@@ -28,7 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Sums, binary, id_key, mapped, mix, parts, stored, table, with_row
+from tidemark.llm.common import (
+    Sums, binary, id_key, mapped, mix, other_columns, parts, stored, table, with_row,
+)
 
 WINDOW = 100
 GRAM = 16
@@ -39,9 +41,6 @@ CROWD = 50_000
 #: Surroundings worked on at once in the last pass.
 AT_ONCE = 4096
 
-#: Where a text's order among those that share its id ends and its bytes begin.
-_PLACE_BITS = 40
-
 #: A stretch to cut is one number: its start (which may lie before the text), then its size.
 _SIZE_BITS = 16
 
@@ -99,24 +98,23 @@ def anchor_rows(batches, window, gram):
         right = np.minimum(offsets[owner + 1] - place, window)
         shape = (left * (window + 1) + right).astype(np.uint64)
         second = mix(sums.of(place - left, place + right) + shape * np.uint64(0x9E3779B97F4A7C15))
-        k = batch["k"].to_numpy()[owner]
-        at = (batch["salt"].to_numpy()[owner] << _PLACE_BITS) + place - offsets[owner]
-        order = np.lexsort((at, k, second, first))
+        k, h = (batch[c].to_numpy()[owner] for c in ("k", "h"))
+        at = place - offsets[owner]
+        order = np.lexsort((at, h, k, second, first))
         rows = np.stack([first[order].view(np.int64), second[order].view(np.int64), k[order],
-                         at[order]])
+                         h[order], at[order]])
         fresh = np.ones(len(first), bool)  # a repeated row of the table is no second anchor
         fresh[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)
-        first, second, k, at = rows[:, fresh]
+        first, second, k, h, at = rows[:, fresh]
         again = np.zeros(len(first), bool)
         again[1:] = (first[1:] == first[:-1]) & (second[1:] == second[:-1])
-        own = mix(k.astype(np.uint64) ^ mix(at.astype(np.uint64))).view(np.int64)
+        own = mix(mix(k.view(np.uint64) ^ mix(at.view(np.uint64))) ^ h.view(np.uint64)).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.where(again, own, first)), pa.array(second),
-             pa.array(k), pa.array(np.where(again, -1 - at, at))],
-            names=["gram", "around", "k", "at"])
+             pa.array(k), pa.array(h), pa.array(np.where(again, -1 - at, at))], names=_NAMES)
 
 
-_NAMES = ("gram", "around", "k", "at")
+_NAMES = ["gram", "around", "k", "h", "at"]
 
 
 def repeat_rows(batches):
@@ -125,9 +123,9 @@ def repeat_rows(batches):
     held, joined, previous = None, False, None
     for batch in batches:
         rows = np.stack([batch[c].to_numpy() for c in _NAMES])
-        certain = rows[3] < 0
+        certain = rows[-1] < 0
         early = rows[:, certain]
-        early[3] = -1 - early[3]
+        early[-1] = -1 - early[-1]
         rows = rows[:, ~certain]
         if previous is not None:
             rows = np.concatenate([previous, rows], axis=1)
@@ -162,8 +160,8 @@ def repeat_rows(batches):
 
 def _marked(rows: np.ndarray, whole: bool):
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.zeros_like(rows[0]) if whole else rows[0]), pa.array(rows[2]),
-         pa.array(rows[3]), pa.array(np.full(rows.shape[1], whole))], names=["gram", "k", "at", "whole"])
+        [pa.array(np.zeros_like(rows[0]) if whole else rows[0]), *map(pa.array, rows[2:]),
+         pa.array(np.full(rows.shape[1], whole))], names=["gram", "k", "h", "at", "whole"])
 
 
 def surrounding_rows(batches, window, gram):
@@ -175,7 +173,7 @@ def surrounding_rows(batches, window, gram):
         flat = marks.flatten()
         owner = np.repeat(np.arange(batch.num_rows), sizes)
         at, digit = flat.field("at").to_numpy(), flat.field("gram")
-        place = offsets[owner] + (at & ((1 << _PLACE_BITS) - 1))
+        place = offsets[owner] + at
         left = np.minimum(place - offsets[owner], before)
         right = np.minimum(offsets[owner + 1] - place, window)
         step = 1 << 14
@@ -184,10 +182,11 @@ def surrounding_rows(batches, window, gram):
             column = place[s, None] + np.arange(-before, window)
             column = np.clip(column, 0, len(data) - 1)
             yield pa.RecordBatch.from_arrays(
-                [digit[i : i + step], batch["k"].take(pa.array(owner[s])), pa.array(at[s]),
+                [digit[i : i + step], batch["k"].take(pa.array(owner[s])),
+                 batch["h"].take(pa.array(owner[s])), pa.array(at[s]),
                  pa.array(left[s].astype(np.int32)), pa.array(right[s].astype(np.int32)),
                  binary(data[column].reshape(-1, width))],
-                names=["gram", "k", "at", "before", "after", "around"])
+                names=["gram", "k", "h", "at", "before", "after", "around"])
 
 
 def _cells(batch: pa.RecordBatch, width: int) -> np.ndarray:
@@ -251,13 +250,12 @@ def _stretches(batch, repeated, window, places) -> pa.RecordBatch:
     turns = np.diff(np.concatenate([edge, repeated.view(np.int8), edge], axis=1), axis=1)
     row, begin = np.nonzero(turns == 1)
     _, end = np.nonzero(turns == -1)
-    at = batch["at"].to_numpy()[row]
-    place = at & ((1 << _PLACE_BITS) - 1)
+    place = batch["at"].to_numpy()[row]
     start = place - (places - 1) + begin
     size = place - places + end + window - start
     return pa.RecordBatch.from_arrays(
-        [batch["k"].take(pa.array(row)), pa.array(at >> _PLACE_BITS),
-         pa.array((start << _SIZE_BITS) + size)], names=["k", "salt", "cut"])
+        [batch["k"].take(pa.array(row)), batch["h"].take(pa.array(row)),
+         pa.array((start << _SIZE_BITS) + size)], names=["k", "h", "cut"])
 
 
 def window_rows(batches, window, gram):
@@ -276,7 +274,8 @@ def window_rows(batches, window, gram):
             at = batch["at"].to_numpy()[row] - shift[column]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(one[good].view(np.int64)), pa.array(two[good].view(np.int64)),
-                 batch["k"].take(pa.array(row)), pa.array(at)], names=["w1", "w2", "k", "at"])
+                 batch["k"].take(pa.array(row)), batch["h"].take(pa.array(row)), pa.array(at)],
+                names=["w1", "w2", "k", "h", "at"])
 
 
 def cut_rows(batches):
@@ -312,57 +311,54 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
 
     A byte goes if a string of ``window`` bytes that covers it also starts earlier: in a
     document with a smaller id, or earlier in its own. Documents that share an id follow by a
-    hash of their texts; repeated rows are one document, and its result is repeated. One
+    64-bit hash of their texts, which also tells them apart; repeated rows are one document, and its result is repeated. One
     without an id comes last. A null text is empty. An empty table gives no rows.
     """
     given = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), id_key().alias("k"),
+        other_columns(docs, "text"), id_key().alias("k"),
         F.col("text").cast("string").alias("text"))
     shared_ids = not given.groupBy("k").count().where("count > 1").isEmpty()
-    salt = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 22) - 1)) \
-        if shared_ids else F.lit(0).cast("long")
-    texts = given.withColumn("salt", salt)
+    # Rows that share an id are told apart by 64 bits of their texts, in a column of their own.
+    h = F.xxhash64(F.coalesce("text", F.lit(""))) if shared_ids else F.lit(0).cast("long")
+    texts, keys = given.withColumn("h", h), ["k", "h"]
     marks = stored(mapped(
-        mapped(texts.select("k", "salt", "text"), anchor_rows,
-               "gram long, around long, k long, at long", window=window, gram=gram)
-        .repartition("gram").sortWithinPartitions("gram", "around", "k", "at"),
-        repeat_rows, "gram long, k long, at long, whole boolean"), "marks")
-    place = F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    salted = F.shiftright("at", _PLACE_BITS).alias("salt")
+        mapped(texts.select("k", "h", "text"), anchor_rows,
+               "gram long, around long, k long, h long, at long", window=window, gram=gram)
+        .repartition("gram").sortWithinPartitions(*_NAMES),
+        repeat_rows, "gram long, k long, h long, at long, whole boolean"), "marks")
     several = marks.where("NOT whole")
     crowded = several.groupBy("gram").count().where(F.col("count") > CROWD).select(
         "gram", F.lit(True).alias("crowded"))
-    keys = ["k", "salt"] if shared_ids else ["k"]
-    wanted = several.select("k", salted, F.struct("gram", "at").alias("mark")).groupBy(*keys).agg(
+    wanted = several.select("k", "h", F.struct("gram", "at").alias("mark")).groupBy(*keys).agg(
         F.collect_list("mark").alias("marks"))
-    met = texts.select(*keys, "text").join(wanted, keys)
+    met = texts.select("k", "h", "text").join(wanted, keys)
     if shared_ids:
         met = met.dropDuplicates(keys)
     around = stored(mapped(
-        met.select("k", "text", "marks"), surrounding_rows,
-        "gram long, k long, at long, before int, after int, around binary",
+        met.select("k", "h", "text", "marks"), surrounding_rows,
+        "gram long, k long, h long, at long, before int, after int, around binary",
         window=window, gram=gram), "around")
     sized = around.join(crowded, "gram", "left")
     few = mapped(
         sized.where("crowded IS NULL").drop("crowded").repartition("gram")
-        .sortWithinPartitions("gram", "k", "at"), covered_rows,
-        "k long, salt long, cut long", window=window, gram=gram)
+        .sortWithinPartitions("gram", "k", "h", "at"), covered_rows,
+        "k long, h long, cut long", window=window, gram=gram)
     windows = mapped(
         sized.where("crowded").drop("crowded"), window_rows,
-        "w1 long, w2 long, k long, at long", window=window, gram=gram)
+        "w1 long, w2 long, k long, h long, at long", window=window, gram=gram)
     # Stored, so that the join can split a window that very many anchors share.
     firsts = stored(windows.groupBy("w1", "w2").agg(
-        F.min(F.struct("k", "at")).alias("first"), F.count("*").alias("n"))
+        F.min(F.struct("k", "h", "at")).alias("first"), F.count("*").alias("n"))
         .where("n > 1").drop("n"), "firsts")
     many = windows.join(firsts, ["w1", "w2"]).where(
-        F.struct("k", "at") > F.col("first")).select(
-        "k", salted, (F.shiftleft(place, _SIZE_BITS) + window).alias("cut")).distinct()
+        F.struct("k", "h", "at") > F.col("first")).select(
+        "k", "h", (F.shiftleft("at", _SIZE_BITS) + window).alias("cut")).distinct()
     before = window - gram
-    whole = marks.where("whole").select("k", salted, (
-        F.shiftleft(place - before, _SIZE_BITS) + before + window).alias("cut"))
+    whole = marks.where("whole").select("k", "h", (
+        F.shiftleft(F.col("at") - before, _SIZE_BITS) + before + window).alias("cut"))
     cuts = whole.unionByName(few).unionByName(many).groupBy(*keys).agg(
         F.collect_list("cut").alias("cuts"))
-    rows = (texts if shared_ids else texts.drop("salt")).join(cuts, keys, "left")
+    rows = texts.join(cuts, keys, "left")
     return mapped(rows.select("row", "text", "cuts"), cut_rows, with_row(
         rows, "kept binary, n_bytes long, n_removed long, n_spans long"))
 
