@@ -1,9 +1,12 @@
 """LM scoring: masked pseudo-likelihood of a bidirectional window network.
 
-1. The words of all documents are counted. The ``VOCABULARY`` most frequent ones fall into
-   classes of about equal mass, in order of frequency; all others fall into ``OPEN`` classes by
-   hash. P(word | class) is the word's share of its class, or one of the class's words for an
-   open class, whose distinct words are counted too.
+1. The words of all documents are counted. For the ``VOCABULARY`` most frequent ones the words
+   around them are added up, each as a random vector of signs; k-means on these sums parts the
+   vocabulary into ``CLUSTERS`` of words that stand in like company (such as those of a language),
+   and each cluster into ``BANDS`` of about equal mass by frequency: the closed classes. All other
+   words fall into open classes, by the cluster that the vocabulary's words with their last
+   letters mostly have. P(word | class) is the word's share of its class, or one of the class's
+   words for an open class, whose distinct words are counted too.
 2. A network predicts the class of every word from the classes of the two words on either
    side: a vector for each class and side, summed, tanh, and a softmax over the classes. It is
    trained in numpy on all documents, in ``ROUNDS`` shares of them: in a round every task
@@ -24,14 +27,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    LOWER, id_key, mapped, parts, stored, table, with_row, word_hashes, words,
+    LOWER, id_key, mapped, mix, other_columns, parts, stored, table, with_row, word_hashes, words,
 )
 
 VOCABULARY = 1 << 16
 
 #: Rarer words are never in the vocabulary, so that words not seen at all have their like.
 LEAST_COUNT = 3
-CLOSED, OPEN = 48, 16
+CLUSTERS, BANDS = 12, 4
+CLOSED = CLUSTERS * BANDS
+#: One open class for each cluster, and some for words whose last letters are new.
+OPEN = CLUSTERS + 4
 CLASSES = CLOSED + OPEN
 HIDDEN = 16
 SIDE = 2
@@ -39,28 +45,40 @@ ROUNDS = 3
 RATES = (1.0, 0.5, 0.2)
 BATCH = 2048
 
+#: Signs that stand for a word among another's neighbours.
+SIGNS = 32
+
+#: Endings of words are told apart by so many values.
+TAILS = 1 << 16
+
 #: Words counted at once in a task.
 _COUNTED = 1 << 21
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, ending and text of every word."""
     low = LOWER[data]
     starts, ends, owner = words(low, offsets)
-    return word_hashes(low, starts, ends), owner
+    tails = np.zeros(len(starts), np.uint64)
+    for back in (1, 2, 3):
+        tails = tails * np.uint64(256) + low[np.maximum(ends - back, starts)]
+    tails = (mix(tails) & np.uint64(TAILS - 1)).astype(np.int64)
+    return word_hashes(low, starts, ends), tails, owner
 
 
 def count_rows(batches):
     held, size = [], 0
 
     def counted():
-        found, many = np.unique(np.concatenate(held), return_counts=True)
+        hashes, tails = (np.concatenate(x) for x in zip(*held, strict=True))
+        found, first, many = np.unique(hashes, return_index=True, return_counts=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.array(many.astype(np.int64))],
-            names=["word", "n"])
+            [pa.array(found.view(np.int64)), pa.array(tails[first].astype(np.int32)),
+             pa.array(many.astype(np.int64))], names=["word", "tail", "n"])
 
     for _, data, offsets in parts(batches):
-        hashes, _ = _words(data, offsets)
-        held.append(hashes)
+        hashes, tails, _ = _words(data, offsets)
+        held.append((hashes, tails))
         size += len(hashes)
         if size >= _COUNTED:
             yield counted()
@@ -69,28 +87,102 @@ def count_rows(batches):
         yield counted()
 
 
+def _places(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where the words are in a sorted vocabulary; -1 for those that are not."""
+    if not len(vocabulary):
+        return np.full(len(hashes), -1)
+    at = np.searchsorted(vocabulary, hashes)
+    at[at == len(vocabulary)] = 0
+    return np.where(vocabulary[at] == hashes, at, -1)
+
+
+_SIGN_NAMES = [f"s{i}" for i in range(SIGNS)]
+
+
+def company_rows(batches, vocabulary):
+    """For each word of the vocabulary the sum of its neighbours' signs, over the task's texts."""
+    total = np.zeros((len(vocabulary), SIGNS), np.int64)
+    for _, data, offsets in parts(batches):
+        hashes, _, owner = _words(data, offsets)
+        bits = mix(hashes ^ np.uint64(0x94D049BB133111EB)).view(np.uint8).reshape(-1, 8)
+        signs = np.unpackbits(bits[:, : SIGNS // 8], axis=1).astype(np.int16) * 2 - 1
+        near = np.zeros((len(hashes), SIGNS), np.int16)
+        for step in range(1, SIDE + 1):
+            same = (owner[:-step] == owner[step:])[:, None]
+            near[:-step] += np.where(same, signs[step:], 0)
+            near[step:] += np.where(same, signs[:-step], 0)
+        places = _places(vocabulary, hashes)
+        order = np.argsort(places, kind="stable")[int((places < 0).sum()) :]
+        if len(order):
+            places = places[order]
+            first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
+            total[places[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
+    seen = np.flatnonzero(total.any(axis=1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(seen.astype(np.int32)), *(pa.array(c) for c in total[seen].T)],
+        names=["at", *_SIGN_NAMES])
+
+
+def clusters_of(company: np.ndarray, counts: np.ndarray, clusters: int = CLUSTERS) -> np.ndarray:
+    """k-means on the directions of the words' company, seen from that of all words."""
+    if not len(company):
+        return np.zeros(0, np.int64)
+    mean = company.sum(axis=0) / max(counts.sum(), 1)
+    points = company / np.maximum(counts, 1)[:, None] - mean
+    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
+    # Frequent words, of which most is known, give the first centres: each far from the others.
+    best = points[np.argsort(-counts, kind="stable")[:1024]]
+    centres = [best[0]]
+    while len(centres) < clusters:
+        near = np.max(best @ np.array(centres).T, axis=1)
+        centres.append(best[np.argmin(near)])
+    centres = np.array(centres)
+    weight = np.sqrt(counts)[:, None]
+    for _ in range(25):
+        own = np.argmax(points @ centres.T, axis=1)
+        for c in range(clusters):
+            total = (points * weight)[own == c].sum(axis=0)
+            if (own == c).any():
+                centres[c] = total / max(np.linalg.norm(total), 1e-9)
+    return np.argmax(points @ centres.T, axis=1)
+
+
 class Lexicon:
     """Classes of words, and the logarithm of a word's share of its class."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, types: np.ndarray):
-        """The vocabulary by falling count; how many other words each open class has."""
-        mass = np.cumsum(counts) - counts / 2
-        classes = (mass * CLOSED // max(counts.sum(), 1)).astype(np.int64)
+    def __init__(
+        self, hashes: np.ndarray, counts: np.ndarray, tails: np.ndarray, company: np.ndarray,
+        other_tails: np.ndarray,
+    ):
+        """The vocabulary, sorted by hash; how many other words each ending has."""
+        self.hashes = hashes
+        own = clusters_of(company, counts)
+        order = np.lexsort((hashes, -counts, own))
+        mass = np.cumsum(counts[order]) - counts[order] / 2
+        size = np.bincount(own, counts, CLUSTERS)
+        began = (np.cumsum(size) - size)[own[order]]
+        band = (mass - began) * BANDS // np.maximum(size[own[order]], 1)
+        classes = np.zeros(len(hashes), np.int64)
+        classes[order] = own[order] * BANDS + np.clip(band, 0, BANDS - 1).astype(np.int64)
         total = np.bincount(classes, counts, CLOSED)
-        order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.classes = classes[order].astype(np.uint8)
-        self.share = np.log(counts / np.maximum(total[classes], 1)).astype(np.float32)[order]
+        self.classes = classes.astype(np.uint8)
+        self.share = np.log(counts / np.maximum(total[classes], 1)).astype(np.float32)
+        # Of each ending the cluster that most of its words have.
+        votes = np.bincount(tails * CLUSTERS + own, minlength=TAILS * CLUSTERS).reshape(TAILS, -1)
+        self.by_tail = np.where(votes.any(axis=1), votes.argmax(axis=1), CLUSTERS).astype(np.uint8)
+        types = np.zeros(OPEN)
+        np.add.at(types, self.by_tail, other_tails)
+        types[CLUSTERS:] = types[CLUSTERS] / (OPEN - CLUSTERS)
         self.open_share = -np.log(np.maximum(types, 1)).astype(np.float32)
 
-    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = (hashes & np.uint64(OPEN - 1)).astype(np.int64)
+    def of(self, hashes: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bucket = self.by_tail[tails].astype(np.int64)
+        new = bucket == CLUSTERS
+        bucket[new] += (hashes[new] % np.uint64(OPEN - CLUSTERS)).astype(np.int64)
         classes, share = (CLOSED + bucket).astype(np.uint8), self.open_share[bucket]
-        if len(self.hashes):
-            at = np.searchsorted(self.hashes, hashes)
-            at[at == len(self.hashes)] = 0
-            known = self.hashes[at] == hashes
-            classes[known], share[known] = self.classes[at[known]], self.share[at[known]]
+        at = _places(self.hashes, hashes)
+        known = at >= 0
+        classes[known], share[known] = self.classes[at[known]], self.share[at[known]]
         return classes, share
 
 
@@ -158,8 +250,8 @@ def learned_rows(batches, lexicon, weights, rate):
     """The weights after learning all batches of the task, times the words learned."""
     network, learned = Network(weights.copy()), 0
     for _, data, offsets in parts(batches):
-        hashes, owner = _words(data, offsets)
-        classes, _ = lexicon.of(hashes)
+        hashes, tails, owner = _words(data, offsets)
+        classes, _ = lexicon.of(hashes, tails)
         near = sides(classes, owner)
         order = np.random.default_rng(len(hashes)).permutation(len(hashes))
         for at in range(0, len(order), BATCH):
@@ -177,30 +269,38 @@ def learned_rows(batches, lexicon, weights, rate):
 def score_rows(batches, lexicon, weights):
     network = Network(weights)
     for batch, data, offsets in parts(batches):
-        hashes, owner = _words(data, offsets)
-        classes, share = lexicon.of(hashes)
+        hashes, tails, owner = _words(data, offsets)
+        classes, share = lexicon.of(hashes, tails)
         score = network.log_chances(sides(classes, owner), classes).astype(np.float64) + share
         count = np.bincount(owner, minlength=batch.num_rows)
         yield pa.RecordBatch.from_arrays(
             [batch["row"], pa.array(count.astype(np.int64)),
-             pa.array(np.bincount(owner, score, batch.num_rows))],
+             # Sums over no words at all would be whole numbers.
+             pa.array(np.bincount(owner, score, batch.num_rows).astype(np.float64))],
             names=["row", "n_words", "log_likelihood"])
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Lexicon, np.ndarray]:
     """The lexicon and the trained weights."""
     texts = docs.select(id_key().alias("k"), F.col("text").cast("string").alias("text"))
-    counts = stored(mapped(texts.select("text"), count_rows, "word long, n long")
-                    .groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    counts = stored(mapped(texts.select("text"), count_rows, "word long, tail int, n long")
+                    .groupBy("word").agg(F.sum("n").alias("n"), F.min("tail").alias("tail")), "counts")
     best = counts.where(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "word").limit(VOCABULARY)
-    top, known = best.toArrow(), best.select("word")
-    other = counts.join(known, "word", "left_anti").groupBy(
-        F.col("word").bitwiseAND(F.lit(OPEN - 1)).alias("bucket")).count().collect()
-    types = np.zeros(OPEN)
-    for row in other:
-        types[row["bucket"]] = row["count"]
+    best = stored(best, "vocabulary")
+    top = best.toArrow()
+    order = np.argsort(top["word"].to_numpy().view(np.uint64))
+    hashes = top["word"].to_numpy().view(np.uint64)[order]
+    others = np.zeros(TAILS)
+    for row in counts.join(best.select("word"), "word", "left_anti").groupBy("tail").count().collect():
+        others[row["tail"]] = row["count"]
+    sums = mapped(
+        texts.select("text"), company_rows, ", ".join(["at int", *(f"{c} long" for c in _SIGN_NAMES)]),
+        vocabulary=hashes).groupBy("at").agg(*(F.sum(c).alias(c) for c in _SIGN_NAMES)).toArrow()
+    company = np.zeros((len(hashes), SIGNS))
+    company[sums["at"].to_numpy()] = np.stack([sums[c].to_numpy() for c in _SIGN_NAMES], axis=1)
     lexicon = Lexicon(
-        top["word"].to_numpy().view(np.uint64), top["n"].to_numpy().astype(np.float64), types)
+        hashes, top["n"].to_numpy().astype(np.float64)[order],
+        top["tail"].to_numpy().astype(np.int64)[order], company, others)
     weights = Network().weights
     share = F.pmod(F.xxhash64("k"), F.lit(rounds))
     for turn in range(rounds):
@@ -222,7 +322,7 @@ def log_likelihoods(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray) -> D
     empty table gives no rows, and the model fitted on it gives every class one chance.
     """
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+        other_columns(docs, "text"),
         F.col("text").cast("string").alias("text"))
     return mapped(rows, score_rows, with_row(rows, "n_words long, log_likelihood double"),
                   lexicon=lexicon, weights=weights)
