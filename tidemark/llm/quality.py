@@ -8,13 +8,16 @@
    shrunk toward the rate of all documents, a path's toward its host's; how far is told by
    the spread of the rates themselves (empirical Bayes, method of moments). Sparse sites
    hence keep the prior.
-4. A document's odds are its own, times how its path's odds differ from those of all.
+4. A document's odds are its own, times how the odds of its path's other documents differ from
+   those of all.
 
 A document is rejected where either posterior reaches one half.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import (
-    LOWER, mapped, parts, stored, table, with_row, word_hashes, words,
+    LOWER, mapped, other_columns, parts, stored, table, with_row, word_hashes, words,
 )
 
 #: Labelled rows the models are fitted on, at most; those with the lowest hashes of their id.
@@ -224,7 +227,7 @@ def score_rows(batches, model):
 def scored(docs: DataFrame, model: dict[str, np.ndarray], keep_text: bool) -> DataFrame:
     """``row`` (the document's columns), host, path, and both scores of the models."""
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+        other_columns(docs, "text"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("path"),
         F.col("text").cast("string").alias("text"))
@@ -245,8 +248,30 @@ def _strength(rates: DataFrame, mean: float) -> float:
     return float(min(max(noise / spread - 1, 1.0), 1e6))
 
 
-def site_rates(scores: DataFrame) -> tuple[DataFrame, dict[str, float]]:
-    """Per host and path: the shrunk rate of each target; and the rates of all documents."""
+@dataclass(frozen=True)
+class Sites:
+    """Sums per host and path, and what their rates are shrunk toward and how much."""
+
+    sums: DataFrame
+    means: dict[str, float]
+    strength: dict[tuple[str, str], float]
+
+    def rate(self, level: str, target: str, own: Column | None = None) -> Column:
+        """A site's rate of a target, shrunk toward the rate one level up.
+
+        With ``own``, a document's score, without that document's part, so that its evidence
+        does not count twice.
+        """
+        prior = F.lit(self.means[target]) if level == "host" else self.rate("host", target, own)
+        hits, n = F.col(f"{level}_{target}"), F.col(f"{level}_n")
+        if own is not None:
+            hits, n = F.greatest(hits - own, F.lit(0.0)), n - 1
+        weight = F.lit(self.strength[level, target])
+        return (hits + prior * weight) / (n + weight)
+
+
+def site_rates(scores: DataFrame) -> Sites:
+    """What the scores of all documents tell of their hosts and paths."""
     paths = stored(scores.groupBy("host", "path").agg(
         F.count("*").alias("n"), *[F.sum(f"p_{t}").alias(t) for t in TARGETS]), "paths")
     hosts = paths.groupBy("host").agg(
@@ -258,35 +283,29 @@ def site_rates(scores: DataFrame) -> tuple[DataFrame, dict[str, float]]:
         for level, rows in (("host", hosts), ("path", paths)):
             strength[level, t] = _strength(
                 rows.select((F.col(t) / F.col("n")).alias("rate"), "n"), means[t])
-
-    def shrunk(hits: Column, n: Column, prior: Column, weight: float) -> Column:
-        return (hits + prior * weight) / (n + F.lit(weight))
-
-    hosts = hosts.select("host", *[
-        shrunk(F.col(t), F.col("n"), F.lit(means[t]), strength["host", t]).alias(f"host_{t}")
-        for t in TARGETS])
-    return stored(paths.join(hosts, "host").select("host", "path", *[
-        F.col(f"host_{t}") for t in TARGETS], *[
-        shrunk(F.col(t), F.col("n"), F.col(f"host_{t}"), strength["path", t]).alias(f"path_{t}")
-        for t in TARGETS]), "rates"), means
+    sums = paths.select("host", "path", *(F.col(c).alias(f"path_{c}") for c in ("n", *TARGETS))).join(
+        hosts.select("host", *(F.col(c).alias(f"host_{c}") for c in ("n", *TARGETS))), "host")
+    return Sites(stored(sums, "rates"), means, strength)
 
 
 def judged(docs: DataFrame, labels: DataFrame, keep_text: bool = False) -> DataFrame:
     """One row per document: ``row``, the text if asked for, rates, posteriors and ``keep``.
 
-    Null texts are empty, and a null source or lang is a site of its own. Without labels of
-    both kinds nothing is rejected for that target. Repeated rows are judged alike. An empty
-    table gives no rows.
+    Rates are those of a document's site without the document itself. Null texts are empty, and
+    a null source or lang is a site of its own. Without labels of both kinds nothing is rejected
+    for that target. Repeated rows are judged alike. An empty table gives no rows.
     """
-    model = fit(docs, labels)
-    scores = stored(scored(docs, model, False), "scores")
-    rates, means = site_rates(scores)
-    rows = scored(docs, model, True) if keep_text else scores
-    out = rows.join(rates, ["host", "path"])
+    scores = stored(scored(docs, fit(docs, labels), keep_text), "scores")
+    sites = site_rates(scores)
+    out = scores.join(sites.sums, ["host", "path"])
+    rates = {f"{level}_{t}": sites.rate(level, t, F.col(f"p_{t}"))
+             for t in TARGETS for level in ("host", "path")}
+    out = out.select(*scores.columns, *(r.alias(c) for c, r in rates.items()))
     for t in TARGETS:
         odds = F.lit(1.0)
         for rate, over in ((F.col(f"p_{t}"), False), (F.col(f"path_{t}"), False),
-                           (F.lit(means[t]), True)):
+                           (F.lit(sites.means[t]), True)):
+            rate = F.least(F.greatest(rate, F.lit(1e-9)), F.lit(1 - 1e-9))
             part = rate / (1 - rate)
             odds = odds / part if over else odds * part
         out = out.withColumn(t, odds / (1 + odds))
