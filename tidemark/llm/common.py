@@ -6,6 +6,7 @@ megabytes, so that a task's memory follows its largest document and not its inpu
 
 from __future__ import annotations
 
+import ctypes
 import importlib
 import os
 from collections.abc import Iterable, Iterator
@@ -58,9 +59,17 @@ def with_row(rows: DataFrame, more: str) -> T.StructType:
     return T.StructType([rows.schema["row"], *T.StructType.fromDDL(more).fields])
 
 
+def give_back() -> None:
+    """Return to the system what a task's arrays took: its worker waits for others' tasks with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def mapped(rows: DataFrame, work, schema: str | T.StructType, **given) -> DataFrame:
     """``work(batches, **given)`` over the Arrow batches of each partition."""
-    root, module, name = ROOT, work.__module__, work.__name__
+    root, here, module, name = ROOT, __name__, work.__module__, work.__name__
 
     def run(batches):
         import sys
@@ -68,6 +77,7 @@ def mapped(rows: DataFrame, work, schema: str | T.StructType, **given) -> DataFr
         if root not in sys.path:
             sys.path.insert(0, root)
         yield from getattr(importlib.import_module(module), name)(batches, **given)
+        importlib.import_module(here).give_back()
 
     return rows.mapInArrow(run, schema)
 
