@@ -10,10 +10,12 @@ import itertools
 import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from tidemark.llm import (
     chat_format, decontamination, fingerprints, jaccard_join, language_model, line_dedup, packing,
     quality, secret_scan, suffix_dedup,
 )
+from tidemark.llm.common import utf8
 
 ODD = "doc_id long, text string, lang string, source string, n_chars long, k string, row int"
 
@@ -108,6 +111,50 @@ def test_layers_that_are_no_clean_text_are_scanned():
         assert all(9 <= s[0] < s[1] <= 9 + len(hidden) for s in spans)
 
 
+def test_payloads_behind_other_characters_and_bytes_are_found():
+    secret = b'password="hunter2hunter2"'
+    coded = base64.b64encode(secret).decode()
+    squeezed = zlib.compressobj(9, zlib.DEFLATED, 9)
+    small_window = squeezed.compress(secret * 3) + squeezed.flush()
+    raw = zlib.compressobj(9, zlib.DEFLATED, -15)
+    raw_data = raw.compress(secret * 3) + raw.flush()
+    escaped = "".join(f"\\u{{{c:x}}}" for c in secret)
+    for hidden in (
+        f"https://h.com/dl/{coded}", f"a/{coded}", f"id_{coded}", f"Basic{coded}", f"ab{coded}",
+        f"x-{coded}", base64.b64encode(b"HEAD" + gzip.compress(secret)).decode(),
+        base64.b64encode(b"HEAD" + gzip.compress(secret) + b"TAIL").decode(),
+        base64.b64encode(small_window).decode(), base64.b64encode(raw_data).decode(),
+        base64.b64encode(b"v1 " + lzma.compress(secret)).decode(),
+        base64.b64encode(b"v1 " + bz2.compress(secret)).decode(),
+        base64.b64encode(b"v1 " + zstandard.compress(secret)).decode(),
+        escaped, "".join(f"\\U{c:08x}" for c in secret),
+    ):
+        base, spans, _, _ = secret_scan.find_secrets(f"é before {hidden} after")
+        assert not base and "assign" in [s[2] for s in spans], hidden
+        assert all(9 <= s[0] < s[1] <= 9 + len(hidden) for s in spans)
+
+
+@pytest.mark.parametrize("pack", [
+    gzip.compress, bz2.compress, lzma.compress, zstandard.compress, zlib.compress])
+def test_layers_too_large_to_open_at_once_are_read_in_blocks(pack, monkeypatch):
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1 << 10)
+    draw = random.Random(2)
+    filler = "".join(draw.choice("abcdefgh ") for _ in range(50_000))
+    # One secret lies across the border of two blocks.
+    text = filler[:8180] + ' password="hunter2hunter2" ' + filler + " AKIA" + "B" * 16 + " " + filler[:100]
+    hidden = base64.b64encode(b"v1" + pack(text.encode())).decode()
+    _, spans, _, closed = secret_scan.find_secrets(f"before {hidden} after", 1 << 13)
+    assert {"assign", "access"} <= {s[2] for s in spans} and closed
+    assert all(7 <= s[0] < s[1] <= 7 + len(hidden) for s in spans)
+
+
+def test_long_texts_of_escapes_and_of_words_take_linear_time():
+    for piece in ("%41 ", "\\x41 ", "abcdefghijklmnopqrst "):
+        start = time.perf_counter()
+        secret_scan.find_secrets(piece * (1_000_000 // len(piece)))
+        assert time.perf_counter() - start < 20
+
+
 def test_secret_rows(spark, texts):
     given = [*texts, "AKIA" + "B" * 16, "AKIA" + "B" * 15, "f" * 24, "f" * 23,
              "secret: 'abcdef' token=abc", "x API_KEY = \"a.b/c+d=\""]
@@ -206,6 +253,32 @@ def test_repeated_rows_of_one_part_are_one_document(spark):
         (1, 0), (1, 0), (2, len(lines[0])), (99, 0), (99, 0)]
 
 
+def test_rows_that_share_an_id_keep_their_own_text(spark):
+    """Thousands without an id, so that short hashes of their texts would agree."""
+    draw = random.Random(13)
+    line = " ".join(f"q{i}" for i in range(40))
+    rows = []
+    for i in range(4000):
+        own = f"unique text number {i} " + "".join(draw.choice("abcdefgh") for _ in range(90))
+        rows.append((draw.choice([None, None, 7, 8]), own + (line + str(i) if i % 500 == 3 else "")))
+    rows += rows[:20]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    hashes = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    distinct = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, hashes[r[1]]))
+    seen, want = False, {}
+    for row in distinct:
+        want[row] = len(line) if line in row[1] and seen else 0
+        seen = seen or line in row[1]
+    found = suffix_dedup.drop_repeats(docs).select(
+        "row.doc_id", "n_bytes", "n_removed", F.col("kept").cast("string").alias("kept")).collect()
+    got = sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"], r["kept"]) for r in found)
+    cut = [(i, t, want[i, t]) for i, t in rows]
+    # The line may take along the equal bytes beside it: the digits that follow agree in part.
+    assert len(got) == len(cut) and sum(r[2] > 0 for r in got) == sum(n > 0 for *_, n in cut) >= 7
+    whole = sorted((i or 0, t) for i, t, n in cut if not n)
+    assert sorted((i, k) for i, _, n, k in got if not n) == whole
+
+
 # 4 ---------------------------------------------------------------------------------
 
 
@@ -390,27 +463,82 @@ def test_alignment_points():
 # 6 ---------------------------------------------------------------------------------
 
 
-def test_the_model_beats_one_without_training_on_held_out_text(spark):
+def test_the_model_beats_word_counts_on_held_out_text(spark):
+    """Against a unigram model of the same classes and shares, by nats a word."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lexicon, weights = language_model.fit(docs.where("doc_id % 5 <> 0"))
 
-    def mean(w):
-        return language_model.log_likelihoods(
-            docs.where("doc_id % 5 = 0"), lexicon, w).agg(
-            F.sum("log_likelihood") / F.sum("n_words")).first()[0]
-
-    assert mean(weights) > mean(language_model.Network().weights) + 0.02
+    def classes(rows):
+        data, offsets = utf8(rows.select("text").toArrow()["text"])
+        hashes, tails, _ = language_model._words(data, offsets)
+        return lexicon.of(hashes, tails)
+
+    found, _ = classes(docs.where("doc_id % 5 <> 0"))
+    mass = np.log((np.bincount(found, minlength=language_model.CLASSES) + 0.5) / len(found))
+    held, share = classes(docs.where("doc_id % 5 = 0"))
+    counted = float((mass[held] + share).mean())
+    network = language_model.log_likelihoods(docs.where("doc_id % 5 = 0"), lexicon, weights).agg(
+        F.sum("log_likelihood") / F.sum("n_words")).first()[0]
+    assert network > counted + 0.3
+
+
+def test_words_of_like_company_share_a_cluster():
+    draw = np.random.default_rng(3)
+    texts = []
+    for _ in range(400):
+        letter = "ab"[draw.integers(2)]
+        texts.append(" ".join(f"{letter}{draw.integers(40)}" for _ in range(30)).encode())
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+    offsets[-1] -= 1
+    hashes, _, _ = language_model._words(data, offsets)
+    vocabulary, counts = np.unique(hashes, return_counts=True)
+    batch = pa.RecordBatch.from_arrays([pa.array([t.decode() for t in texts])], names=["text"])
+    (rows,) = language_model.company_rows([batch], vocabulary)
+    company = np.zeros((len(vocabulary), language_model.SIGNS))
+    company[rows["at"].to_numpy()] = np.stack([rows[f"s{i}"].to_numpy() for i in range(language_model.SIGNS)], 1)
+    own = language_model.clusters_of(company, counts.astype(float), 2)
+    names = {}
+    for word in {w for t in texts for w in t.split()}:
+        h = language_model._words(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[0][0]
+        names.setdefault(word[:1], set()).add(int(own[np.searchsorted(vocabulary, h)]))
+    assert sorted(map(len, names.values())) == [1, 1] and names[b"a"] != names[b"b"]
+
+
+def test_texts_without_words_score_nothing(spark):
+    docs = documents(spark, [None, "", " \n", "a b c a b", "a b c a b"]).repartition(5, "doc_id")
+    model = language_model.fit(docs)
+    rows = language_model.log_likelihoods(docs, *model).select("row.doc_id", "n_words", "log_likelihood")
+    found = {r["doc_id"]: tuple(r)[1:] for r in rows.collect()}
+    assert [found[i] for i in range(3)] == [(0, 0.0)] * 3
+    assert found[3] == found[4] and found[3][0] == 5 and found[3][1] < 0
+    empty = docs.where("doc_id < 3")
+    assert {tuple(r)[1:] for r in language_model.log_likelihoods(empty, *model).select(
+        "row.doc_id", "n_words", "log_likelihood").collect()} == {(0, 0.0)}
 
 
 def test_chances_of_a_word_sum_to_one():
-    counts = np.array([50.0, 30, 20, 5, 5])
-    lexicon = language_model.Lexicon(np.arange(16, 21, dtype=np.uint64), counts, np.full(16, 3))
-    classes, share = lexicon.of(np.arange(16, 21, dtype=np.uint64))
-    totals = {}
-    for c, s in zip(classes.tolist(), np.exp(share), strict=True):
-        totals[c] = totals.get(c, 0) + s
-    assert all(abs(t - 1) < 1e-5 for t in totals.values())
-    assert abs(3 * np.exp(lexicon.of(np.array([2**40], np.uint64))[1][0]) - 1) < 1e-6
+    draw = np.random.default_rng(6)
+    count = 300
+    hashes = np.sort(draw.integers(0, 2**63, count, dtype=np.uint64))
+    counts = np.sort(draw.integers(3, 1000, count))[::-1].astype(float)
+    tails = draw.integers(0, 50, count)
+    others = np.zeros(language_model.TAILS)
+    others[[int(tails[0]), 60_000]] = 3, 8
+    lexicon = language_model.Lexicon(
+        hashes, counts, tails, draw.normal(0, 50, (count, language_model.SIGNS)), others)
+    classes, share = lexicon.of(hashes, tails)
+    assert classes.max() < language_model.CLOSED
+    totals = np.bincount(classes, np.exp(share))
+    assert np.allclose(totals[totals > 0], 1, atol=1e-4)
+    # Unseen words: three have an ending of the vocabulary's, eight a new one, in four classes.
+    new = np.array([2**63 + 5], np.uint64)
+    like, known_share = lexicon.of(new, tails[:1])
+    assert like[0] == language_model.CLOSED + lexicon.by_tail[tails[0]]
+    assert abs(3 * np.exp(known_share[0]) - 1) < 1e-6
+    other, new_share = lexicon.of(new, np.array([60_000]))
+    assert other[0] >= language_model.CLOSED + language_model.CLUSTERS
+    assert abs(2 * np.exp(new_share[0]) - 1) < 1e-6
 
 
 # 7 ---------------------------------------------------------------------------------
@@ -514,11 +642,40 @@ def test_words_are_picked_at_every_label_share(spark):
 def test_sparse_sites_keep_the_prior(spark):
     rows = [("big", "a", 0.9, 0.1)] * 300 + [("small", "a", 0.9, 0.1)] + [
         (f"h{i}", "a", 0.1, 0.1) for i in range(50) for _ in range(20)]
-    rates, means = quality.site_rates(spark.createDataFrame(
+    sites = quality.site_rates(spark.createDataFrame(
         rows, "host string, path string, p_low double, p_toxic double"))
-    found = {r["host"]: r["path_low"] for r in rates.collect()}
+    means = sites.means
+    found = {r["host"]: r["rate"] for r in sites.sums.select(
+        "host", sites.rate("path", "low").alias("rate")).collect()}
     assert found["big"] > found["small"] > means["low"] - 0.01
     assert abs(found["small"] - means["low"]) < abs(found["big"] - means["low"])
+    # Without its only document a site has nothing but the prior.
+    alone = sites.sums.where("host = 'small'").select(
+        sites.rate("path", "low", F.lit(0.9)).alias("rate")).first()["rate"]
+    assert abs(alone - means["low"]) < 1e-6
+
+
+def test_own_evidence_counts_once(spark):
+    """A document alone at its site has its own odds and no others."""
+    docs = documents(spark, [f"{'vile' if i % 5 == 0 else 'kind'} plain words {i}" for i in range(200)])
+    docs = docs.withColumn("source", F.expr("IF(doc_id < 3, concat('s', doc_id), 'many')"))
+    labels = docs.where("doc_id > 2").selectExpr(
+        "doc_id", "1 AS quality", "int(doc_id % 5 = 0) AS toxic")
+    for row in quality.judged(docs, labels).where("row.doc_id < 3").collect():
+        assert abs(row["toxic"] - row["p_toxic"]) < 1e-6
+
+
+def test_odd_rows_are_judged(spark):
+    docs = documents(spark, [None, "", "kind words", "kind words", "vile words"] * 8, [
+        None if i % 9 == 0 else i // 2 for i in range(40)]).withColumn(
+        "source", F.expr("IF(doc_id % 3 = 0, NULL, source)"))
+    labels = spark.createDataFrame(
+        [(i, i % 2, int(i % 3 == 0)) for i in range(60)] + [(None, 1, 1), (3, None, 0)],
+        "doc_id long, quality int, toxic int")
+    found = quality.judged(docs, labels)
+    assert found.count() == 40 and found.where(
+        "low IS NULL OR toxic IS NULL OR low <= 0 OR low >= 1 OR keep IS NULL").isEmpty()
+    assert quality.judged(docs, labels.limit(0)).where("NOT keep").isEmpty()
 
 
 # 10 --------------------------------------------------------------------------------
@@ -560,6 +717,21 @@ def test_empty_tables(spark):
         assert rows.isEmpty()
 
 
+def test_columns_with_dots_in_their_names(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20).selectExpr(
+        "*", "1 AS `a.b`", "'x' AS `c``d`")
+    rows = [
+        secret_scan.scan_secrets(docs), packing.packed_documents(docs), suffix_dedup.drop_repeats(docs),
+        line_dedup.drop_repeated_lines(docs), fingerprints.fingerprint(docs),
+    ]
+    for found in rows:
+        assert found.count() >= 20
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, sf_dir)
+        assert found.columns == docs.columns, name
+        assert {r["a.b"] for r in found.collect()} == {1}, name
+
+
 def test_pipeline_takes_each_stage_into_account(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")

@@ -25,7 +25,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, parts, shingles, table, utf8, with_row, word_hashes, words
+from tidemark.llm.common import (
+    mapped, other_columns, parts, shingles, table, utf8, with_row, word_hashes, words,
+)
 
 SEED = 3
 
@@ -206,7 +208,7 @@ def clean_rows(batches, items, least):
 
 def _as_rows(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+        other_columns(docs, "text"),
         F.col("text").cast("string").alias("text"))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Sums, id_key, mapped, mix, table, utf8, with_row
+from tidemark.llm.common import Sums, id_key, mapped, mix, other_columns, table, utf8, with_row
 
 MEAN_BYTES = 16
 
@@ -231,7 +231,7 @@ def with_following(docs: DataFrame, buckets: int) -> DataFrame:
     head's id all are copied, and the first counts. Texts are shuffled once.
     """
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), id_key().alias("k"),
+        other_columns(docs, "text"), id_key().alias("k"),
         F.col("text").cast("string").alias("text"))
     cuts = rows.select(F.percentile_approx(
         "k", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]) if buckets > 1

@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    LAST_ID, LOWER, id_key, mapped, mix, parts, shingles, stored, table, word_hashes, words,
+    LAST_ID, LOWER, id_key, mapped, mix, other_columns, parts, shingles, stored, table,
+    word_hashes, words,
 )
 
 WIDTH = 3
@@ -484,7 +485,7 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
         F.first("first").alias("first"), F.first("n_shingles").alias("n"))
     kept = found.where("n = 0 OR (first.k = k AND first.th = th)").select("k", "th", "n")
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), id_key().alias("k"),
+        other_columns(docs), id_key().alias("k"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     again = Window.partitionBy("k", "th").orderBy(F.lit(1))
     return rows.join(kept.hint("merge"), ["k", "th"]).withColumn("again", F.row_number().over(again)).where(

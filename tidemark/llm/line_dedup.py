@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_key, mapped, stored, table, with_row
+from tidemark.llm.common import id_key, mapped, other_columns, stored, table, with_row
 
 #: Shorter keys (in code points) are never dropped.
 LEAST_LENGTH = 10
@@ -92,7 +92,7 @@ def drop_repeated_lines(
     document may end up with an empty text. An empty table gives an empty result.
     """
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+        other_columns(docs, "text"),
         id_key().alias("k"), F.col("text").cast("string").alias("text"),
     )
     lines = stored(

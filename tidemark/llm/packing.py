@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import mapped, parts, stored, table, with_row
+from tidemark.llm.common import mapped, other_columns, parts, stored, table, with_row
 
 CAPACITY = 4096
 
@@ -286,7 +286,7 @@ def pack(
     pieces.
     """
     rows = docs.select(
-        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
+        other_columns(docs, "text"),
         F.col("text").cast("string").alias("text"),
     )
     found = stored(mapped(rows, piece_rows, with_row(
