@@ -32,6 +32,41 @@ def test_registry_header(spark):
     assert (bytes(row.body), row.id) == (b"payload", 258)
 
 
+def framed(number, payload):
+    return None if payload is None else b"\x00" + number.to_bytes(4, "big") + payload.encode()
+
+
+def test_records_are_read_by_the_schema_they_were_written_with(spark):
+    """Another decoder stands in for the Avro module; an older schema lacks a column."""
+    old = "op string, after struct<order_id: string, status: string>"
+    new = "op string, after struct<order_id: string, customer_id: string, status: string>"
+    key = '{"order_id": "%s"}'
+    rows = [
+        (1, framed(7, key % "A"), framed(3, '{"op": "c", "after": {"order_id": "A", "status": "Pending"}}')),
+        (2, framed(7, key % "A"), framed(
+            4, '{"op": "u", "after": {"order_id": "A", "customer_id": "C", "status": "Completed"}}')),
+        (3, framed(7, key % "B"), None),
+        (4, framed(7, key % "Z"), framed(9, '{"op": "c"}')),
+    ]
+    records = spark.createDataFrame(rows, "offset long, key binary, value binary").selectExpr(
+        f"'{feeds.topic_of('orders')}' AS topic", "0 AS partition", "offset",
+        "TIMESTAMP '2024-01-01' AS timestamp", "key", "value")
+    found = feeds.decode_avro(
+        records, ORDERS, {3: old, 4: new}, {7: "order_id string"},
+        lambda column, schema: F.from_json(column.cast("string"), schema))
+    assert found.schema["after"].dataType == ORDERS.wire_schema
+    got = {r["offset"]: (r["op"], r["row_key"], r["after"] and (
+        r["after"]["customer_id"], r["after"]["status"], r["after"]["total_amount"]))
+        for r in found.collect()}
+    assert got == {1: ("c", "A", (None, "Pending", None)), 2: ("u", "A", ("C", "Completed", None)),
+                   3: ("d", "B", None)}
+    assert [r["offset"] for r in feeds.unknown_schemas(records, ORDERS, (3, 4)).collect()] == [4]
+    alone = feeds.decode_avro(
+        records.where("offset = 2"), ORDERS, new, "order_id string",
+        lambda column, schema: F.from_json(column.cast("string"), schema))
+    assert alone.first()["after"]["customer_id"] == "C"
+
+
 def test_missing_connectors_are_reported(spark):
     with pytest.raises(AnalysisException):
         feeds.broker_feed(spark, "host:1")

@@ -13,7 +13,8 @@ after the read is shared. ``decode_*`` turns records into change rows:
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,20 +142,58 @@ def decode_json(feed: DataFrame, table: ShopTable) -> DataFrame:
 
 
 def decode_avro(
-    feed: DataFrame, table: ShopTable, value_schema: str, key_schema: str
+    feed: DataFrame, table: ShopTable, value_schemas: str | Mapping[int, str],
+    key_schemas: str | Mapping[int, str], decode: Callable[[Column, str], Column] | None = None,
 ) -> DataFrame:
     """Change rows of ``table`` from registry-framed Avro (needs the Avro module).
 
-    The writer schemas are passed in as text: a job reads them from the registry
-    once, not per record.
+    The writer schemas are passed in as text, by their id in the registry: a job reads them from
+    there once, not per record. One text alone stands for all ids. Each record is read by the
+    schema it was written with, so that a table's older and newer records can lie in one feed;
+    columns that a schema lacks are NULL. Records of an id that is not listed are left to
+    ``unknown_schemas``.
     """
-    from pyspark.sql.avro.functions import from_avro
+    if decode is None:
+        from pyspark.sql.avro.functions import from_avro as decode
 
-    return _change_rows(
-        feed, table,
-        from_avro(strip_header(F.col("value")), value_schema),
-        from_avro(strip_header(F.col("key")), key_schema),
-    )
+    def read(part: DataFrame, value_schema: str, key_schema: str) -> DataFrame:
+        rows = _change_rows(
+            part, table, decode(strip_header(F.col("value")), value_schema),
+            decode(strip_header(F.col("key")), key_schema))
+        return _conformed(rows, table)
+
+    found = []
+    for key_id, key_schema in _by_id(key_schemas):
+        keyed = feed.where(_written_with("key", key_id))
+        for value_id, value_schema in _by_id(value_schemas):
+            found.append(read(keyed.where(_written_with("value", value_id)), value_schema, key_schema))
+        if not isinstance(value_schemas, str):
+            # Deletions have no value, and no schema but that of their key.
+            found.append(read(keyed.where("value IS NULL"), value_schema, key_schema))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _by_id(schemas: str | Mapping[int, str]) -> Iterable[tuple[int | None, str]]:
+    return [(None, schemas)] if isinstance(schemas, str) else list(schemas.items())
+
+
+def _written_with(column: str, number: int | None) -> Column:
+    return F.lit(True) if number is None else schema_id(F.col(column)) == number
+
+
+def _conformed(rows: DataFrame, table: ShopTable) -> DataFrame:
+    """The rows with an image of all columns of the table, in its types on the wire."""
+    held = rows.schema["after"].dataType.fieldNames()
+    image = F.struct(*(
+        (F.col(f"after.{f.name}") if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in table.wire_schema))
+    return rows.withColumn("after", F.when(F.col("after").isNotNull(), image))
+
+
+def unknown_schemas(feed: DataFrame, table: ShopTable, known: Iterable[int]) -> DataFrame:
+    """The table's records written with a value schema that is not listed, to be set aside."""
+    return feed.where(F.col("topic") == topic_of(table.name)).where(
+        ~schema_id(F.col("value")).isin(list(known)))
 
 
 def decode_metrics(feed: DataFrame) -> DataFrame:
