@@ -119,6 +119,18 @@ def test_batch_that_failed_midway_can_run_again(spark, job, monkeypatch, broken_
     assert run(spark, job, again, first=1) == batch_result(spark, [A2, B1, I1, I2, *again])
 
 
+def test_items_without_a_quantity_add_nothing(spark, job, tmp_path):
+    bare = item_record(90, "2024-01-01 06:00:00", "c", "N1", "B", None)
+    want = {"2024-01-01": (1, 2)}
+
+    def counted(found):
+        return {d: m[:2] for d, m in found.items()}
+
+    assert counted(run(spark, job, [B1, bare], [I2])) == want
+    assert counted(run(spark, job, [item_record(91, "2024-01-01 07:00:00", "u", "N1", "B", 5)], first=2)) == {
+        "2024-01-01": (1, 7)}
+
+
 def test_a_total_takes_a_delta_once(spark, job, monkeypatch):
     """A batch that added its deltas but did not get to say so is run again."""
     records = [A2, B1, I1, I2], [A3, I1_MOVED, LATE]

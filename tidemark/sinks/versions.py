@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.sinks.tables import _hadoop_path, overwrite, spread, values_of
+from tidemark.sinks.tables import _hadoop_path, overwrite, spread
 
 PART = "part"
 _COPIES = "_copies"
