@@ -10,6 +10,7 @@ import ctypes
 import importlib
 import os
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables written by the stage at work, where somebody asked for them.
+_written: list[str] | None = None
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows as a written table in the shared folder, so that lost executors lose nothing."""
-    path = work_dir(rows.sparkSession, label)
+    spark, path = rows.sparkSession, work_dir(rows.sparkSession, label)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    if _written is not None:
+        _written.append(path)
+    # What was shuffled for it goes from the executors' disks once the driver has let go of it.
+    spark._jvm.java.lang.System.gc()
+    found = spark.read.schema(rows.schema).parquet(path)
+    found.stored_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for rows in tables:
+        _delete(rows.sparkSession, rows.stored_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def tables_of_stage(docs: DataFrame, left: list[str]) -> Iterator[None]:
+    """Keeps in ``left`` the tables that a stage writes on its way.
+
+    Those of the stage before, which are in it at first, are deleted, but for what ``docs``
+    itself still reads: a caller may pass on a result that was not written yet.
+    """
+    global _written
+    read = docs.inputFiles() if left else []
+    for path in left:
+        if not any(path.rpartition("/")[2] in file for file in read):
+            _delete(docs.sparkSession, path)
+    left[:] = [p for p in left if any(p.rpartition("/")[2] in file for file in read)]
+    outer, _written = _written, left
+    try:
+        yield
+    finally:
+        _written = outer
 
 
 def id_key(column: str = "doc_id") -> Column:

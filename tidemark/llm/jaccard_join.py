@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    LAST_ID, LOWER, id_key, mapped, mix, other_columns, parts, shingles, stored, table,
+    LAST_ID, LOWER, discard, id_key, mapped, mix, other_columns, parts, shingles, stored, table,
     word_hashes, words,
 )
 
@@ -316,9 +316,11 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
         "pivot", "salt", F.lit(0).alias("kind"), F.col("pivot").alias("node"), "text")
     rows = members.unionByName(pivots).repartition("pivot", "salt").sortWithinPartitions(
         "pivot", "salt", "kind")
-    return stored(mapped(
+    found = stored(mapped(
         rows, compared_rows, "a long, b long, both long, na long, nb long", width=width),
         "compared")
+    discard(salted)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -340,12 +342,13 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.join(least, "u").where("v > u").select(
             F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        large = stored(large, "ties")
+        large, before = stored(large, "ties"), tied
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v"))
         tied = stored(small.distinct(), "ties")
+        discard(before, large)
 
 
 def _linked(found: DataFrame, percent: int) -> DataFrame:
@@ -441,7 +444,9 @@ def jaccard_components(
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
             if last:
                 pairs = _within_windows(pairs, known, percent)
-        pairs = stored(not_ruled_out(stored(pairs, "candidates"), nodes, percent), "near")
+        candidates = stored(pairs, "candidates")
+        pairs = stored(not_ruled_out(candidates, nodes, percent), "near")
+        discard(candidates)
         if not pairs.isEmpty():
             found = compared(pairs, own, width)
             known = found if known is None else known.unionByName(found)
