@@ -517,6 +517,17 @@ def test_texts_without_words_score_nothing(spark):
         "row.doc_id", "n_words", "log_likelihood").collect()} == {(0, 0.0)}
 
 
+def test_words_are_found_in_a_sorted_vocabulary():
+    draw = np.random.default_rng(2)
+    for size in (0, 1, 2, 50, 5000):
+        words = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+        words[: size // 3] = words[: size // 3] >> np.uint64(40)  # many with equal first bits
+        words = np.unique(words)
+        asked = np.concatenate([words, words + np.uint64(1), draw.integers(0, 2**64, 99, dtype=np.uint64)])
+        places = {int(w): i for i, w in enumerate(words)}
+        assert language_model.Places(words).of(asked).tolist() == [places.get(int(w), -1) for w in asked]
+
+
 def test_chances_of_a_word_sum_to_one():
     draw = np.random.default_rng(6)
     count = 300

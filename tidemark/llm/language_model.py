@@ -87,13 +87,36 @@ def count_rows(batches):
         yield counted()
 
 
-def _places(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Where the words are in a sorted vocabulary; -1 for those that are not."""
-    if not len(vocabulary):
-        return np.full(len(hashes), -1)
-    at = np.searchsorted(vocabulary, hashes)
-    at[at == len(vocabulary)] = 0
-    return np.where(vocabulary[at] == hashes, at, -1)
+class Places:
+    """Where words are in a sorted vocabulary; -1 for those that are not.
+
+    Hashes are even, so their first bits lead to one or two candidates.
+    """
+
+    def __init__(self, vocabulary: np.ndarray):
+        self.vocabulary = vocabulary
+        bits = max(int(4 * len(vocabulary)).bit_length(), 1)
+        self.shift = np.uint64(64 - bits)
+        held = np.bincount((vocabulary >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.most = int(held.max(initial=0))
+        self.first = (np.cumsum(held) - held).astype(np.int32)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), -1, np.int64)
+        if not len(self.vocabulary):
+            return out
+        at = self.first[(hashes >> self.shift).astype(np.int64)].astype(np.int64)
+        left = np.arange(len(hashes))
+        for _ in range(self.most):
+            here = at[left]
+            inside = here < len(self.vocabulary)
+            left, here = left[inside], here[inside]
+            word = self.vocabulary[here]
+            equal = word == hashes[left]
+            out[left[equal]] = here[equal]
+            left = left[word < hashes[left]]
+            at[left] += 1
+        return out
 
 
 _SIGN_NAMES = [f"s{i}" for i in range(SIGNS)]
@@ -101,22 +124,22 @@ _SIGN_NAMES = [f"s{i}" for i in range(SIGNS)]
 
 def company_rows(batches, vocabulary):
     """For each word of the vocabulary the sum of its neighbours' signs, over the task's texts."""
-    total = np.zeros((len(vocabulary), SIGNS), np.int64)
+    total, find = np.zeros((len(vocabulary), SIGNS), np.int64), Places(vocabulary)
     for _, data, offsets in parts(batches):
         hashes, _, owner = _words(data, offsets)
         bits = mix(hashes ^ np.uint64(0x94D049BB133111EB)).view(np.uint8).reshape(-1, 8)
-        signs = np.unpackbits(bits[:, : SIGNS // 8], axis=1).astype(np.int16) * 2 - 1
-        near = np.zeros((len(hashes), SIGNS), np.int16)
+        signs = np.unpackbits(np.ascontiguousarray(bits[:, : SIGNS // 8]), axis=1).view(np.int8) * 2 - 1
+        near = np.zeros((len(hashes), SIGNS), np.int8)
         for step in range(1, SIDE + 1):
-            same = (owner[:-step] == owner[step:])[:, None]
-            near[:-step] += np.where(same, signs[step:], 0)
-            near[step:] += np.where(same, signs[:-step], 0)
-        places = _places(vocabulary, hashes)
+            same = (owner[:-step] == owner[step:]).view(np.int8)[:, None]
+            near[:-step] += signs[step:] * same
+            near[step:] += signs[:-step] * same
+        places = find.of(hashes)
         order = np.argsort(places, kind="stable")[int((places < 0).sum()) :]
         if len(order):
             places = places[order]
             first = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
-            total[places[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
+            total[places[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int32)
     seen = np.flatnonzero(total.any(axis=1))
     yield pa.RecordBatch.from_arrays(
         [pa.array(seen.astype(np.int32)), *(pa.array(c) for c in total[seen].T)],
@@ -155,7 +178,7 @@ class Lexicon:
         other_tails: np.ndarray,
     ):
         """The vocabulary, sorted by hash; how many other words each ending has."""
-        self.hashes = hashes
+        self.hashes, self.places = hashes, None
         own = clusters_of(company, counts)
         order = np.lexsort((hashes, -counts, own))
         mass = np.cumsum(counts[order]) - counts[order] / 2
@@ -180,7 +203,9 @@ class Lexicon:
         new = bucket == CLUSTERS
         bucket[new] += (hashes[new] % np.uint64(OPEN - CLUSTERS)).astype(np.int64)
         classes, share = (CLOSED + bucket).astype(np.uint8), self.open_share[bucket]
-        at = _places(self.hashes, hashes)
+        if self.places is None:  # made where it is used
+            self.places = Places(self.hashes)
+        at = self.places.of(hashes)
         known = at >= 0
         classes[known], share[known] = self.classes[at[known]], self.share[at[known]]
         return classes, share
