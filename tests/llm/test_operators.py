@@ -350,6 +350,43 @@ def first_of_five_word_component(given):
     return first
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_region_that_neither_spares(percent):
+    """Over many sets that share hot passages, whose regions are crowded."""
+    draw = np.random.default_rng(percent)
+    classes = jaccard_join.SizeClasses(percent)
+    hot = [draw.integers(0, 2**63, 60, dtype=np.uint64) for _ in range(3)]
+    sets = []
+    for _ in range(120):
+        n = int(draw.choice([6, 20, 60, 200, 700]))
+        base = np.concatenate([draw.integers(0, 2**63, n, dtype=np.uint64), *hot[: draw.integers(4)]])
+        sets.append(np.unique(base))
+        for share in draw.uniform(0, (100 - percent) / 100, 2):
+            copy = base.copy()
+            gone = draw.choice(len(base), int(len(base) * share / 2) + 1, replace=False)
+            copy[gone] = draw.integers(0, 2**63, len(gone), dtype=np.uint64)
+            sets.append(np.unique(copy[int(draw.integers(0, 3)) :]))
+    found, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    key, owner, spare = jaccard_join.regions(found, of, len(sets), classes)
+    crowd = {}
+    for k, o in set(zip(key.tolist(), owner.tolist())):
+        crowd[k] = crowd.get(k, 0) + 1
+    own = {}
+    for k, o, s in set(zip(key.tolist(), owner.tolist(), spare.tolist())):
+        own.setdefault((o, s >> 8, s & 255), []).append((crowd[k], k))
+    kept = [set() for _ in sets]
+    for (o, _, n), regions in own.items():
+        kept[o] |= {k for _, k in sorted(regions, reverse=True)[n:]}
+    linked = 0
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both) and not np.array_equal(
+                sets[i], sets[j]):
+            linked += 1
+            assert kept[i] & kept[j], (len(sets[i]), len(sets[j]), both)
+    assert linked > 60
+
+
 def test_wide_sketches_never_rule_out_a_link(spark):
     draw = np.random.default_rng(4)
     ruled_out = 0

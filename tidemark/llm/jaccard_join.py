@@ -10,7 +10,9 @@ slices by hash; restricted to a slice the distance is still a metric, and by the
 principle the two sets lie at distance zero in one slice at least. A region is all sets with
 one pattern in one slice; the windows that the triangle inequality asks for are the D + 1
 slices, for the set's own size class and for the next smaller one. Sets that nearly agree
-hence share a region, and unlike sets almost never do.
+hence share a region, and unlike sets almost never do. There are some slices more than D + 1,
+so that linked sets agree in several, and every set leaves out as many of its most crowded regions
+as it can spare: what sets that only share a well-known passage would meet in.
 
 **Within a region** classes are joined recursively and exactly. The class that shares most
 regions is the pivot; the distance of every other class to it is computed from the texts.
@@ -60,6 +62,9 @@ SKETCH = 8
 #: Sets of more shingles have a wide sketch too.
 WIDE_FROM = 256
 
+#: Slices beyond those that the distance asks for, at most.
+MOST_SPARE = 12
+
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -149,7 +154,8 @@ class SizeClasses:
         last = self.first[1:] - 1
         # 100 * both >= percent * union bounds the difference of the sets.
         self.differ = (last + last * 100 // percent) * (100 - percent) // (100 + percent)
-        spare = np.where(self.differ < 4, 0, np.where(self.differ < 16, 1, 2))
+        # Linked sets agree in one slice more than are spare.
+        spare = np.where(self.differ < 4, 0, np.clip(self.differ // 8, 1, MOST_SPARE))
         self.slices = self.differ + 1 + spare
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
@@ -158,12 +164,17 @@ class SizeClasses:
 
 def regions(
     found: np.ndarray, of: np.ndarray, texts: int, classes: SizeClasses
-) -> tuple[np.ndarray, np.ndarray]:
-    """Every region of every text, with the text. Texts that only equal sets could be linked
-    with have none."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every region of every text, with the text, its size class and what it can spare.
+
+    Texts that only equal sets could be linked with have none. Linked sets agree in ``certain``
+    slices at least, of which those can be empty that are so in both. A set with fewer empty
+    ones has no regions for these; of its others it can spare so many that one they agree in
+    is left, whichever are taken (the last number's low byte, the class above it).
+    """
     size = np.bincount(of, minlength=texts)
     own = classes.of(size)
-    keys, owners = [], []
+    keys, owners, spares = [], [], []
     spread = mix(found ^ np.uint64(0xA5A5A5A5))
     marks = mix(found ^ np.uint64(0x5BD1E995))
     for step in (0, 1):
@@ -189,7 +200,9 @@ def regions(
         place = (family[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)
         keys.append(mix(pattern + mix(place))[kept])
         owners.append(owner[kept])
-    return np.concatenate(keys), np.concatenate(owners)
+        spare = np.maximum(certain - empty.astype(np.int64) - 1, 0)
+        spares.append(((family << 8) + spare)[owner[kept]])
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(spares)
 
 
 def _sketch(letter: str) -> list[str]:
@@ -223,10 +236,13 @@ def region_rows(batches, width, percent):
                 met.add(key)
                 new[i] = True
         inside = new[of]
-        key, owner = regions(found[inside], of[inside], batch.num_rows, classes)
+        key, owner, spare = regions(found[inside], of[inside], batch.num_rows, classes)
         yield pa.RecordBatch.from_arrays(
             [pa.array(key.view(np.int64)), pa.array(first.view(np.int64)[owner]),
-             pa.array(second.view(np.int64)[owner])], names=["region", "c1", "c2"])
+             pa.array(second.view(np.int64)[owner]), pa.array(spare.astype(np.int64))], names=_REGION)
+
+
+_REGION = ["region", "c1", "c2", "spare"]
 
 
 def shared_rows(batches):
@@ -235,7 +251,7 @@ def shared_rows(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([batch[c].to_numpy() for c in ("region", "c1", "c2")])
+        rows = np.stack([batch[c].to_numpy() for c in _REGION])
         if held is not None:
             rows = np.concatenate([held, rows], axis=1)
         fresh = np.ones(rows.shape[1], bool)
@@ -248,10 +264,26 @@ def shared_rows(batches):
         joined, held = bool(kept[-1]), rows[:, -1:]
         kept[-1] = False
         yield pa.RecordBatch.from_arrays(
-            [pa.array(r[kept]) for r in rows], names=["region", "c1", "c2"])
+            [pa.array(r[kept]) for r in rows], names=_REGION)
     if joined:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(r) for r in held], names=["region", "c1", "c2"])
+        yield pa.RecordBatch.from_arrays([pa.array(r) for r in held], names=_REGION)
+
+
+def without_spare(shared: DataFrame) -> DataFrame:
+    """Regions and sets, without the most crowded regions that each set can spare.
+
+    All sets put regions in one order, by how many sets they hold. Of the regions that two
+    linked sets agree in, the least crowded has at least as many above it as are certain but for
+    one, and so neither set spares it. A passage that many documents share crowds few of a
+    document's regions, and these go.
+    """
+    crowds = shared.groupBy("region").agg(F.count("*").alias("crowd"))
+    order = Window.partitionBy("c1", "c2", F.shiftright("spare", 8)).orderBy(
+        F.desc("crowd"), F.desc("region"))
+    ranked = shared.join(crowds.hint("merge"), "region").withColumn("at", F.row_number().over(order))
+    kept = ranked.where(F.col("at") > F.col("spare").bitwiseAND(255)).select("region", "c1", "c2")
+    several = kept.groupBy("region").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    return kept.join(several.select("region").hint("merge"), "region", "left_semi")
 
 
 def compared_rows(batches, width):
@@ -401,10 +433,12 @@ def jaccard_components(
         *[F.first(c).alias(c) for c in (*_sketch("s"), "wide")])
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     shared = stored(mapped(
-        mapped(texts.select("text"), region_rows, "region long, c1 long, c2 long",
+        mapped(texts.select("text"), region_rows, "region long, c1 long, c2 long, spare long",
                width=width, percent=percent)
         .repartition("region").sortWithinPartitions("region", "c1", "c2"),
-        shared_rows, "region long, c1 long, c2 long"), "regions")
+        shared_rows, "region long, c1 long, c2 long, spare long"), "shared")
+    shared, every = stored(without_spare(shared).distinct(), "regions"), shared
+    discard(every)
     ways = shared.groupBy("c1", "c2").agg(F.count("*").alias("ways"))
     nodes = stored(classes.join(ways, ["c1", "c2"]), "nodes")
     order = Window.partitionBy("region").orderBy(F.desc("ways"), "node")
