@@ -4,6 +4,7 @@ import datetime
 import pathlib
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tidemark.session import stateful_session
 from tidemark.settings import WATERMARK_DELAY
 from tidemark.sources.feeds import decode_json, encode_metrics, file_feed
 from tidemark.streaming import closing
+from tidemark.streaming import joined as joined_module
 from tidemark.streaming.joined import joined_sales, start_joined_sales
 from tidemark.streaming.revising import RevisingSales
 from tidemark.streaming.views import (
@@ -341,6 +343,47 @@ def test_parallelism_of_a_stream_is_its_number_of_state_partitions(spark, joined
         assert sorted(p.name for p in operator.iterdir() if p.name.isdigit()) == ["0", "1", "2"]
 
 
+def test_a_cell_of_state_is_read_and_written_once_a_batch():
+    class Held:
+        value, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls, self.value = self.calls + 1, value
+
+        def getValueState(self, name, schema):
+            return self
+
+    def rows(number, pieces, at_us):
+        return iter([pd.DataFrame([
+            (f"I{i}", at_us, i, True, f"O{i % 7}", 19_000, 1, pieces, 10, 5) for i in range(number)
+        ], columns=joined_module._ITEM_ROWS.names)])
+
+    versions, held = joined_module.ItemVersions(), Held()
+    versions.init(held)
+    for number, pieces, at_us, added in ((200, 1, 5, 200), (50, 3, 6, 100), (200, 9, 4, 0)):
+        before = held.calls
+        found = list(versions.handleInputRows((0,), rows(number, pieces, at_us), None))
+        assert sum(f["pieces"].sum() for f in found) == added
+        assert held.calls - before <= 2
+
+
+def test_any_number_of_cells_gives_the_same_and_another_one_is_refused(spark, tmp_path):
+    landing, root = str(tmp_path / "feed"), str(tmp_path / "joined")
+    seen = []
+    for part in ([A1, I1, B1, I2, LATE], [A2, I1_MORE], [A3], [I1_MOVED, I2_GONE, B2]):
+        seen += part
+        feed(spark, part).write.mode("append").parquet(landing)
+        stream = file_feed(stateful_session(spark, 2), landing)
+        start_joined_sales(spark, stream, root, run_once=True, cells=1).awaitTermination()
+        assert metrics(joined_sales(spark, root)) == batch_result(spark, seen)
+    with pytest.raises(ValueError, match="1 buckets"):
+        start_joined_sales(spark, stream, root, run_once=True, cells=5)
+
+
 def test_triggers():
     assert trigger_options(False) == {"processingTime": "60 seconds"}
     assert trigger_options(True) == {"availableNow": True}
