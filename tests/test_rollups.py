@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import items, metrics
-from tidemark.operators import checks
+from tidemark.operators import checks, rollup
 from tidemark.operators.sales import DAY, TIMESTAMP, sales_metrics
 from tidemark.plans.colocated import ColocatedSales
 from tidemark.plans.rollups import SalesRollups
@@ -129,6 +129,29 @@ def test_colocated_tables_join_without_a_shuffle(spark, sf_dir, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_buckets_grow_with_the_items(spark, sf_dir, tmp_path):
+    name = f"g_{tmp_path.name.replace('-', '_')}"[-40:]
+    stored = ColocatedSales(str(tmp_path), name, 2, bucket_items=1000)
+    items, orders = shop.order_items(spark, sf_dir), shop.orders(spark, sf_dir)
+    stored.store(spark, items, orders)
+    files = {re.search(r"_(\d{5})\.", f.name)[1] for f in (tmp_path / "items").glob("*.parquet")}
+    assert len(files) == -(-items.count() // 1000)
+    assert metrics(stored.metrics(spark)) == metrics(sales_metrics(items, orders))
+
+
+def test_bitmaps_are_made_where_their_rows_have_met(spark):
+    sold = spark.createDataFrame(
+        [("2024-01-01", n, 1, 10, 5) for n in range(1, 51)],
+        "sale_date string, order_no long, pieces long, revenue_c long, cost_c long")
+    rows = rollup.bitmap_rows(sold, "sale_date")
+    assert [r.pieces for r in rows.collect()] == [50]
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    prepared = rows._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan
+    exchanges = [line for line in prepared.split("Initial Plan")[-1].splitlines() if "Exchange" in line]
+    assert exchanges and not any("ENSURE_REQUIREMENTS" in line for line in exchanges)
+
+
 def test_a_hot_order_is_not_in_a_bucket(spark, tmp_path):
     bought = spark.range(6000).selectExpr(
         "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS order_id", "1L AS quantity",

@@ -20,22 +20,29 @@ from tidemark.sinks.tables import CODEC, overwrite, read_or_empty
 #: An order is hot from one in so many of all items; so there are never more hot orders.
 SHARE = 1000
 
+#: Items a bucket is to hold: its task sorts them.
+BUCKET_ITEMS = 1_000_000
+
 
 @dataclass(frozen=True)
 class ColocatedSales:
-    """The folder of the tables, a prefix for their names in the catalog, and their buckets."""
+    """The folder of the tables, a prefix for their names in the catalog, and their buckets.
+
+    There are at least ``buckets``, and more where one would hold over ``bucket_items`` items.
+    """
 
     root: str
     name: str
     buckets: int
     share: int = SHARE
+    bucket_items: int = BUCKET_ITEMS
 
-    def _save(self, rows: DataFrame, table: str) -> None:
+    def _save(self, rows: DataFrame, table: str, buckets: int) -> None:
         """One file a bucket: the rows are dealt out by the bucket's own hash."""
         (
-            rows.repartition(self.buckets, "order_id").write.format("parquet").mode("overwrite")
+            rows.repartition(buckets, "order_id").write.format("parquet").mode("overwrite")
             .option("compression", CODEC).option("path", f"{self.root}/{table}")
-            .bucketBy(self.buckets, "order_id").sortBy("order_id")
+            .bucketBy(buckets, "order_id").sortBy("order_id")
             .saveAsTable(f"{self.name}_{table}")
         )
 
@@ -46,8 +53,9 @@ class ColocatedSales:
         total = counts.agg(F.sum("n")).first()[0] or 0
         overwrite(counts.where(F.col("n") > total / self.share).select("order_id"), f"{self.root}/hot")
         hot = F.broadcast(self.hot_orders(spark))
-        self._save(items.join(hot, "order_id", "left_anti"), "items")
-        self._save(orders, "orders")
+        buckets = max(self.buckets, -(-total // self.bucket_items))
+        self._save(items.join(hot, "order_id", "left_anti"), "items", buckets)
+        self._save(orders, "orders", buckets)
         overwrite(items.join(hot, "order_id", "left_semi").hint("rebalance"), f"{self.root}/hot_items")
 
     def hot_orders(self, spark: SparkSession) -> DataFrame:
