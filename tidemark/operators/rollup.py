@@ -33,9 +33,17 @@ def numbered_sales(
 
 
 def bitmap_rows(sold: DataFrame, key: str) -> DataFrame:
-    """One row per key and chunk: sums, and the chunk's orders as a bitmap."""
-    return sold.groupBy(key, F.bitmap_bucket_number("order_no").alias(CHUNK)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("order_no")).alias(ORDERS), *_added())
+    """One row per key and chunk: sums, and the chunk's orders as a bitmap.
+
+    Rows meet before bitmaps are made of them. Each task would else make one of 4 KB for every
+    key and chunk it has a row of, and rows dealt out by order have nearly all of them.
+    """
+    placed = sold.select(
+        key, F.bitmap_bucket_number("order_no").alias(CHUNK),
+        F.bitmap_bit_position("order_no").alias("position"), *_SUMS)
+    parts = int(sold.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return placed.repartition(parts, key, CHUNK).groupBy(key, CHUNK).agg(
+        F.bitmap_construct_agg("position").alias(ORDERS), *_added())
 
 
 def position_rows(sold: DataFrame, key: str) -> DataFrame:
