@@ -134,6 +134,17 @@ def test_z_order_keeps_rows_without_a_day_or_key(spark, tmp_path):
         assert sorted(map(str, back.collect())) == sorted(map(str, some.collect()))
 
 
+def test_a_cell_is_the_number_of_lines_reached_and_needs_no_list(spark):
+    lines = [5, 5, -3, 9, 20]
+    values = [None, -4, -3, 4, 5, 8, 9, 19, 20, 21]
+    cell = zorder._cell(F.col("n"), lines)
+    found = spark.createDataFrame([(v,) for v in values], "n long").select("n", cell.alias("c"))
+    assert {r.n: r.c for r in found.collect()} == {
+        v: sum(v is not None and x <= v for x in set(lines)) for v in values}
+    assert spark.range(1).select(zorder._cell(F.col("id"), [])).first()[0] == 0
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_texts_are_numbered_in_their_order(spark):
     texts = ["", "1", "10", "100", "2", "9", "a", "ab", "b", "é", "字"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")

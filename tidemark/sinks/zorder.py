@@ -41,8 +41,17 @@ def interleaved(first: Column, second: Column, bits: int = BITS) -> Column:
 
 
 def _cell(value: Column, lines: list[int]) -> Column:
-    held = F.array(*[F.lit(x).cast("long") for x in sorted(set(lines))])
-    return F.size(F.filter(held, lambda line: line <= value))
+    """How many of the lines a value reaches, found by halves."""
+    held = sorted(set(lines))
+
+    def among(first: int, last: int) -> Column:
+        if first == last:
+            return F.lit(first)
+        middle = (first + last) // 2
+        return F.when(value >= F.lit(held[middle]).cast("long"), among(middle + 1, last)).otherwise(
+            among(first, middle))
+
+    return among(0, len(held))
 
 
 def in_z_order(rows: DataFrame, day: str, key: str, files: int, bits: int = BITS) -> DataFrame:
@@ -54,10 +63,14 @@ def in_z_order(rows: DataFrame, day: str, key: str, files: int, bits: int = BITS
     shares = [i / 2**bits for i in range(1, 2**bits)]
     lines = rows.select(*(n.alias(f"_{i}") for i, n in enumerate(numbers))).agg(
         *(F.percentile_approx(f"_{i}", shares, 10_000).alias(f"_{i}") for i in range(2))).first()
-    cells = [_cell(n, lines[i] or []) for i, n in enumerate(numbers)]
-    placed = rows.withColumn("_z", F.coalesce(interleaved(*cells, bits), F.lit(-1)))
-    return placed.repartitionByRange(files, "_z", key, day).sortWithinPartitions(
-        "_z", key, day).drop("_z")
+    # Numbers and cells have columns of their own, so that a row's are worked out once.
+    placed = rows.withColumns({f"_n{i}": n for i, n in enumerate(numbers)})
+    placed = placed.withColumns(
+        {f"_c{i}": _cell(F.col(f"_n{i}"), lines[i] or []) for i in range(2)})
+    placed = placed.withColumn(
+        "_z", F.coalesce(interleaved(F.col("_c0"), F.col("_c1"), bits), F.lit(-1)))
+    return placed.drop("_n0", "_n1", "_c0", "_c1").repartitionByRange(
+        files, "_z", key, day).sortWithinPartitions("_z", key, day).drop("_z")
 
 
 def write_z_ordered(
