@@ -129,6 +129,24 @@ def test_days_are_loaded_one_by_one_and_again(spark, extracts, tmp_path):
     assert source_table(spark, root, ORDERS).count() == 2
 
 
+def test_an_extract_is_read_once_a_load(spark, extracts, tmp_path, monkeypatch):
+    from tidemark.plans import ingest
+
+    orders, items = extracts
+    root, read = str(tmp_path / "tables"), []
+    create_table(order_rows(spark), root, ORDERS, 2)
+    create_table(spark.createDataFrame([], ORDER_ITEMS.schema), root, ORDER_ITEMS, 2)
+    whole = ingest.upserted_buckets
+
+    def watched(spark, root, incoming, *more):
+        read.extend(incoming.inputFiles())
+        return whole(spark, root, incoming, *more)
+
+    monkeypatch.setattr(ingest, "upserted_buckets", watched)
+    ingest_day(spark, root, "2024-12-04", orders, items)
+    assert read and not any(".csv" in file for file in read)
+
+
 def test_failed_load_leaves_both_tables_alone(spark, extracts, tmp_path):
     root = str(tmp_path / "shop")
     create_table(order_rows(spark, ("A", "C1", "Pending", "1.00", "2024-01-01", "2024-01-01")), root, ORDERS, 2)

@@ -8,12 +8,15 @@ is written, and refused if a key is repeated, a needed column is empty or a stat
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.upserts import keyed_upsert, one_row_per_key, with_defaults
 from tidemark.schemas import ORDER_ITEMS, ORDERS, ShopTable
+from tidemark.session import at_once
 from tidemark.settings import ORDER_STATUSES
 from tidemark.sinks.tables import BUCKET, fixed_buckets, overwrite, values_of, with_bucket
 from tidemark.sinks.versions import Checks, Pointer, TableLoad, VersionedTables
@@ -88,7 +91,15 @@ def ingest_day(
     """
     tables = VersionedTables(root)
     pointer, outcome = tables.pointer(spark), {}
-    for table, path in ((ORDERS, orders_csv), (ORDER_ITEMS, items_csv)):
-        incoming = typed(rows_of_day(read_extract(spark, path, table), day), table)
-        outcome[table.name] = upserted_buckets(spark, root, incoming, table, pointer, buckets)
+
+    def rows(table: ShopTable, path: str) -> DataFrame:
+        """The day's rows, taken out of the extract once: it holds all other days' too."""
+        held = f"{root}/_incoming/{table.name}"
+        overwrite(typed(rows_of_day(read_extract(spark, path, table), day), table), held)
+        return spark.read.schema(table.schema).parquet(held)
+
+    extracts = ((ORDERS, orders_csv), (ORDER_ITEMS, items_csv))
+    incoming = at_once(*(partial(rows, table, path) for table, path in extracts))
+    for (table, _), new in zip(extracts, incoming, strict=True):
+        outcome[table.name] = upserted_buckets(spark, root, new, table, pointer, buckets)
     return tables.publish(spark, tables.next_load(spark, f"day-{day}"), outcome)
