@@ -13,6 +13,7 @@ import re
 import time
 import urllib.parse
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -279,6 +280,17 @@ def test_rows_that_share_an_id_keep_their_own_text(spark):
     assert sorted((i, k) for i, _, n, k in got if not n) == whole
 
 
+def test_tables_that_led_to_the_cuts_are_deleted(spark):
+    """What is read last, the texts and their cuts, lies on the disks without them."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.glob("*")}
+    line = " ".join(f"q{i}" for i in range(60))
+    rows = suffix_dedup.drop_repeats(documents(spark, [line, "x" + line]))
+    new = {p.name for p in shared.glob("*")} - before
+    assert {name.rpartition("-")[0] for name in new} == {"cuts"}
+    assert sorted(r["n_removed"] for r in rows.collect()) == [0, len(line)]
+
+
 # 4 ---------------------------------------------------------------------------------
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
-    Sums, binary, id_key, mapped, mix, other_columns, parts, stored, table, with_row,
+    Sums, binary, discard, id_key, mapped, mix, other_columns, parts, stored, table, with_row,
 )
 
 WINDOW = 100
@@ -356,8 +356,10 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     before = window - gram
     whole = marks.where("whole").select("k", "h", (
         F.shiftleft(F.col("at") - before, _SIZE_BITS) + before + window).alias("cut"))
-    cuts = whole.unionByName(few).unionByName(many).groupBy(*keys).agg(
-        F.collect_list("cut").alias("cuts"))
+    # Stored, so that what led to them is off the disks before the texts move once more.
+    cuts = stored(whole.unionByName(few).unionByName(many).groupBy(*keys).agg(
+        F.collect_list("cut").alias("cuts")), "cuts")
+    discard(marks, around, firsts)
     rows = texts.join(cuts, keys, "left")
     return mapped(rows.select("row", "text", "cuts"), cut_rows, with_row(
         rows, "kept binary, n_bytes long, n_removed long, n_spans long"))
