@@ -9,13 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import feed, item_record, metrics, order_record, record
-from tidemark.operators.changes import current_rows, flatten
+from tidemark.operators.changes import current_rows, flatten, unreadable
 from tidemark.operators.sales import DAY, TIMESTAMP, sales_metrics
 from tidemark.schemas import ORDER_ITEMS, ORDERS
 from tidemark.session import stateful_session
 from tidemark.settings import WATERMARK_DELAY
 from tidemark.sources.feeds import decode_json, encode_metrics, file_feed
-from tidemark.streaming import closing
+from tidemark.streaming import closing, views
 from tidemark.streaming import joined as joined_module
 from tidemark.streaming.joined import joined_sales, start_joined_sales
 from tidemark.streaming.revising import RevisingSales
@@ -250,6 +250,27 @@ def test_view_sets_unreadable_changes_aside(spark, tmp_path):
     assert spark.read.parquet(f"{table}_aside").count() == 1
 
 
+def test_view_looks_for_unreadable_changes_only_if_it_counted_some(spark, tmp_path, monkeypatch):
+    landing, table, progress = (str(tmp_path / n) for n in ("feed", "orders", "progress"))
+    looked = []
+    monkeypatch.setattr(views, "unreadable", lambda *given: looked.append(1) or unreadable(*given))
+
+    def step(*records):
+        feed(spark, records).write.mode("append").parquet(landing)
+        maintain_table(
+            file_feed(spark, landing), ORDERS, table, progress, run_once=True).awaitTermination()
+        aside = spark.read.parquet(f"{table}_aside")
+        return len(looked), spark.read.parquet(table).count(), aside.count()
+
+    assert step(A1, A2) == (0, 2, 0)
+    broken = (*A1[:5], "{broken")
+    assert step(A3, broken) == (1, 3, 1)
+    # Batches without a row to store, with and without something to set aside.
+    assert step(broken, broken)[1:] == (3, 3)
+    assert step(order_record(9, "2024-01-09 00:00:00", "d", "A"))[1:] == (3, 3)
+    assert step(I1)[1:] == (3, 3)
+
+
 def test_metrics_view_keeps_one_row_a_day_and_takes_withdrawals(spark, job, tmp_path):
     landing, view = str(tmp_path / "records"), str(tmp_path / "view")
 
