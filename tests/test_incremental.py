@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.rows import at, metrics
 from tidemark.operators.sales import sales_metrics
+from tidemark.plans import arrival_index
 from tidemark.plans.arrival_index import ARRIVAL_MONTH, ArrivalIndex, by_arrival
 from tidemark.plans.incremental import (
     SUMMARY,
@@ -208,6 +209,23 @@ def test_index_takes_the_same_rows_again(warehouse):
     assert warehouse.run() == {"2024-01-02": (1, 2)}
 
 
+def test_rows_are_moved_into_the_index_once(warehouse, monkeypatch):
+    """What is stored in buckets has met what is new by one exchange, and is written where it is."""
+    plans, write = {}, arrival_index.overwrite_partitions
+
+    def recorded(rows, path, *partitions):
+        plans[path.rpartition("/")[2]] = rows._jdf.queryExecution().executedPlan().toString()
+        write(rows, path, *partitions)
+
+    monkeypatch.setattr(arrival_index, "overwrite_partitions", recorded)
+    warehouse.add([("A", "Completed", "2024-01-01 01:00")], [("I1", "A", 1, "2024-01-01 02:00")])
+    assert warehouse.run() == {"2024-01-01": (1, 1)}
+    warehouse.add([("A", "Completed", "2024-01-02 01:00")], [("I1", "A", 4, "2024-02-02 02:00")])
+    assert warehouse.run() == {"2024-02-02": (1, 4)}
+    for name in ("versions", "order_days", "statuses"):
+        assert plans[name].count("Exchange ") == 1
+
+
 def test_a_run_that_failed_after_the_index_was_written(warehouse, monkeypatch):
     from tidemark.plans import incremental
 

@@ -144,8 +144,8 @@ def daily_summary_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     for step, part in enumerate((F.col("kafka_ts") < MARK, F.col("kafka_ts") >= MARK)):
         for name, rows in arrivals.items():
             arrived = arrival_index.by_arrival(rows.where(part))
-            tables.spread(arrived, arrival_index.ARRIVAL_MONTH).write.mode("append").partitionBy(
-                arrival_index.ARRIVAL_MONTH).parquet(f"{root}/{name}")
+            tables.spread(arrived, arrival_index.ARRIVAL_MONTH).write.mode("append").option(
+                "compression", tables.CODEC).partitionBy(arrival_index.ARRIVAL_MONTH).parquet(f"{root}/{name}")
         incremental.run_incremental(
             spark,
             spark.read.parquet(f"{root}/order_items"),

@@ -21,6 +21,9 @@ DAY = "day"
 TIMESTAMP = "timestamp"
 KEY_NAME = {DAY: "sale_date", TIMESTAMP: "ts"}
 
+# What the metrics follow from, of an item besides its time.
+MEASURED = ("order_id", "quantity", "price", "cost_price")
+
 MEASURES = (
     "total_orders", "total_items_sold", "total_revenue",
     "total_cost", "total_profit", "average_order_value",

@@ -7,6 +7,7 @@ of the key or by sale month:
     order_days/   the days an order has item versions on, by bucket of the order
     statuses/     the latest version of every order, by bucket of the order
     superseded/   item versions that a later one has replaced, by their month
+    dead/         what the last run has found to enter there
 
 A run looks its new rows' keys up in the buckets they fall into and rewrites these buckets only,
 sorted by key. An item version counts if no entry of its own month says otherwise, so that a
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,8 +92,9 @@ class ArrivalIndex:
         """Write the content of the buckets (or months) that ``rows`` has."""
         layout = MONTH if name == "superseded" else BUCKET
         rows = rows.select(*T.StructType.fromDDL(_SCHEMAS[name]).fieldNames())
-        overwrite_partitions(
-            spread(rows, layout).sortWithinPartitions(layout, key), self._path(name), layout)
+        # Rows of buckets come from an aggregate by their key, which has spread them evenly.
+        rows = spread(rows, layout) if layout == MONTH else rows
+        overwrite_partitions(rows.sortWithinPartitions(layout, key), self._path(name), layout)
 
     def _held(self, spark: SparkSession, name: str, layout: str, values: list) -> DataFrame:
         return self.read(spark, name).where(F.col(layout).isin(values))
@@ -103,25 +105,24 @@ class ArrivalIndex:
 
         def versions() -> None:
             new = with_bucket(
-                items.select("order_item_id", "order_id", *ARRIVAL).distinct(), "order_item_id", count)
+                items.select("order_item_id", "order_id", *ARRIVAL), "order_item_id", count)
             touched = self._add(spark, "versions", new, "order_item_id")
             if touched:
                 self._supersede(spark, new.select("order_item_id"), touched)
 
         def order_days() -> None:
             pairs = items.where("order_id IS NOT NULL").select(
-                "order_id", F.to_date("kafka_ts").alias("sale_date")).distinct()
+                "order_id", F.to_date("kafka_ts").alias("sale_date"))
             self._add(spark, "order_days", with_bucket(pairs, "order_id", count), "order_id")
 
         def statuses() -> None:
-            rows = latest_per_key(
-                orders.select("order_id", "op", "status", *ARRIVAL), ["order_id"], ARRIVAL)
+            rows = orders.select("order_id", "op", "status", *ARRIVAL)
             self._add(spark, "statuses", with_bucket(rows, "order_id", count), "order_id")
 
         at_once(versions, order_days, statuses)
 
     def _add(self, spark: SparkSession, name: str, new: DataFrame, key: str) -> list[int]:
-        """Merge rows into the buckets they fall into; these buckets."""
+        """Merge rows into the buckets they fall into, moving them once; these buckets."""
         touched = values_of(new, BUCKET)
         if touched:
             every = self._held(spark, name, BUCKET, touched).unionByName(new)
@@ -132,12 +133,15 @@ class ArrivalIndex:
     def _supersede(self, spark: SparkSession, changed: DataFrame, touched: list) -> None:
         """Enter all versions of the changed items but the latest in their months."""
         every = self._held(spark, "versions", BUCKET, touched).join(
-            changed.distinct(), "order_item_id", "left_semi")
-        latest = latest_per_key(
-            every.select("order_item_id", *ARRIVAL), ["order_item_id"], ARRIVAL)
-        dead = every.join(latest, ["order_item_id", *ARRIVAL], "left_anti").select(
-            "order_item_id", *ARRIVAL)
-        dead = with_month(dead, "kafka_ts")
+            changed, "order_item_id", "left_semi")
+        latest = F.max(F.struct(*ARRIVAL)).over(Window.partitionBy("order_item_id"))
+        every = every.select("order_item_id", *ARRIVAL, latest.alias("latest"))
+        is_latest = F.lit(True)
+        for name in ARRIVAL:
+            is_latest = is_latest & (F.col(name) == F.col(f"latest.{name}"))
+        dead = every.where(~F.coalesce(is_latest, F.lit(False))).drop("latest")
+        overwrite(with_month(dead, "kafka_ts"), self._path("dead"))
+        dead = spark.read.schema(_SCHEMAS["superseded"]).parquet(self._path("dead"))
         months = values_of(dead, MONTH)
         if months:
             held = self._held(spark, "superseded", MONTH, months)
@@ -150,10 +154,10 @@ class ArrivalIndex:
         for name, key, rows in (
             ("versions", "order_item_id", items), ("order_days", "order_id", orders)
         ):
-            keys = with_bucket(rows.select(key).distinct(), key, count)
-            held = self._held(spark, name, BUCKET, values_of(keys, BUCKET))
+            keys = rows.select(key)
+            held = self._held(spark, name, BUCKET, values_of(with_bucket(keys, key, count), BUCKET))
             day = F.to_date("kafka_ts").alias("sale_date") if name == "versions" else "sale_date"
-            found.append(held.join(keys.drop(BUCKET), key, "left_semi").select(day))
+            found.append(held.join(keys.distinct(), key, "left_semi").select(day))
         return found[0].unionByName(found[1]).distinct()
 
     def live_items(self, spark: SparkSession, items: DataFrame, days: DataFrame) -> DataFrame:
@@ -163,12 +167,12 @@ class ArrivalIndex:
         """
         months = values_of(with_month(days, "sale_date"), MONTH)
         if ARRIVAL_MONTH in items.columns:
-            items = items.where(F.col(ARRIVAL_MONTH).isin(months))
+            items = items.where(F.col(ARRIVAL_MONTH).isin(months)).drop(ARRIVAL_MONTH)
         first, last = days.agg(F.min("sale_date"), F.max("sale_date")).first()
         rows = items.where(
             (F.col("kafka_ts") >= F.lit(first).cast("timestamp"))
             & (F.col("kafka_ts") < F.date_add(F.lit(last), 1).cast("timestamp"))
-        ).withColumn("sale_date", F.to_date("kafka_ts")).join(days, "sale_date", "left_semi")
+        ).withColumn("sale_date", F.to_date("kafka_ts")).join(days, "sale_date", "left_semi").drop("sale_date")
         dead = self._held(spark, "superseded", MONTH, months).drop(MONTH)
         rows = rows.join(dead, ["order_item_id", *ARRIVAL], "left_anti")
         # A version that was stored twice counts once.

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.changes import latest_per_key
-from tidemark.operators.sales import sales_metrics
-from tidemark.plans.arrival_index import ARRIVAL, ArrivalIndex, arrived_since
+from tidemark.operators.sales import MEASURED, sales_metrics
+from tidemark.plans.arrival_index import ARRIVAL, ARRIVAL_MONTH, ArrivalIndex, arrived_since
 from tidemark.schemas import TOTAL
 from tidemark.settings import FIRST_MARK
 from tidemark.sinks.tables import MONTH, overwrite, read_days, read_or_empty, replace_days
@@ -83,6 +83,9 @@ def run_incremental(
     days = spark.read.schema("sale_date date").parquet(f"{work_path}/days")
     if days.isEmpty():
         return
+    # Only what the metrics follow from is moved by its key.
+    needed = {"order_item_id", "op", *ARRIVAL, ARRIVAL_MONTH, *MEASURED}
+    items = items.select(*(c for c in items.columns if c in needed))
     fresh = sales_metrics(index.live_items(spark, items, days), index.live_orders(spark))
     replace_days(spark, summary_path, fresh, days, "sale_date", SUMMARY)
 
