@@ -15,7 +15,7 @@ from tidemark.schemas import ORDER_ITEMS, ORDERS
 from tidemark.session import stateful_session
 from tidemark.settings import WATERMARK_DELAY
 from tidemark.sources.feeds import decode_json, encode_metrics, file_feed
-from tidemark.streaming import closing, views
+from tidemark.streaming import closing, revising, views
 from tidemark.streaming import joined as joined_module
 from tidemark.streaming.joined import joined_sales, start_joined_sales
 from tidemark.streaming.revising import RevisingSales
@@ -141,6 +141,25 @@ def test_a_total_takes_a_delta_once(spark, job, monkeypatch):
         assert run(spark, job, records[1], first=1) == batch_result(spark, sum(records, []))
 
 
+def test_a_row_is_moved_once_a_batch_and_says_what_it_replaced(spark, job, monkeypatch):
+    """One exchange by key brings the batch and the stored rows together, and none follows."""
+    run(spark, job, [A2, I1])
+    plans, write = [], revising.overwrite_partitions
+
+    def recorded(rows, path, *partitions):
+        if "/silver/" in path:
+            plans.append(rows._jdf.queryExecution().sparkPlan().toString()
+                         + rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, path, *partitions)
+
+    monkeypatch.setattr(revising, "overwrite_partitions", recorded)
+    for _ in range(2):
+        assert run(spark, job, [A3, I1_MORE], first=1) == {}
+        items = job._silver(spark, ORDER_ITEMS).select("batch_id", "quantity", "replaced.quantity")
+        assert [tuple(r) for r in items.collect()] == [(1, 4, 1)]
+    assert len(plans) == 4 and all(p.count("Exchange ") == 1 for p in plans)
+
+
 def _files(root, *parts):
     return [p for part in parts for p in root.glob(f"{part}/**/*.parquet")]
 
