@@ -815,3 +815,22 @@ def test_pipeline_takes_each_stage_into_account(spark, sf_dir):
         p in " " + " ".join(re.findall(r"[^\W_]+", r["text"].lower())) + " " for p in plain)}
     packed = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in alone} - held
+
+
+def test_packing_encodes_a_word_once():
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    found, asked = packing.WordIds(path), []
+    encoded = found._encoded
+    found._encoded = lambda texts: asked.extend(texts) or encoded(texts)
+    found.of([b"Stone river"])
+    asked.clear()
+    odd = ["stone, RIVER; (stone\x0bx", "", " \t\r\n\x0c", "İ Été\u0085a\x1fb.", "<|X|> Y<|endoftext|>\n",
+           " y  "]
+    ids, counts = found.of([t.encode() for t in odd])
+    assert not {"stone", "river"} & {w for text in asked for w in text.split()}
+    whole = Tokenizer.from_file(path)
+    wanted = [whole.encode(t, add_special_tokens=False).ids for t in odd]
+    assert counts.tolist() == [len(w) for w in wanted]
+    assert ids.tolist() == [i for w in wanted for i in w]

@@ -20,6 +20,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -67,6 +68,7 @@ class WordIds:
         self.place: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self._remember([b""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
     def _remember(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.flat):
@@ -86,28 +88,30 @@ class WordIds:
         return [np.array(f.ids, np.uint32) for f in found]
 
     def _learn(self, words: list[bytes]) -> None:
-        cores = [w.rstrip(_MARKS) for w in words]
-        plain = [w for w, c in zip(words, cores, strict=True) if c.isalpha()]
-        marks = [w[len(c) :] for w, c in zip(words, cores, strict=True) if c.isalpha()]
-        rest = [(w, c) for w, c in zip(words, cores, strict=True) if not c.isalpha()]
-        cores, others = [c for c in cores if c.isalpha()], []
-        for word, core in rest:  # bytes.isalpha knows ASCII letters only
-            letters = core.decode()
-            if letters.isalpha() and letters.lower().isalpha():
-                plain.append(word)
-                cores.append(core)
-                marks.append(word[len(core) :])
-            else:
-                others.append(word)
+        plain, cores, marks, others = [], [], [], []
+        for word in words:
+            core = word.rstrip(_MARKS)
+            if not core.isalpha():  # bytes.isalpha knows ASCII letters only
+                letters = core.decode()
+                if not (letters.isalpha() and letters.lower().isalpha()):
+                    others.append(word)
+                    continue
+            plain.append(word)
+            cores.append(core)
+            marks.append(word[len(core) :])
         if plain:
-            known, shapes = list(set(cores)), list(set(marks))
-            core_ids, core_sizes = self._in_rows(known)
+            core_set, shapes = set(cores), list(set(marks))
+            known = [c for c in core_set if c in self.place]  # met as words
+            fresh = list(core_set.difference(known))
+            at = np.fromiter(map(self.place.__getitem__, known), np.int64, len(known))
+            core_ids, core_sizes = self._in_rows(fresh)
             found = self._encoded([s.decode() for s in shapes])
-            flat = np.concatenate([core_ids, *found])
-            sizes = np.concatenate([core_sizes, [len(f) for f in found]])
+            flat = np.concatenate([
+                _gathered(self.flat, self.begin[at], self.size[at]), core_ids, *found])
+            sizes = np.concatenate([self.size[at], core_sizes, [len(f) for f in found]])
             begin = np.cumsum(sizes) - sizes
-            number = dict(zip(known, range(len(known)), strict=True))
-            mark = dict(zip(shapes, range(len(known), len(sizes)), strict=True))
+            number = dict(zip(known + fresh, range(len(core_set)), strict=True))
+            mark = dict(zip(shapes, range(len(core_set), len(sizes)), strict=True))
             both = np.empty(2 * len(plain), np.int64)
             both[::2] = np.fromiter(map(number.__getitem__, cores), np.int64, len(plain))
             both[1::2] = np.fromiter(map(mark.__getitem__, marks), np.int64, len(plain))
@@ -119,6 +123,8 @@ class WordIds:
 
     def _in_rows(self, cores: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of plain words one after another, and how many each has."""
+        if not cores:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         rows = [cores[i : i + 500] for i in range(0, len(cores), 500)]
         ids, sizes = [], []
         joined = self._encoded([b" ".join(r).decode() for r in rows])
@@ -138,23 +144,31 @@ class WordIds:
         if len(self.place) > _REMEMBERED:
             self.place = dict(islice(self.place.items(), _KEPT))
             self.used = int(self.begin[_KEPT])
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        words = [w for s in split for w in s]
-        if not words:
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        new = set(words).difference(self.place)
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        whole = pa.array(texts, pa.large_binary()).view(pa.large_string())
+        split = pc.ascii_split_whitespace(pc.if_else(
+            pc.match_substring(whole, "<|"), whole, pc.ascii_lower(whole)))
+        # A word is looked up once for all its places; white space at an end leaves an empty one.
+        words = split.flatten().view(pa.large_binary()).dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = list(map(self.place.get, distinct))
+        new = [w for w, place in zip(distinct, places, strict=True) if place is None]
         if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            self._learn(new)
+            places = [self.place[w] if place is None else place
+                      for w, place in zip(distinct, places, strict=True)]
+        at = np.array(places, np.int64)[words.indices.to_numpy()]
         sizes = self.size[at]
-        last = np.cumsum([len(s) for s in split])
-        total = np.concatenate([[0], np.cumsum(sizes)])[last]
-        return _gathered(self.flat, self.begin[at], sizes), np.diff(total, prepend=0)
+        total = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy()]
+        return _gathered(self.flat, self.begin[at], sizes), np.diff(total)
 
 
 def _gathered(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Stretches of an array one after another."""
     ends = np.cumsum(sizes)
+    if not len(ends) or not ends[-1]:
+        return flat[:0].copy()
     return flat[np.repeat(begin - (ends - sizes), sizes) + np.arange(ends[-1])]
 
 
