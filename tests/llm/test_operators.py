@@ -834,3 +834,18 @@ def test_packing_encodes_a_word_once():
     wanted = [whole.encode(t, add_special_tokens=False).ids for t in odd]
     assert counts.tolist() == [len(w) for w in wanted]
     assert ids.tolist() == [i for w in wanted for i in w]
+
+
+def test_sets_that_share_a_passage_do_not_meet(spark):
+    passage = " ".join(f"common{i}" for i in range(160))
+    rows = [(f"{passage} " + " ".join(f"own{n}x{i}" for i in range(240)),) for n in range(40)]
+    rows += [(rows[0][0] + " once more",)]
+    found = jaccard_join.mapped(
+        spark.createDataFrame(rows, "text string"), jaccard_join.region_rows,
+        "region long, c1 long, c2 long, spare long", width=5, percent=80)
+    shared = jaccard_join.mapped(
+        found.repartition("region").sortWithinPartitions("region", "c1", "c2"),
+        jaccard_join.shared_rows, "region long, c1 long, c2 long, spare long")
+    crowds = [r["count"] for r in
+              jaccard_join.without_spare(shared).distinct().groupBy("region").count().collect()]
+    assert crowds and max(crowds) == 2  # the last two sets, which are linked

@@ -62,8 +62,8 @@ SKETCH = 8
 #: Sets of more shingles have a wide sketch too.
 WIDE_FROM = 256
 
-#: Slices beyond those that the distance asks for, at most.
-MOST_SPARE = 12
+#: Slices beyond those that the distance asks for, at most: as many regions a set can spare.
+MOST_SPARE = 64
 
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -155,7 +155,7 @@ class SizeClasses:
         # 100 * both >= percent * union bounds the difference of the sets.
         self.differ = (last + last * 100 // percent) * (100 - percent) // (100 + percent)
         # Linked sets agree in one slice more than are spare.
-        spare = np.where(self.differ < 4, 0, np.clip(self.differ // 8, 1, MOST_SPARE))
+        spare = np.where(self.differ < 4, 0, np.clip(self.differ // 3, 1, MOST_SPARE))
         self.slices = self.differ + 1 + spare
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
