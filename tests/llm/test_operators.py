@@ -237,6 +237,21 @@ def test_repeats_are_cut(spark, texts, crowd, monkeypatch):
     assert [found[i] for i in range(len(texts))] == without_repeats(texts)
 
 
+def test_surroundings_move_once(spark, monkeypatch):
+    """Crowded grams are few: they are sent to the surroundings, which go to their gram once."""
+    plans, stored = {}, suffix_dedup.stored
+
+    def kept(rows, label, *codec):
+        plans[label] = rows._jdf.queryExecution().executedPlan().toString()
+        return stored(rows, label, *codec)
+
+    monkeypatch.setattr(suffix_dedup, "stored", kept)
+    line = " ".join(f"q{i}" for i in range(60))
+    suffix_dedup.drop_repeats(documents(spark, [line + "a", line + "b", "c" + line])).collect()
+    assert plans["cuts"].count("Exchange hashpartitioning(gram") == 1
+    assert "Exchange hashpartitioning(gram" not in plans["firsts"]
+
+
 def test_repeated_rows_are_one_document(spark):
     line = " ".join(f"q{i}" for i in range(60))
     rows = suffix_dedup.drop_repeats(

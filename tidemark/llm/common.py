@@ -36,10 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _written: list[str] | None = None
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
+def stored(rows: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """The rows as a written table in the shared folder, so that lost executors lose nothing."""
     spark, path = rows.sparkSession, work_dir(rows.sparkSession, label)
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression=codec)
     if _written is not None:
         _written.append(path)
     # What was shuffled for it goes from the executors' disks once the driver has let go of it.

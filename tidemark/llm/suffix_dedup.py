@@ -327,8 +327,10 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
         .repartition("gram").sortWithinPartitions(*_NAMES),
         repeat_rows, "gram long, k long, h long, at long, whole boolean"), "marks")
     several = marks.where("NOT whole")
-    crowded = several.groupBy("gram").count().where(F.col("count") > CROWD).select(
-        "gram", F.lit(True).alias("crowded"))
+    # At most one in CROWD marks: few enough to be sent to every task, so that no surroundings move
+    # to be told apart by them.
+    crowded = stored(
+        several.groupBy("gram").count().where(F.col("count") > CROWD).select("gram"), "crowded")
     wanted = several.select("k", "h", F.struct("gram", "at").alias("mark")).groupBy(*keys).agg(
         F.collect_list("mark").alias("marks"))
     met = texts.select("k", "h", "text").join(wanted, keys)
@@ -337,14 +339,13 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     around = stored(mapped(
         met.select("k", "h", "text", "marks"), surrounding_rows,
         "gram long, k long, h long, at long, before int, after int, around binary",
-        window=window, gram=gram), "around")
-    sized = around.join(crowded, "gram", "left")
+        window=window, gram=gram), "around", "zstd")
     few = mapped(
-        sized.where("crowded IS NULL").drop("crowded").repartition("gram")
+        around.join(F.broadcast(crowded), "gram", "left_anti").repartition("gram")
         .sortWithinPartitions("gram", "k", "h", "at"), covered_rows,
         "k long, h long, cut long", window=window, gram=gram)
     windows = mapped(
-        sized.where("crowded").drop("crowded"), window_rows,
+        around.join(F.broadcast(crowded), "gram", "left_semi"), window_rows,
         "w1 long, w2 long, k long, h long, at long", window=window, gram=gram)
     # Stored, so that the join can split a window that very many anchors share.
     firsts = stored(windows.groupBy("w1", "w2").agg(
@@ -359,7 +360,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     # Stored, so that what led to them is off the disks before the texts move once more.
     cuts = stored(whole.unionByName(few).unionByName(many).groupBy(*keys).agg(
         F.collect_list("cut").alias("cuts")), "cuts")
-    discard(marks, around, firsts)
+    discard(marks, crowded, around, firsts)
     rows = texts.join(cuts, keys, "left")
     return mapped(rows.select("row", "text", "cuts"), cut_rows, with_row(
         rows, "kept binary, n_bytes long, n_removed long, n_spans long"))
