@@ -226,6 +226,24 @@ def test_rows_are_moved_into_the_index_once(warehouse, monkeypatch):
         assert plans[name].count("Exchange ") == 1
 
 
+def test_live_items_are_moved_once(warehouse):
+    """Replaced versions meet the items in the aggregate that finds each item's last one."""
+    spark = warehouse.spark
+    warehouse.add([("A", "Completed", "2024-01-01 01:00")], [
+        ("I1", "A", 1, "2024-01-01 02:00"), ("I1", "A", 2, "2024-01-02 02:00"),
+        ("I2", "A", 3, "2024-01-01 02:00"), ("I2", "A", 4, "2024-02-02 02:00"),
+        ("I3", "A", 5, "2024-01-01 02:00"), ("I3", "A", 6, "2024-01-03 02:00", "d"),
+        ("I4", "A", 7, "2024-01-01 02:00")])
+    warehouse.run()
+    days = spark.createDataFrame([(at(f"2024-01-0{d} 00:00").date(),) for d in (1, 2, 3)], "sale_date date")
+    index = ArrivalIndex(f"{warehouse.root}/summary_index")
+    live = index.live_items(spark, warehouse.table("items"), days)
+    assert {(r.order_item_id, r.quantity) for r in live.collect()} == {("I1", 2), ("I4", 7)}
+    plan = index.live_items(spark, warehouse.table("items"), days)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_item_id") == 1 and "LeftAnti" not in plan
+
+
 def test_a_run_that_failed_after_the_index_was_written(warehouse, monkeypatch):
     from tidemark.plans import incremental
 

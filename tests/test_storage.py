@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.plans.incremental import SUMMARY
 from tidemark.schemas import ORDERS, PRODUCTS
 from tidemark.sinks import tables, zorder
@@ -168,3 +170,21 @@ def test_columns_with_few_values_are_dictionary_coded(spark, sf_dir, tmp_path):
                 chunk = part.row_group(g).column(index)
                 assert chunk.has_dictionary_page
                 assert any(e.endswith("_DICTIONARY") for e in chunk.encodings)
+
+
+def test_what_was_shuffled_is_let_go_once_it_is_written(spark, tmp_path, monkeypatch):
+    def shuffled():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = disk.getAllFiles().mkString(" ").split()
+        return {n.rpartition("/")[2] for n in names if "shuffle_" in n and n.endswith(".data")}
+
+    monkeypatch.setattr(session, "LET_GO_EVERY", 0.0)
+    spark._jvm.java.lang.System.gc()
+    time.sleep(1)
+    before = shuffled()
+    tables.overwrite(spark.range(1000).repartition(3, "id"), str(tmp_path / "rows"))
+    for _ in range(50):
+        if not shuffled() - before:
+            return
+        time.sleep(0.1)
+    raise AssertionError(shuffled() - before)

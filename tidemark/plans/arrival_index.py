@@ -163,7 +163,10 @@ class ArrivalIndex:
     def live_items(self, spark: SparkSession, items: DataFrame, days: DataFrame) -> DataFrame:
         """The items that are current and arrived on these days; only their months are read.
 
-        ``days`` is a stored table with a ``sale_date`` column.
+        ``days`` is a stored table with a ``sale_date`` column. Rows and entries of replaced versions
+        meet in one aggregate by key, so that an item is moved once: of its versions read here the
+        last one counts, unless it was replaced by one that arrived elsewhere. A version that was
+        stored twice counts once.
         """
         months = values_of(with_month(days, "sale_date"), MONTH)
         if ARRIVAL_MONTH in items.columns:
@@ -173,10 +176,17 @@ class ArrivalIndex:
             (F.col("kafka_ts") >= F.lit(first).cast("timestamp"))
             & (F.col("kafka_ts") < F.date_add(F.lit(last), 1).cast("timestamp"))
         ).withColumn("sale_date", F.to_date("kafka_ts")).join(days, "sale_date", "left_semi").drop("sale_date")
-        dead = self._held(spark, "superseded", MONTH, months).drop(MONTH)
-        rows = rows.join(dead, ["order_item_id", *ARRIVAL], "left_anti")
-        # A version that was stored twice counts once.
-        return latest_per_key(rows, ["order_item_id"], ARRIVAL).where("op <> 'd'")
+        key = "order_item_id"
+        payload = [c for c in rows.columns if c not in (key, *ARRIVAL)]
+        dead = self._held(spark, "superseded", MONTH, months).where("offset IS NOT NULL")
+        both = rows.select(
+            key, F.struct(*payload).alias("row"), F.struct(*ARRIVAL).alias("version")).unionByName(
+            dead.select(key, F.struct(*ARRIVAL).alias("dead")), allowMissingColumns=True)
+        last = both.groupBy(key).agg(
+            F.max_by("row", "version").alias("row"), F.max("version").alias("version"),
+            F.max("dead").alias("dead"))
+        last = last.where("dead IS NULL OR version > dead").select(key, "row.*", "version.*")
+        return last.where("op <> 'd'")
 
     def live_orders(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, "statuses").where("op <> 'd'")
