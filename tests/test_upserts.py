@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+import pathlib
 from decimal import Decimal
 
 import pytest
@@ -11,6 +13,8 @@ from tidemark.operators.upserts import (
     one_row_per_key,
     with_defaults,
 )
+from tidemark.catalog import queries
+from tidemark.plans import ingest
 from tidemark.plans.ingest import create_table, ingest_day, source_table
 from tidemark.schemas import ORDER_ITEMS, ORDERS, PRODUCTS
 from tidemark.sinks import versions
@@ -227,3 +231,40 @@ def test_checks_count_what_the_write_sees(spark, tmp_path):
     more = rows.where("id = 3")
     tables.publish(spark, "z", {"t": versions.TableLoad(more, "part_no", (0, 1))})
     assert [r.id for r in tables.read(spark, "t", rows.schema).collect()] == [3]
+
+
+def test_loads_of_the_query_leave_packed_extracts_and_one_version(spark, sf_dir):
+    """What was loaded before is deleted, and extracts are not stored as plain text."""
+    root = pathlib.Path(queries._ingested(spark, sf_dir))
+    for name in ("orders", "order_items"):
+        parts = list((root / f"{name}.csv").glob("part-*"))
+        assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    pointers = [p for p in (root / "_pointers").iterdir() if p.name.isdigit()]
+    assert len(pointers) == 1
+    used = {v for parts in json.loads(pointers[0].read_text()).values() for v in parts.values()}
+    assert {p.name for p in (root / "_data").iterdir()} == used
+
+
+def test_a_load_moves_its_buckets_once(spark, tmp_path, monkeypatch):
+    plans, write = [], versions.overwrite
+
+    def recorded(rows, path, *partitions):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, path, *partitions)
+
+    root = str(tmp_path / "shop")
+    first = ("A", "C1", "Pending", "1.00", "2024-01-01", "2024-01-01")
+    create_table(order_rows(spark, first), root, ORDERS, 2)
+    monkeypatch.setattr(versions, "overwrite", recorded)
+    new = order_rows(
+        spark, ("A", "C9", "Completed", "2.00", "2024-01-02", "2024-01-02"),
+        ("N", "C2", "Pending", "3.00", "2024-01-02", "2024-01-02"))
+    new.write.parquet(str(tmp_path / "new"))
+    new = spark.read.schema(ORDERS.schema).parquet(str(tmp_path / "new"))
+    tables = VersionedTables(root)
+    load = ingest.upserted_buckets(spark, root, new, ORDERS, tables.pointer(spark))
+    tables.publish(spark, "day", {ORDERS.name: load})
+    assert as_dict(source_table(spark, root, ORDERS)) == {
+        "A": ("C1", "Completed", "2.00", "2024-01-01"), "N": ("C2", "Pending", "3.00", "2024-01-02")}
+    # Only the rows of incoming keys are joined both ways, and no rows move again to be written.
+    assert "LeftAnti" in plans[0] and "REBALANCE" not in plans[0].upper()

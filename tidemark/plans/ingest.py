@@ -66,14 +66,21 @@ def upserted_buckets(
     spark: SparkSession, root: str, incoming: DataFrame, table: ShopTable, pointer: Pointer,
     buckets: int | None = None,
 ) -> TableLoad:
-    """The new content of the buckets the incoming rows fall into."""
+    """The new content of the buckets the incoming rows fall into.
+
+    Only rows of the incoming keys take part in the upsert. They are looked up, so that the rest
+    of the buckets does not move for it where few rows come in.
+    """
     buckets = fixed_buckets(spark, _count_path(root, table), buckets, BUCKETS)
     rows = with_defaults(one_row_per_key(incoming, table), table)
     touched = values_of(with_bucket(incoming.select(table.key), table.key, buckets), BUCKET)
     target = VersionedTables(root).read(
         spark, table.name, _stored_schema(table), pointer, touched)
-    merged = with_bucket(keyed_upsert(target, rows, table), table.key, buckets)
-    return TableLoad(merged, BUCKET, touched, CHECKS[table.name])
+    keys = incoming.select(table.key)
+    met, others = (target.join(keys, table.key, how) for how in ("left_semi", "left_anti"))
+    merged = others.select(*table.columns).unionByName(keyed_upsert(met, rows, table))
+    return TableLoad(
+        with_bucket(merged, table.key, buckets), BUCKET, touched, CHECKS[table.name])
 
 
 def ingest_day(
