@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.rows import feed
+from tidemark.operators.changes import flatten, readable
 from tidemark.operators.sales import TIMESTAMP, sales_metrics
 from tidemark.schemas import METRICS_RECORD, ORDERS
 from tidemark.sinks.broker import send_metrics
@@ -32,6 +33,16 @@ def test_registry_header(spark):
     assert (bytes(row.body), row.id) == (b"payload", 258)
 
 
+def test_a_record_is_parsed_once(spark, tmp_path):
+    """What is asked of the parsed record is not asked below the parsing, by parsing again."""
+    schema = "topic string, partition int, offset long, timestamp timestamp, key string, value string"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "feed"))
+    records = feeds.file_feed(spark, str(tmp_path / "feed"), stream=False)
+    rows = readable(flatten(feeds.decode_json(records, ORDERS), ORDERS), ORDERS)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("columnNameOfCorruptRecord") == 1
+
+
 def framed(number, payload):
     return None if payload is None else b"\x00" + number.to_bytes(4, "big") + payload.encode()
 

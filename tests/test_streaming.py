@@ -164,6 +164,20 @@ def _files(root, *parts):
     return [p for part in parts for p in root.glob(f"{part}/**/*.parquet")]
 
 
+def test_a_batch_of_many_records_is_not_parsed_to_find_its_buckets(spark, job, monkeypatch):
+    asked, values_of = [], revising.values_of
+
+    def recorded(rows, column):
+        asked.append("from_json" in rows._jdf.queryExecution().optimizedPlan().toString())
+        return values_of(rows, column)
+
+    monkeypatch.setattr(revising, "values_of", recorded)
+    monkeypatch.setattr(revising, "MANY", 0)
+    batches = [A1, A2, I1, B1, I2], [I1_MOVED, A3, LATE], [I2_GONE, TOMBSTONE]
+    assert run(spark, job, *batches) == batch_result(spark, sum(batches, []))
+    assert asked and not any(asked)
+
+
 def test_a_changed_order_reads_its_own_buckets_and_months_only(spark, tmp_path):
     """All other files are broken before the batch; reading one would end it."""
     job, buckets = RevisingSales(str(tmp_path / "job"), buckets=16), 16
