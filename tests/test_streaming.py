@@ -425,6 +425,16 @@ def test_a_cell_of_state_is_read_and_written_once_a_batch():
         assert held.calls - before <= 2
 
 
+def test_a_cell_is_held_by_key():
+    """Like values lie together, so that a cell takes little room."""
+    rows = joined_module._ORDER_ROWS.empty_table().from_pylist(
+        [{"order_id": o, "at_us": i, "offset": i, "counts": True} for i, o in enumerate("CAB")],
+        schema=joined_module._ORDER_ROWS)
+    held = joined_module._held(joined_module._to_hold(rows), joined_module._ORDER_ROWS)
+    assert held["order_id"].to_pylist() == ["A", "B", "C"]
+    assert held["at_us"].to_pylist() == [1, 2, 0]
+
+
 def test_any_number_of_cells_gives_the_same_and_another_one_is_refused(spark, tmp_path):
     landing, root = str(tmp_path / "feed"), str(tmp_path / "joined")
     seen = []
